@@ -25,44 +25,3 @@ def l2_normalize(v) -> Column:
         ),
         1,
     )
-
-
-def token_buckets(text, d: int, max_tokens: int | None = None) -> Column:
-    """Hash bucket of every token of the text (lower case, Unicode whitespace)."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\s\x0b\x1c-\x1f\x85\p{Z}]+")
-    tokens = F.filter(words, lambda w: w != "")
-    if max_tokens:
-        tokens = F.slice(tokens, 1, max_tokens)
-    return F.transform(
-        tokens,
-        lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % d).cast("int"),
-    )
-
-
-def bucket_counts(buckets, d: int) -> Column:
-    """array<int> of length d: how often each bucket occurs.
-
-    Tokens become odd numbers and the d markers even ones; after one sort the
-    distance between neighbouring markers is the count of the bucket between.
-    """
-    marked = F.concat(
-        F.transform(buckets, lambda b: b * 2 + 1),
-        F.transform(F.sequence(F.lit(0), F.lit(d)), lambda b: b * 2),
-    )
-    places = F.filter(
-        F.transform(F.sort_array(marked), lambda x, i: F.when(x % 2 == 0, i)),
-        lambda i: i.isNotNull(),
-    )
-    return F.element_at(
-        F.transform(
-            F.array(places),
-            lambda p: F.zip_with(F.slice(p, 2, d), F.slice(p, 1, d), lambda b, a: b - a - 1),
-        ),
-        1,
-    )
-
-
-def hashed_embedding(text, d: int = 64, max_tokens: int | None = None) -> Column:
-    """Unit-length hashed bag of words over the whole text, inside the JVM."""
-    counts = bucket_counts(token_buckets(text, d, max_tokens), d)
-    return l2_normalize(counts).cast("array<float>")

@@ -45,13 +45,9 @@ def compare_searches(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=
 
         nlist = choose_nlist(scale)
 
-        def ivf():
-            centres = train_centroids(subset, nlist, seed, n=scale)
-            return centres, build_ivf(subset, centres)
-
-        (centres, index), build = _timed(ivf)
+        index, build = _timed(lambda: build_ivf(subset, train_centroids(subset, nlist, seed, n=scale)))
         found, seconds = _timed(
-            lambda: materialize(ivf_search(index, centres, queries, k, choose_nprobe(nlist)), "found")
+            lambda: materialize(ivf_search(index, queries, k, choose_nprobe(nlist)), "found")
         )
         record(scale, "ivf", build, seconds, recall_of(found))
 

@@ -5,6 +5,7 @@ An encoder factory is a function without arguments that returns
 executor, so a model is loaded there and never shipped from the driver.
 """
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,11 +15,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from newsloom.functions.vectors import hashed_embedding
 from newsloom.schemas import BATCH_SIZE, MAX_SEQ_LENGTH, META_COLUMNS, MODEL_NAME
 from newsloom.session import broadcast_if_small
 
 VECTOR = T.ArrayType(T.FloatType(), False)
+HASHED_DIMENSIONS = 64
+# Words whose bucket a task remembers.
+REMEMBERED = 1_000_000
+
+
+def hash_encoder(d: int = HASHED_DIMENSIONS) -> Callable:
+    """Factory for the default encoder, which needs no model: a unit-length
+    hashed bag of words over the whole text.
+
+    A word's bucket is the first 32 bits of its MD5 modulo ``d``.
+    """
+
+    class Buckets(dict):
+        def __missing__(self, word):
+            if len(self) >= REMEMBERED:
+                self.clear()
+            digest = hashlib.md5(word.encode("utf-8"), usedforsecurity=False).digest()
+            self[word] = found = int.from_bytes(digest[:4], "big") % d
+            return found
+
+    def factory():
+        bucket_of = Buckets().__getitem__
+
+        def encode(texts):
+            counts = np.zeros((len(texts), d))
+            for row, text in enumerate(texts):
+                words = text.lower().split()
+                buckets = np.fromiter(map(bucket_of, words), dtype=np.int64, count=len(words))
+                counts[row] = np.bincount(buckets, minlength=d)
+            norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+            return np.divide(counts, norms, out=counts, where=norms > 0)
+
+        return encode
+
+    return factory
 
 
 def sentence_encoder(model=MODEL_NAME, max_tokens=MAX_SEQ_LENGTH, device="cpu") -> Callable:
@@ -49,22 +84,21 @@ def encoder_udf(factory: Callable, batch_size: int = BATCH_SIZE):
                 vectors.extend(np.asarray(block, dtype=np.float32))
             yield pd.Series(vectors, dtype=object)
 
-    # annotations are read when the function is turned into a UDF
-    return F.pandas_udf(run, VECTOR)
+    # marked so that the optimizer never copies an encoder call into a filter
+    return F.pandas_udf(run, VECTOR).asNondeterministic()
 
 
-def embed(df: DataFrame, factory=None, text="text_original", d=64, batch_size=BATCH_SIZE) -> DataFrame:
+def embed(df: DataFrame, factory=None, text="text_original", batch_size=BATCH_SIZE) -> DataFrame:
     """Add ``embedding``; null text is embedded as an empty one. Only the text
-    column goes to Python, and without a factory nothing does."""
-    value = F.coalesce(F.col(text), F.lit(""))
-    vector = hashed_embedding(value, d) if factory is None else encoder_udf(factory, batch_size)(value)
-    return df.withColumn("embedding", vector)
+    column goes to Python, in Arrow batches."""
+    encode = encoder_udf(factory or hash_encoder(), batch_size)
+    return df.withColumn("embedding", encode(F.coalesce(F.col(text), F.lit(""))))
 
 
-def vectors_of(df: DataFrame, factory=None, d=64) -> DataFrame:
+def vectors_of(df: DataFrame, factory=None) -> DataFrame:
     """Metadata and vector in one row, so nothing depends on row positions."""
     keep = META_COLUMNS + (["shard"] if "shard" in df.columns else [])
-    return embed(df, factory, d=d).select(*keep, "embedding")
+    return embed(df, factory).select(*keep, "embedding")
 
 
 def unembedded_shards(shards: DataFrame, embedded: DataFrame) -> DataFrame:
@@ -80,8 +114,8 @@ def backlog(articles: DataFrame, embedded: DataFrame) -> DataFrame:
     return articles.join(broadcast_if_small(pending), "shard", "left_semi")
 
 
-def incremental_embed(articles: DataFrame, embedded: DataFrame, factory=None, d=64) -> DataFrame:
-    return vectors_of(backlog(articles, embedded), factory, d)
+def incremental_embed(articles: DataFrame, embedded: DataFrame, factory=None) -> DataFrame:
+    return vectors_of(backlog(articles, embedded), factory)
 
 
 def write_vectors(vectors: DataFrame, path: str) -> None:
@@ -94,7 +128,7 @@ def write_vectors(vectors: DataFrame, path: str) -> None:
     )
 
 
-def embed_backlog(spark, shards_path, vectors_path, factory=None, d=64) -> int:
+def embed_backlog(spark, shards_path, vectors_path, factory=None) -> int:
     """Embed every shard that has no vectors yet; returns how many there were.
 
     Safe to run again at any time. With nothing pending no model is loaded.
@@ -111,7 +145,7 @@ def embed_backlog(spark, shards_path, vectors_path, factory=None, d=64) -> int:
         embedded = spark.createDataFrame([], "shard string")
     pending = unembedded_shards(articles, embedded).count()
     if pending:
-        write_vectors(incremental_embed(articles, embedded, factory, d), vectors_path)
+        write_vectors(incremental_embed(articles, embedded, factory), vectors_path)
     return pending
 
 

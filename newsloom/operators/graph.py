@@ -1,18 +1,21 @@
 """Proximity graph: build from cluster candidates, search by bounded beams.
 
-A hop is one job for all queries together. Nodes are stored by cell and the
-candidates of a hop carry their cell, so a hop reads only the cells it visits.
+A hop is one job for all queries together. Nodes are stored in parts of whole
+cells and the candidates of a hop carry their part, so a hop reads only the
+parts it visits.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from newsloom.functions.vectors import dot, l2_normalize
-from newsloom.operators.ivf import assign_cells, nearest_cells
-from newsloom.operators.search import DIGITS, _blocks, _usable, exact_topk, merge_topk
+from newsloom.functions.vectors import l2_normalize
+from newsloom.operators.ivf import index_parts, nearest_cells, part_of
+from newsloom.operators.search import DIGITS, _blocks, _usable, exact_topk, list_matrix, merge_topk
 from newsloom.schemas import EF_SEARCH, GRAPH_M, TOP_K
-from newsloom.session import BROADCAST_BYTES, broadcast_if_small, materialize
+from newsloom.session import broadcast_if_small, materialize
 
 
 def split_copies(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -31,12 +34,12 @@ def split_copies(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes.select("vec_id", "embedding"), members
 
 
-def knn_edges(nodes: DataFrame, centroids: DataFrame, m=GRAPH_M, nprobe=5) -> DataFrame:
-    """(src, dst, sim): the m nearest of each node among its nprobe nearest cells.
+def knn_edges(near: DataFrame, m=GRAPH_M) -> DataFrame:
+    """(src, dst, sim): the m nearest of each node among its nearest cells, from
+    rows (vec_id, embedding, cells).
 
-    With nprobe at the number of cells this is the exact m-NN graph.
+    With all cells listed this is the exact m-NN graph.
     """
-    near = materialize(nearest_cells(nodes, centroids, nprobe), "near-cells")
     stored = near.select(F.col("cells")[0].alias("cell"), "vec_id", "embedding")
     asking = near.select(
         F.explode("cells").alias("cell"), F.col("vec_id").alias("qid"), "embedding"
@@ -57,30 +60,38 @@ def adjacency(edges: DataFrame, m=GRAPH_M) -> DataFrame:
     )
 
 
-def build_graph(vectors, centroids, m=GRAPH_M, nprobe=5) -> tuple[DataFrame, DataFrame]:
-    """(nodes, members). Nodes: vec_id, unit vector, neighbours with their cells,
-    stored by cell."""
+def build_graph(vectors, centroids, m=GRAPH_M, nprobe=5, parts=None) -> tuple[DataFrame, DataFrame]:
+    """(nodes, members). Nodes: vec_id, unit vector, neighbours with their parts,
+    stored by part."""
     nodes, members = split_copies(vectors)
-    placed = materialize(assign_cells(nodes, centroids), "placed")
-    edges = adjacency(materialize(knn_edges(nodes, centroids, m, nprobe), "edges"), m)
-    home = placed.select(F.col("vec_id").alias("dst"), "cell")
+    if parts is None:
+        parts = index_parts(nodes, centroids.count(), nodes.count())
+    near = materialize(nearest_cells(nodes, centroids, nprobe), "near-cells")
+    edges = adjacency(materialize(knn_edges(near, m), "edges"), m)
+    placed = near.select("vec_id", "embedding", part_of(F.col("cells")[0], parts).alias("part"))
+    home = placed.select(F.col("vec_id").alias("dst"), F.col("part").alias("_part"))
     lists = (
         edges.join(home, "dst")
         .groupBy(F.col("src").alias("vec_id"))
-        .agg(F.collect_list(F.struct(F.col("dst").alias("vec_id"), "cell")).alias("neighbours"))
+        .agg(F.collect_list(F.struct(F.col("dst").alias("vec_id"), F.col("_part").alias("part"))).alias("neighbours"))
     )
     table = placed.join(lists, "vec_id", "left").select(
-        "vec_id", l2_normalize(F.col("embedding")).alias("embedding"), "neighbours", "cell"
+        "vec_id", l2_normalize(F.col("embedding")).alias("embedding"), "neighbours", "part"
     )
-    return materialize(table, "graph", partition_by="cell"), members
+    return materialize(table, "graph", partition_by="part"), members
 
 
 def entry_points(centroids: DataFrame, nodes: DataFrame, queries: DataFrame, count=4) -> DataFrame:
-    """(qid, vec_id, cell): the nearest centres, which are corpus vectors. The
-    cell is looked up, since parallel vectors may share another one's cell."""
+    """(qid, vec_id, part): the nearest centres, which are corpus vectors."""
     near = exact_topk(centroids.withColumnRenamed("cell", "vec_id"), queries, count)
     near = broadcast_if_small(near.select("qid", "vec_id"))
-    return nodes.select("vec_id", "cell").join(near, "vec_id").select("qid", "vec_id", "cell")
+    return nodes.select("vec_id", "part").join(near, "vec_id").select("qid", "vec_id", "part")
+
+
+def _row_dots(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Inner products of unit vectors row by row."""
+    sims = np.einsum("ij,ij->i", list_matrix(a), list_matrix(b))
+    return pa.array(np.round(sims, DIGITS))
 
 
 def expand(frontier: DataFrame, edges: DataFrame, visited: DataFrame) -> DataFrame:
@@ -96,23 +107,27 @@ def expand(frontier: DataFrame, edges: DataFrame, visited: DataFrame) -> DataFra
 def graph_search(nodes, entries, queries, k=TOP_K, ef=EF_SEARCH, members=None, max_hops=None) -> DataFrame:
     """Walk from the entries, keeping the ``ef`` best nodes of each query, until
     every kept node has been expanded (or ``max_hops``)."""
+    spark = nodes.sparkSession
     asked = materialize(
         _usable(queries).select("qid", l2_normalize(F.col("embedding")).alias("_query")), "asked"
     )
     asked = broadcast_if_small(asked)
-    fresh = materialize(entries.select("qid", "vec_id", "cell").distinct(), "fresh")
-    visited, beam, hop = fresh, None, 0
+    places = nodes.select("part", "vec_id", "embedding")
+    links = nodes.select("part", "vec_id", "neighbours")
+    similarity = F.arrow_udf(_row_dots, "double")
     best = Window.partitionBy("qid").orderBy(F.desc("sim"), "vec_id")
-    n_fresh = fresh.count()
-    while n_fresh and (max_hops is None or hop <= max_hops):
-        wanted = F.broadcast(fresh) if n_fresh * 48 <= BROADCAST_BYTES else fresh
+    # few narrow rows carry much arithmetic: spread them over all cores
+    tasks = spark.sparkContext.defaultParallelism
+    fresh = materialize(entries.select("qid", "vec_id", "part").distinct(), "fresh")
+    visited, beam, hop = fresh, None, 0
+    while not fresh.isEmpty() and (max_hops is None or hop <= max_hops):
         scored = (
-            nodes.join(wanted, ["cell", "vec_id"])
+            fresh.repartition(tasks, "qid")
+            .join(places, ["part", "vec_id"])
             .join(asked, "qid")
             .select(
-                "qid", "vec_id",
-                F.round(dot(F.col("embedding"), F.col("_query")), DIGITS).alias("sim"),
-                "neighbours", F.lit(False).alias("expanded"),
+                "qid", "vec_id", "part", similarity("embedding", "_query").alias("sim"),
+                F.lit(False).alias("expanded"),
             )
         )
         pool = scored if beam is None else scored.union(beam.withColumn("expanded", F.lit(True)))
@@ -121,16 +136,16 @@ def graph_search(nodes, entries, queries, k=TOP_K, ef=EF_SEARCH, members=None, m
             "beam",
         )
         fresh = materialize(
-            beam.filter(~F.col("expanded"))
+            beam.filter(~F.col("expanded")).select("qid", "vec_id", "part")
+            .join(links, ["part", "vec_id"])
             .select("qid", F.explode("neighbours").alias("_n"))
-            .select("qid", "_n.vec_id", "_n.cell").distinct()
+            .select("qid", "_n.vec_id", "_n.part").distinct()
             .join(visited.select("qid", "vec_id"), ["qid", "vec_id"], "left_anti"),
             "fresh",
         )
-        visited = visited.unionByName(fresh)
-        n_fresh, hop = fresh.count(), hop + 1
+        visited, hop = visited.unionByName(fresh), hop + 1
     if beam is None:
-        return merge_topk(nodes.sparkSession.createDataFrame([], "qid bigint, vec_id bigint, sim double"), k)
+        return merge_topk(spark.createDataFrame([], "qid bigint, vec_id bigint, sim double"), k)
     found = beam.select("qid", "vec_id", "sim")
     if members is not None:
         # a node stands for all its copies; only the k smallest ids can rank

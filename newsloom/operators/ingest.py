@@ -9,7 +9,7 @@ from newsloom.functions.rows import once
 from newsloom.functions.text import boilerplate_cut, preview
 from newsloom.operators.clean import keep_first
 from newsloom.schemas import BOILERPLATE_MARKERS, MIN_CONTENT_CHARS, SHARD_COLUMNS
-from newsloom.session import broadcast_if_small, fits_broadcast
+from newsloom.session import broadcast_if_small, fits_broadcast, materialize
 
 OUTCOMES = ["new", "no_content", "already_seen"]
 
@@ -37,47 +37,56 @@ def has_content(min_chars: int = MIN_CONTENT_CHARS):
     return F.length("text_original") >= min_chars
 
 
-def seen_among(articles: DataFrame, seen: DataFrame) -> DataFrame:
-    """The links of ``articles`` that are in ``seen``.
+def seen_among(items: DataFrame, seen: DataFrame) -> DataFrame:
+    """The links of ``items`` that are in ``seen``.
 
     A batch is small and the seen table only grows, so the batch's links are
     broadcast to the seen table, which is scanned without a shuffle. A batch
     too big for that is joined by shuffle; both sides are distinct links first,
     so no link can be hot.
     """
-    links = articles.select("link").filter("link is not null").distinct()
+    links = items.select("link").filter("link is not null").distinct()
     if fits_broadcast(links):
         return seen.select("link").join(F.broadcast(links), "link", "left_semi").distinct()
     return links.join(seen.select("link").distinct(), "link", "left_semi")
 
 
-def drop_seen(articles: DataFrame, seen: DataFrame) -> DataFrame:
-    known = seen_among(articles, seen)
-    return articles.join(broadcast_if_small(known), "link", "left_anti")
+def drop_seen(items: DataFrame, seen: DataFrame) -> DataFrame:
+    known = seen_among(items, seen)
+    return items.join(broadcast_if_small(known), "link", "left_anti")
 
 
 def new_articles(
-    articles: DataFrame, seen: DataFrame, min_chars=MIN_CONTENT_CHARS, dedupe_within_batch=False,
+    entries: DataFrame, seen: DataFrame, markers=None, min_chars=MIN_CONTENT_CHARS,
+    dedupe_within_batch=False, to_text=html_to_text,
 ) -> DataFrame:
-    """Long enough and not seen. Two entries of one link in the same pull are
-    both kept unless ``dedupe_within_batch`` is set."""
-    fresh = drop_seen(articles.filter(has_content(min_chars)), seen).select(*SHARD_COLUMNS)
+    """Entries that are not seen and have enough text, as shard rows.
+
+    Seen entries are dropped by link first, so their markup is never read. Two
+    entries of one link in the same pull are both kept unless
+    ``dedupe_within_batch`` is set.
+    """
+    fresh = feed_articles(drop_seen(entries, seen), markers, to_text)
+    fresh = fresh.filter(has_content(min_chars)).select(*SHARD_COLUMNS)
     if dedupe_within_batch:
         # smallest row wins, so a repeated run keeps the same one
         order = [c for c in SHARD_COLUMNS if c != "link"]
-        fresh = keep_first(fresh.distinct(), order=order)
+        fresh = keep_first(materialize(fresh, "fresh").distinct(), order=order)
     return fresh
 
 
-def ingest_outcomes(articles: DataFrame, seen: DataFrame, min_chars=MIN_CONTENT_CHARS) -> DataFrame:
-    """Each article with its outcome; the length rule is tested before the seen
+def ingest_outcomes(
+    entries: DataFrame, seen: DataFrame, markers=None, min_chars=MIN_CONTENT_CHARS, to_text=html_to_text,
+) -> DataFrame:
+    """Each entry with its outcome; the length rule is tested before the seen
     rule, so a seen item without content counts as no content."""
-    known = broadcast_if_small(seen_among(articles, seen)).withColumn("_seen", F.lit(True))
+    known = broadcast_if_small(seen_among(entries, seen)).withColumn("_seen", F.lit(True))
     outcome = (
         F.when(~F.coalesce(has_content(min_chars), F.lit(False)), "no_content")
         .when(F.col("_seen"), "already_seen")
         .otherwise("new")
     )
+    articles = feed_articles(entries, markers, to_text)
     return articles.join(known, "link", "left").withColumn("outcome", outcome).drop("_seen")
 
 

@@ -1,6 +1,7 @@
 """Cluster-pruned index: choose or train centres, assign cells, search."""
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from newsloom.session import BROADCAST_BYTES, fits_broadcast, materialize
 
 # Training needs this many vectors per centre at most; assignment uses all.
 TRAIN_PER_CENTRE = 256
+MAX_PARTS = 1000
+PART_BYTES = 64 * 1024 * 1024
 
 
 def choose_nlist(n: int) -> int:
@@ -106,10 +109,36 @@ def assign_cells(vectors: DataFrame, centroids: DataFrame, limit=BROADCAST_BYTES
     return nearest_cells(vectors, centroids, 1, limit).withColumn("cell", F.col("cells")[0]).drop("cells")
 
 
-def build_ivf(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
-    """The index table, stored by cell so that a search reads probed cells only."""
-    columns = ["vec_id", "embedding"]
-    return materialize(assign_cells(vectors.select(*columns), centroids), "ivf", partition_by="cell")
+def index_parts(vectors: DataFrame, nlist: int, n: int) -> int:
+    """Partitions of a stored index: about 64 MB each, never more than cells
+    or ``MAX_PARTS``, so that a long list of cells makes no small files."""
+    first = vectors.select(F.size("embedding").alias("d")).first()
+    size = n * (first["d"] if first else 0) * 4
+    return max(1, min(nlist, MAX_PARTS, -(-size // PART_BYTES)))
+
+
+def part_of(cell, parts: int):
+    return F.pmod(F.xxhash64(cell), F.lit(parts)).cast("int")
+
+
+@dataclass(frozen=True)
+class IvfIndex:
+    """Centres (cell, embedding) and the vectors (vec_id, embedding, cell, part)
+    stored by ``part``."""
+
+    centroids: DataFrame
+    vectors: DataFrame
+    parts: int
+
+
+def build_ivf(vectors: DataFrame, centroids: DataFrame, parts: int | None = None) -> IvfIndex:
+    """Assign every vector to its nearest centre and store it. Cells are hashed
+    to stored partitions, so a search reads the partitions of probed cells."""
+    if parts is None:
+        parts = index_parts(vectors, centroids.count(), vectors.count())
+    placed = assign_cells(vectors.select("vec_id", "embedding"), centroids)
+    stored = materialize(placed.withColumn("part", part_of("cell", parts)), "ivf", partition_by="part")
+    return IvfIndex(centroids, stored, parts)
 
 
 def probe_cells(queries: DataFrame, centroids: DataFrame, nprobe: int) -> DataFrame:
@@ -118,7 +147,9 @@ def probe_cells(queries: DataFrame, centroids: DataFrame, nprobe: int) -> DataFr
     return near.select("qid", "rank", F.col("vec_id").alias("cell"))
 
 
-def ivf_search(indexed, centroids, queries, k=TOP_K, nprobe=None, exclude_self=False) -> DataFrame:
+def ivf_search(index: IvfIndex, queries, k=TOP_K, nprobe=None, exclude_self=False) -> DataFrame:
     if nprobe is None:
-        nprobe = choose_nprobe(centroids.count())
-    return probed_topk(indexed, queries, probe_cells(queries, centroids, nprobe), k, exclude_self)
+        nprobe = choose_nprobe(index.centroids.count())
+    probes = materialize(probe_cells(queries, index.centroids, nprobe), "probes")
+    probes = probes.withColumn("part", part_of("cell", index.parts))
+    return probed_topk(index.vectors, queries, probes, k, exclude_self)

@@ -24,14 +24,19 @@ PRODUCT_CELLS = 4_000_000
 PARTIAL = "qid bigint, vec_id bigint, sim double"
 
 
-def unit_rows(column) -> np.ndarray:
-    """Arrow list column to a matrix of unit rows; zero rows stay zero."""
+def list_matrix(column) -> np.ndarray:
+    """Arrow list column of equal lengths to a matrix."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
     if n == 0:
         return np.zeros((0, 0))
-    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+
+
+def unit_rows(column) -> np.ndarray:
+    """The matrix with rows of unit length; zero rows stay zero."""
+    x = list_matrix(column)
     norms = np.sqrt(np.einsum("ij,ij->i", x, x))
     norms[norms == 0] = 1.0
     return x / norms[:, None]
@@ -204,24 +209,29 @@ def exact_topk(
     return merge_topk(partial, k)
 
 
+def _probed(indexed: DataFrame, probes: DataFrame) -> DataFrame:
+    """Rows of probed cells; a stored index is pruned to their partitions."""
+    keys = ["part", "cell"] if "part" in indexed.columns else ["cell"]
+    return indexed.join(F.broadcast(probes.select(*keys).distinct()), keys, "left_semi")
+
+
 def probed_topk(
     indexed: DataFrame, queries: DataFrame, probes: DataFrame, k=TOP_K, exclude_self=False,
     limit=BROADCAST_BYTES,
 ) -> DataFrame:
     """Top k among the vectors of the probed cells of each query.
 
-    ``indexed`` is (vec_id, embedding, cell), ``probes`` is (qid, cell). Stored
-    with ``partitionBy('cell')``, only the probed cells are read. Rows are
-    scanned where they lie, so a hot cell is as many tasks as it has files.
+    ``indexed`` is (vec_id, embedding, cell) and ``probes`` (qid, cell), both
+    with a ``part`` when the index is stored: only the parts of probed cells are
+    read. Rows are scanned where they lie, so a hot cell is as many tasks as it
+    has files.
     """
     queries = _usable(queries).select("qid", "embedding")
-    probes = probes.select("qid", "cell").distinct()
     if fits_broadcast(queries, limit) and fits_broadcast(probes, limit):
-        wanted = F.broadcast(probes.select("cell").distinct())
-        partial = _scan(indexed.join(wanted, "cell", "left_semi"), queries, k, probes, exclude_self)
+        partial = _scan(_probed(indexed, probes), queries, k, probes, exclude_self)
     else:
         partial = _blocks(
             _usable(indexed).select("cell", "vec_id", "embedding"),
-            queries.join(probes, "qid"), k, exclude_self,
+            queries.join(probes.select("qid", "cell"), "qid"), k, exclude_self,
         )
     return merge_topk(partial, k)

@@ -16,7 +16,7 @@ from newsloom.sources import manifest, shards
 PAGE_MARKERS = BOILERPLATE_MARKERS + ["©"]
 TEXT_MARKERS = BOILERPLATE_MARKERS + ["Released under"]
 MIN_CHARS = 1000
-DIMENSIONS = 64
+DIMENSIONS = embed.HASHED_DIMENSIONS
 
 
 def articles(spark, sf):
@@ -38,11 +38,11 @@ def feed_preview(spark, sf):
 
 
 def rss_ingest(spark, sf):
-    return ingest.new_articles(articles(spark, sf), seen(spark, sf), MIN_CHARS)
+    return ingest.new_articles(entries(spark, sf), seen(spark, sf), PAGE_MARKERS, MIN_CHARS)
 
 
 def ingest_funnel(spark, sf):
-    return ingest.ingest_funnel(ingest.ingest_outcomes(articles(spark, sf), seen(spark, sf), MIN_CHARS))
+    return ingest.ingest_funnel(ingest.ingest_outcomes(entries(spark, sf), seen(spark, sf), PAGE_MARKERS, MIN_CHARS))
 
 
 def seen_links_build(spark, sf):
@@ -78,12 +78,12 @@ def _entries_of(vectors, *keys):
 
 def embed_hashed(spark, sf):
     documents = corpus(spark, sf).select("ord", "text_original")
-    return _entries_of(embed.embed(documents, d=DIMENSIONS), "ord")
+    return _entries_of(embed.embed(documents), "ord")
 
 
 def incremental_embed(spark, sf):
-    pending = embed.incremental_embed(corpus(spark, sf), _stored(spark, sf), d=DIMENSIONS)
-    return _entries_of(pending.select("link", "shard", "embedding").distinct(), "link", "shard")
+    pending = embed.incremental_embed(corpus(spark, sf), _stored(spark, sf))
+    return _entries_of(pending, "link", "shard").distinct()
 
 
 def vector_meta_parity(spark, sf):

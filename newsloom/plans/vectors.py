@@ -22,7 +22,9 @@ def positioned(spark, sf):
 
 
 def asked(spark, sf, scales=(None,)):
-    return sampling.query_sample(positioned(spark, sf), scales, N_QUERIES).select("qid", "embedding")
+    """The query table; it is small and read several times."""
+    sample = sampling.query_sample(positioned(spark, sf), scales, N_QUERIES)
+    return materialize(sample.select("qid", "embedding"), "queries")
 
 
 def centres(spark, sf):
@@ -60,9 +62,8 @@ def ivf_assign(spark, sf):
 
 
 def ivf_probe(spark, sf):
-    c = centres(spark, sf)
-    index = ivf.build_ivf(vectors(spark, sf), c)
-    return _shown(ivf.ivf_search(index, c, asked(spark, sf), TOP_K))
+    index = ivf.build_ivf(vectors(spark, sf), centres(spark, sf))
+    return _shown(ivf.ivf_search(index, asked(spark, sf), TOP_K))
 
 
 def ivf_search(spark, sf):
@@ -70,21 +71,22 @@ def ivf_search(spark, sf):
     v = vectors(spark, sf)
     n = v.count()
     c = ivf.train_centroids(v, ivf.choose_nlist(n), n=n)
-    return _shown(ivf.ivf_search(ivf.build_ivf(v, c), c, asked(spark, sf), TOP_K))
+    return _shown(ivf.ivf_search(ivf.build_ivf(v, c), asked(spark, sf), TOP_K))
 
 
 def recall_at_k(spark, sf):
-    """Recall of the sampled-centre index for every query sample size."""
-    q = materialize(asked(spark, sf), "queries")
-    c = centres(spark, sf)
+    """Mean recall of the index with sampled centres."""
+    q = asked(spark, sf)
+    index = ivf.build_ivf(vectors(spark, sf), centres(spark, sf))
     truth = search.exact_topk(vectors(spark, sf), q, TOP_K)
-    found = ivf.ivf_search(ivf.build_ivf(vectors(spark, sf), c), c, q, TOP_K)
+    found = ivf.ivf_search(index, q, TOP_K)
     return recall.recall_at_k(found, truth, TOP_K).withColumn("recall", F.round("recall", 6))
 
 
 def edges(spark, sf):
     nodes, _ = graph.split_copies(vectors(spark, sf))
-    return graph.adjacency(graph.knn_edges(nodes, centres(spark, sf), GRAPH_M, GRAPH_PROBES), GRAPH_M)
+    near = materialize(ivf.nearest_cells(nodes, centres(spark, sf), GRAPH_PROBES), "near-cells")
+    return graph.adjacency(graph.knn_edges(near, GRAPH_M), GRAPH_M)
 
 
 def knn_graph(spark, sf):
@@ -93,13 +95,13 @@ def knn_graph(spark, sf):
 
 def graph_expand(spark, sf):
     """One hop from each query's own node."""
-    start = materialize(asked(spark, sf).select("qid", F.col("qid").alias("vec_id")), "start")
+    start = asked(spark, sf).select("qid", F.col("qid").alias("vec_id"))
     return graph.expand(start, edges(spark, sf), start)
 
 
 def graph_search(spark, sf):
     c = centres(spark, sf)
-    q = materialize(asked(spark, sf), "queries")
+    q = asked(spark, sf)
     nodes, members = graph.build_graph(vectors(spark, sf), c, GRAPH_M, GRAPH_PROBES)
     found = graph.graph_search(nodes, graph.entry_points(c, nodes, q), q, TOP_K, members=members)
     return _shown(found)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.embed import embed_backlog, table_exists
-from newsloom.operators.ingest import feed_articles, new_articles, run_summary
+from newsloom.operators.ingest import new_articles, run_summary
 from newsloom.schemas import MIN_CONTENT_CHARS
 from newsloom.session import materialize
 from newsloom.sources.feeds import feed_entries, stream_feed
@@ -38,10 +38,10 @@ def ingest_batch(
     spark = items.sparkSession
     shard = shard_name(batch_id)
     seen = seen_links(spark, base_links, shards_path, shard)
-    articles = materialize(feed_articles(feed_entries(items), markers), "feed-articles")
+    entries = materialize(feed_entries(items), "feed-entries")
     # kept apart from the target, which the seen links are read from
     fresh = materialize(
-        new_articles(articles, seen, min_chars, dedupe_within_batch=True), "fresh-articles"
+        new_articles(entries, seen, markers, min_chars, dedupe_within_batch=True), "fresh-articles"
     )
     write_shard(fresh, shards_path, shard)
 
