@@ -116,13 +116,14 @@ def graph_search(nodes, entries, queries, k=TOP_K, ef=EF_SEARCH, members=None, m
     links = nodes.select("part", "vec_id", "neighbours")
     similarity = F.arrow_udf(_row_dots, "double")
     best = Window.partitionBy("qid").orderBy(F.desc("sim"), "vec_id")
-    # few narrow rows carry much arithmetic: spread them over all cores
+    # few narrow rows carry much arithmetic: spread them over all cores; the
+    # filters on part, always true, let the joins prune the stored partitions
     tasks = spark.sparkContext.defaultParallelism
     fresh = materialize(entries.select("qid", "vec_id", "part").distinct(), "fresh")
     visited, beam, hop = fresh, None, 0
     while not fresh.isEmpty() and (max_hops is None or hop <= max_hops):
         scored = (
-            fresh.repartition(tasks, "qid")
+            fresh.filter("part >= 0").repartition(tasks, "qid")
             .join(places, ["part", "vec_id"])
             .join(asked, "qid")
             .select(
@@ -136,7 +137,7 @@ def graph_search(nodes, entries, queries, k=TOP_K, ef=EF_SEARCH, members=None, m
             "beam",
         )
         fresh = materialize(
-            beam.filter(~F.col("expanded")).select("qid", "vec_id", "part")
+            beam.filter("not expanded and part >= 0").select("qid", "vec_id", "part")
             .join(links, ["part", "vec_id"])
             .select("qid", F.explode("neighbours").alias("_n"))
             .select("qid", "_n.vec_id", "_n.part").distinct()

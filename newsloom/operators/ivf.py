@@ -51,6 +51,8 @@ def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10, n=
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    if nlist == 1:
+        return sample_centroids(vectors, 1, seed)
     usable = _usable(vectors)
     n = usable.count() if n is None else n
     share = min(1.0, TRAIN_PER_CENTRE * nlist / max(1, n))

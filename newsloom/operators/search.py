@@ -211,8 +211,11 @@ def exact_topk(
 
 def _probed(indexed: DataFrame, probes: DataFrame) -> DataFrame:
     """Rows of probed cells; a stored index is pruned to their partitions."""
-    keys = ["part", "cell"] if "part" in indexed.columns else ["cell"]
-    return indexed.join(F.broadcast(probes.select(*keys).distinct()), keys, "left_semi")
+    if "part" not in indexed.columns:
+        return indexed.join(F.broadcast(probes.select("cell").distinct()), "cell", "left_semi")
+    # always true: Spark prunes partitions by a join only if that side is filtered
+    wanted = probes.select("part", "cell").distinct().filter("part >= 0")
+    return indexed.join(F.broadcast(wanted), ["part", "cell"], "left_semi")
 
 
 def probed_topk(

@@ -47,5 +47,9 @@ def feed_entries(items: DataFrame) -> DataFrame:
 
 
 def broken_items(items: DataFrame) -> DataFrame:
-    """One row (broken_items): how many items did not parse; reported, not fatal."""
-    return items.agg(F.count_if(F.col("_corrupt").isNotNull()).alias("broken_items"))
+    """One row (linked_items, broken_items): items with a link, and items that did
+    not parse, which are reported and not fatal."""
+    return items.agg(
+        F.count("link").alias("linked_items"),
+        F.count_if(F.col("_corrupt").isNotNull()).alias("broken_items"),
+    )
