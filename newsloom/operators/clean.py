@@ -23,7 +23,7 @@ def drop_blocked(df: DataFrame, blocked=None, key: str = "link") -> DataFrame:
     blocked = KNOWN_BAD_LINKS if blocked is None else blocked
     if isinstance(blocked, DataFrame):
         keys = blocked.select(key).filter(F.col(key).isNotNull()).distinct()
-        return df.join(broadcast_if_small(keys), key, "left_anti")
+        return df.join(broadcast_if_small(keys, "blocked"), key, "left_anti")
     return df.filter(F.col(key).isNull() | ~F.col(key).isin(list(blocked)))
 
 
@@ -86,8 +86,9 @@ def clean_funnel(df: DataFrame, blocked=None, order: str = "ord", text: str = "t
     """
     blocked = KNOWN_BAD_LINKS if blocked is None else blocked
     if isinstance(blocked, DataFrame):
-        keys = blocked.select("link").filter("link is not null").distinct().withColumn("_bad", F.lit(True))
-        df = df.join(broadcast_if_small(keys), "link", "left")
+        keys = blocked.select("link").filter("link is not null").distinct()
+        keys = broadcast_if_small(keys, "blocked").withColumn("_bad", F.lit(True))
+        df = df.join(keys, "link", "left")
         bad = F.coalesce(F.col("_bad"), F.lit(False))
     else:
         bad = F.coalesce(F.col("link").isin(list(blocked)), F.lit(False))

@@ -111,7 +111,7 @@ def backlog(articles: DataFrame, embedded: DataFrame) -> DataFrame:
     """Articles of shards without vectors. The list of pending shard names is
     broadcast after a check, and prunes the shard partitions of the scan."""
     pending = unembedded_shards(articles, embedded)
-    return articles.join(broadcast_if_small(pending), "shard", "left_semi")
+    return articles.join(broadcast_if_small(pending, "pending"), "shard", "left_semi")
 
 
 def incremental_embed(articles: DataFrame, embedded: DataFrame, factory=None) -> DataFrame:

@@ -106,12 +106,17 @@ def expand(frontier: DataFrame, edges: DataFrame, visited: DataFrame) -> DataFra
 
 def graph_search(nodes, entries, queries, k=TOP_K, ef=EF_SEARCH, members=None, max_hops=None) -> DataFrame:
     """Walk from the entries, keeping the ``ef`` best nodes of each query, until
-    every kept node has been expanded (or ``max_hops``)."""
+    every kept node has been expanded (or ``max_hops``).
+
+    Each hop is one job that writes the nodes it scored. All scored rows are
+    the visited set, and the best of them are the beam. A node that enters the
+    beam does so in the hop that scored it, so only the last hop's rows in the
+    beam are still to be expanded.
+    """
     spark = nodes.sparkSession
-    asked = materialize(
+    asked = broadcast_if_small(
         _usable(queries).select("qid", l2_normalize(F.col("embedding")).alias("_query")), "asked"
     )
-    asked = broadcast_if_small(asked)
     places = nodes.select("part", "vec_id", "embedding")
     links = nodes.select("part", "vec_id", "neighbours")
     similarity = F.arrow_udf(_row_dots, "double")
@@ -119,35 +124,37 @@ def graph_search(nodes, entries, queries, k=TOP_K, ef=EF_SEARCH, members=None, m
     # few narrow rows carry much arithmetic: spread them over all cores; the
     # filters on part, always true, let the joins prune the stored partitions
     tasks = spark.sparkContext.defaultParallelism
-    fresh = materialize(entries.select("qid", "vec_id", "part").distinct(), "fresh")
-    visited, beam, hop = fresh, None, 0
-    while not fresh.isEmpty() and (max_hops is None or hop <= max_hops):
-        scored = (
+
+    def score(fresh, hop):
+        return materialize(
             fresh.filter("part >= 0").repartition(tasks, "qid")
             .join(places, ["part", "vec_id"])
             .join(asked, "qid")
             .select(
                 "qid", "vec_id", "part", similarity("embedding", "_query").alias("sim"),
-                F.lit(False).alias("expanded"),
-            )
+                F.lit(hop).alias("hop"),
+            ),
+            "scored",
         )
-        pool = scored if beam is None else scored.union(beam.withColumn("expanded", F.lit(True)))
-        beam = materialize(
-            pool.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= ef).drop("_rank"),
-            "beam",
-        )
-        fresh = materialize(
-            beam.filter("not expanded and part >= 0").select("qid", "vec_id", "part")
+
+    def beam_of(rows):
+        return rows.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= ef)
+
+    hop = 0
+    last = scored = score(entries.select("qid", "vec_id", "part").distinct(), hop)
+    while not last.isEmpty() and (max_hops is None or hop < max_hops):
+        frontier = beam_of(scored).filter((F.col("hop") == hop) & (F.col("part") >= 0))
+        fresh = (
+            frontier.select("part", "vec_id", "qid")
             .join(links, ["part", "vec_id"])
             .select("qid", F.explode("neighbours").alias("_n"))
             .select("qid", "_n.vec_id", "_n.part").distinct()
-            .join(visited.select("qid", "vec_id"), ["qid", "vec_id"], "left_anti"),
-            "fresh",
+            .join(scored.select("qid", "vec_id"), ["qid", "vec_id"], "left_anti")
         )
-        visited, hop = visited.unionByName(fresh), hop + 1
-    if beam is None:
-        return merge_topk(spark.createDataFrame([], "qid bigint, vec_id bigint, sim double"), k)
-    found = beam.select("qid", "vec_id", "sim")
+        hop += 1
+        last = score(fresh, hop)
+        scored = scored.union(last)
+    found = beam_of(scored).select("qid", "vec_id", "sim")
     if members is not None:
         # a node stands for all its copies; only the k smallest ids can rank
         by = Window.partitionBy("node").orderBy("vec_id")

@@ -53,7 +53,7 @@ def seen_among(items: DataFrame, seen: DataFrame) -> DataFrame:
 
 def drop_seen(items: DataFrame, seen: DataFrame) -> DataFrame:
     known = seen_among(items, seen)
-    return items.join(broadcast_if_small(known), "link", "left_anti")
+    return items.join(broadcast_if_small(known, "known"), "link", "left_anti")
 
 
 def new_articles(
@@ -80,7 +80,7 @@ def ingest_outcomes(
 ) -> DataFrame:
     """Each entry with its outcome; the length rule is tested before the seen
     rule, so a seen item without content counts as no content."""
-    known = broadcast_if_small(seen_among(entries, seen)).withColumn("_seen", F.lit(True))
+    known = broadcast_if_small(seen_among(entries, seen), "known").withColumn("_seen", F.lit(True))
     outcome = (
         F.when(~F.coalesce(has_content(min_chars), F.lit(False)), "no_content")
         .when(F.col("_seen"), "already_seen")

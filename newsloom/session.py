@@ -25,6 +25,9 @@ def build_session(app="newsloom", **conf):
     return builder.getOrCreate()
 
 
+_local_folders = {}
+
+
 def shared_dir(spark):
     """The folder that every executor can reach, named by spark.checkpoint.dir.
 
@@ -33,11 +36,12 @@ def shared_dir(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="newsloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="newsloom-")
+    return _local_folders[context.applicationId]
 
 
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -78,6 +82,12 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= limit
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast after measuring the table; otherwise leave it to AQE."""
+def broadcast_if_small(df: DataFrame, store: str | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast after measuring the table; otherwise leave it to AQE.
+
+    With ``store`` the table is written under that name first, so that what was
+    costly to compute is computed once.
+    """
+    if store:
+        df = materialize(df, store)
     return F.broadcast(df) if fits_broadcast(df, limit) else df

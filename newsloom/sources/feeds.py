@@ -19,15 +19,20 @@ def _options(reader):
     )
 
 
+def _landed(items: DataFrame) -> DataFrame:
+    """Keep when the snapshot landed; it names the ingest run."""
+    return items.select("*", F.col("_metadata.file_modification_time").alias("landed"))
+
+
 def read_feed(spark, path) -> DataFrame:
-    return _options(spark.read).load(path)
+    return _landed(_options(spark.read).load(path))
 
 
 def stream_feed(spark, path, max_files=None) -> DataFrame:
     reader = _options(spark.readStream)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    return _landed(reader.load(path))
 
 
 def _text(c) -> Column:
@@ -43,6 +48,7 @@ def feed_entries(items: DataFrame) -> DataFrame:
         F.col("pubDate").alias("published"),
         _text(F.get("category", F.lit(0))).alias("category"),
         _text(F.get("content:encoded", F.lit(0))).alias("content"),
+        "landed",
     )
 
 

@@ -9,6 +9,7 @@ partition twice.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.functions.dates import shard_stamp
 from newsloom.operators.embed import embed_backlog, table_exists
 from newsloom.operators.ingest import new_articles, run_summary
 from newsloom.schemas import MIN_CONTENT_CHARS
@@ -26,9 +27,14 @@ def seen_links(spark, base_links: DataFrame, shards_path: str, but_shard: str) -
     return links
 
 
-def shard_name(batch_id: int) -> str:
-    """Fixed per batch, so a replayed batch overwrites its own partition."""
-    return f"batch-{batch_id:010d}"
+def shard_name(entries: DataFrame, batch_id: int) -> str:
+    """UTC stamp of the newest snapshot of the batch, and the batch number.
+
+    Both are fixed per batch, so a replayed batch overwrites its own partition;
+    names sort by time.
+    """
+    stamp = entries.agg(shard_stamp(F.max("landed")).alias("stamp")).first()["stamp"]
+    return f"{stamp}-{batch_id:010d}"
 
 
 def ingest_batch(
@@ -36,9 +42,9 @@ def ingest_batch(
     markers=None, min_chars=MIN_CONTENT_CHARS,
 ) -> None:
     spark = items.sparkSession
-    shard = shard_name(batch_id)
-    seen = seen_links(spark, base_links, shards_path, shard)
     entries = materialize(feed_entries(items), "feed-entries")
+    shard = shard_name(entries, batch_id)
+    seen = seen_links(spark, base_links, shards_path, shard)
     # kept apart from the target, which the seen links are read from
     fresh = materialize(
         new_articles(entries, seen, markers, min_chars, dedupe_within_batch=True), "fresh-articles"

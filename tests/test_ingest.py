@@ -46,7 +46,7 @@ def test_dedupe_within_batch_keeps_one(pull, seen):
 def test_big_batches_take_the_shuffle_path(pull, seen, monkeypatch):
     want = sorted(str(r["link"]) for r in ingest.new_articles(pull, seen).collect())
     monkeypatch.setattr(ingest, "fits_broadcast", lambda df: False)
-    monkeypatch.setattr(ingest, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(ingest, "broadcast_if_small", lambda df, store: df)
     assert sorted(str(r["link"]) for r in ingest.new_articles(pull, seen).collect()) == want
 
 

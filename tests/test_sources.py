@@ -2,7 +2,6 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from newsloom.functions.dates import shard_stamp  # noqa: F401
 from newsloom.operators import clean
 from newsloom.schemas import CORPUS_COLUMNS, SHARD_COLUMNS
 from newsloom.sources import corpus, feeds, manifest, shards
