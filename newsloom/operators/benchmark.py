@@ -65,6 +65,35 @@ def compare_searches(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
+def recall_by_scale(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=SEED) -> DataFrame:
+    """(scale, method, n_queries, recall) of exact and cluster-pruned search with
+    sampled centres: the part of the comparison that any engine can repeat."""
+    positioned = materialize(shuffle_positions(vectors.select("vec_id", "embedding"), seed=seed), "shuffled")
+    total = positioned.count()
+    sizes = sorted({min(s, total) if s is not None else total for s in scales})
+    queries = materialize(
+        query_sample(positioned, sizes, n_queries, seed=seed).select("qid", "embedding"), "queries"
+    )
+    results = []
+    for scale in sizes:
+        subset = nested_sample(positioned, scale).select("vec_id", "embedding")
+        nlist = choose_nlist(scale)
+        centres = materialize(sample_centroids(subset, nlist, seed), "centres")
+        truth = materialize(exact_topk(subset, queries, k), "truth")
+        found = ivf_search(build_ivf(subset, centres), queries, k, choose_nprobe(nlist))
+        for method, predicted in (("brute_force", truth), ("ivf", found)):
+            results.append(
+                recall_at_k(predicted, truth, k).select(
+                    F.lit(scale).cast("bigint").alias("scale"), F.lit(method).alias("method"),
+                    "n_queries", "recall",
+                )
+            )
+    union = results[0]
+    for result in results[1:]:
+        union = union.unionByName(result)
+    return union
+
+
 def chart_series(results: DataFrame, methods=None) -> DataFrame:
     """Chart-ready rows: label, scale, latency and its logarithm, recall."""
     methods = METHOD_LABELS if methods is None else methods

@@ -83,7 +83,7 @@ def embed_hashed(spark, sf):
 
 def incremental_embed(spark, sf):
     pending = embed.incremental_embed(corpus(spark, sf), _stored(spark, sf))
-    return _entries_of(pending, "link", "shard").distinct()
+    return _entries_of(pending, "link", "shard")
 
 
 def vector_meta_parity(spark, sf):
@@ -152,9 +152,9 @@ UNION ALL SELECT link, date, title_original, category, '2024-01-01T000000Z' AS s
     + "SELECT ord, bucket, value FROM entries",
     "incremental_embed": with_(
         CORPUS,
-        "pending AS (SELECT DISTINCT link, shard, text_original FROM corpus"
+        "pending AS (SELECT ord, link, shard, text_original FROM corpus"
         f" WHERE shard NOT IN (SELECT shard FROM corpus WHERE shard < '{WATERMARK}'))",
-        sql_tokens("pending", "link, shard", "text_original"),
+        sql_tokens("pending", "ord, link, shard", "text_original"),
     ) + "SELECT link, shard, bucket, value FROM entries",
     "vector_meta_parity": """SELECT (SELECT count(*) FROM embeddings) AS n_vectors,
   (SELECT count(*) FROM labels) AS n_meta,

@@ -11,6 +11,7 @@ from newsloom.session import materialize
 # Nested scales for the generated vectors; the last is the whole table.
 SCALES = [100, 250, None]
 GRAPH_PROBES = 5
+SWEEP_QUERIES = 50
 
 
 def vectors(spark, sf):
@@ -50,7 +51,7 @@ def nested_sample(spark, sf):
 
 
 def query_sample(spark, sf):
-    return sampling.query_sample(positioned(spark, sf), SCALES, 50).select("qid", "pos")
+    return sampling.query_sample(positioned(spark, sf), SCALES, SWEEP_QUERIES).select("qid", "pos")
 
 
 def exact_topk(spark, sf):
@@ -107,6 +108,11 @@ def graph_search(spark, sf):
     return _shown(found)
 
 
+def recall_by_scale(spark, sf):
+    found = benchmark.recall_by_scale(vectors(spark, sf), SCALES, SWEEP_QUERIES)
+    return found.withColumn("recall", F.round("recall", 6))
+
+
 def recall_series(spark, sf):
     """The whole comparison with measured times (which differ between runs)."""
     return benchmark.chart_series(benchmark.compare_searches(vectors(spark, sf), SCALES))
@@ -116,7 +122,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         l2_normalize, nested_sample, query_sample, exact_topk, ivf_assign, ivf_probe, ivf_search,
-        recall_at_k, knn_graph, graph_expand, graph_search, recall_series,
+        recall_at_k, knn_graph, graph_expand, graph_search, recall_by_scale, recall_series,
     ]
 }
 
@@ -157,6 +163,41 @@ edges AS (
 _INDEX = with_(UNIT, POSITIONED, _QUERIES, NLIST, CENTRES, NEAR, _PROBE, _EXACT)
 _GRAPH = with_(UNIT, POSITIONED, _QUERIES, NLIST, CENTRES, NEAR, _EDGES)
 
+_SMALLEST = min(s for s in SCALES if s)
+
+
+def sql_scale(scale):
+    """One scale of the comparison, with names that end in the scale."""
+    n = scale or "all"
+    where = f"WHERE pos <= {scale}" if scale else ""
+    ctes = f"""sub_{n} AS (SELECT u.vec_id, u.u, e.embedding FROM unit u
+  JOIN (SELECT vec_id FROM positioned {where}) p USING (vec_id) JOIN embeddings e USING (vec_id)),
+size_{n} AS (SELECT greatest(1, least(CAST(floor(4 * sqrt(count(*))) AS BIGINT), greatest(1, count(*) // 40))) AS n FROM sub_{n}),
+centre_{n} AS (SELECT cell, u FROM (
+  SELECT vec_id AS cell, row_number() OVER (ORDER BY md5('42:cell:' || vec_id), vec_id) AS r
+  FROM (SELECT min(vec_id) AS vec_id FROM sub_{n} GROUP BY embedding) a) b
+  JOIN sub_{n} ON vec_id = cell WHERE r <= (SELECT n FROM size_{n})),
+near_{n} AS (SELECT vec_id, cell, row_number() OVER (
+  PARTITION BY vec_id ORDER BY round(list_inner_product(v.u, c.u), 9) DESC, cell) AS r FROM sub_{n} v, centre_{n} c),
+sims_{n} AS (SELECT qid, v.vec_id, round(list_inner_product(q.u, v.u), 9) AS s
+  FROM queries JOIN unit q ON q.vec_id = qid, sub_{n} v),
+true_{n} AS (SELECT qid, vec_id FROM sims_{n}
+  QUALIFY row_number() OVER (PARTITION BY qid ORDER BY s DESC, vec_id) <= {TOP_K}),
+found_{n} AS (SELECT s.qid, s.vec_id FROM sims_{n} s
+  JOIN near_{n} v ON v.vec_id = s.vec_id AND v.r = 1
+  JOIN near_{n} p ON p.vec_id = s.qid AND p.cell = v.cell
+    AND p.r <= (SELECT greatest(1, CAST(floor(n * 0.1) AS BIGINT)) FROM size_{n})
+  QUALIFY row_number() OVER (PARTITION BY s.qid ORDER BY s DESC, s.vec_id) <= {TOP_K})"""
+    total = f"(SELECT count(*) FROM sub_{n}) AS scale"
+    select = f"""SELECT {total}, 'brute_force' AS method, count(DISTINCT qid) AS n_queries, 1.0::DOUBLE AS recall FROM true_{n}
+UNION ALL SELECT {total}, 'ivf' AS method, count(DISTINCT t.qid) AS n_queries,
+  round(count(f.vec_id) / (count(DISTINCT t.qid) * {TOP_K}), 6) AS recall
+FROM true_{n} t LEFT JOIN found_{n} f ON f.qid = t.qid AND f.vec_id = t.vec_id"""
+    return ctes, select
+
+
+_BY_SCALE = [sql_scale(s) for s in SCALES]
+
 ORACLES = {
     "l2_normalize": with_(UNIT) + """SELECT vec_id, unnest(range(len(u))) AS pos,
   unnest(list_transform(u, lambda x: round(x, 6))) AS value FROM unit""",
@@ -164,7 +205,7 @@ ORACLES = {
         f"SELECT vec_id, pos, '{s or 'all'}' AS scale FROM positioned" + (f" WHERE pos <= {s}" if s else "")
         for s in SCALES
     ) + ") a",
-    "query_sample": with_(POSITIONED, sql_queries(50, min(s for s in SCALES if s)))
+    "query_sample": with_(POSITIONED, sql_queries(SWEEP_QUERIES, _SMALLEST))
     + "SELECT qid, pos FROM queries JOIN positioned ON vec_id = qid",
     "exact_topk": with_(UNIT, POSITIONED, _QUERIES, _EXACT)
     + "SELECT qid, rank, vec_id, round(sim, 6) AS sim FROM exact",
@@ -173,6 +214,9 @@ ORACLES = {
     "recall_at_k": _INDEX + f"""SELECT count(*) AS n_queries, round(avg(hits / {TOP_K}), 6) AS recall FROM (
   SELECT e.qid, count(p.vec_id) AS hits
   FROM exact e LEFT JOIN probed p ON p.qid = e.qid AND p.vec_id = e.vec_id GROUP BY e.qid) a""",
+    "recall_by_scale": with_(
+        UNIT, POSITIONED, sql_queries(SWEEP_QUERIES, _SMALLEST), *[ctes for ctes, _ in _BY_SCALE]
+    ) + "\nUNION ALL ".join(select for _, select in _BY_SCALE),
     "knn_graph": _GRAPH + "SELECT src, dst, round(s, 6) AS sim FROM edges",
     "graph_expand": _GRAPH + "SELECT DISTINCT src AS qid, dst AS vec_id FROM edges WHERE src IN (SELECT qid FROM queries)",
 }
