@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from newsloom.functions.vectors import l2_normalize
 from newsloom.operators.ivf import index_parts, nearest_cells, part_of
-from newsloom.operators.search import DIGITS, _blocks, _usable, exact_topk, list_matrix, merge_topk
+from newsloom.operators.search import DIGITS, block_candidates, exact_topk, list_matrix, merge_topk, with_vector
 from newsloom.schemas import EF_SEARCH, GRAPH_M, TOP_K
 from newsloom.session import broadcast_if_small, materialize
 
@@ -24,7 +24,7 @@ def split_copies(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     Without this, a vector that fills a third of the corpus would fill the
     neighbour lists with itself.
     """
-    usable = _usable(vectors).select("vec_id", "embedding")
+    usable = with_vector(vectors).select("vec_id", "embedding")
     nodes = materialize(
         usable.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")),
         "nodes",
@@ -44,7 +44,7 @@ def knn_edges(near: DataFrame, m=GRAPH_M) -> DataFrame:
     asking = near.select(
         F.explode("cells").alias("cell"), F.col("vec_id").alias("qid"), "embedding"
     )
-    ranked = merge_topk(_blocks(stored, asking, m, exclude_self=True), m)
+    ranked = merge_topk(block_candidates(stored, asking, m, exclude_self=True), m)
     return ranked.select(F.col("qid").alias("src"), F.col("vec_id").alias("dst"), "sim")
 
 
@@ -115,7 +115,7 @@ def graph_search(nodes, entries, queries, k=TOP_K, ef=EF_SEARCH, members=None, m
     """
     spark = nodes.sparkSession
     asked = broadcast_if_small(
-        _usable(queries).select("qid", l2_normalize(F.col("embedding")).alias("_query")), "asked"
+        with_vector(queries).select("qid", l2_normalize(F.col("embedding")).alias("_query")), "asked"
     )
     places = nodes.select("part", "vec_id", "embedding")
     links = nodes.select("part", "vec_id", "neighbours")

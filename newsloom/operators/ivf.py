@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.vectors import dot
 from newsloom.operators.sampling import salted_md5
-from newsloom.operators.search import DIGITS, _blocks, _usable, exact_topk, merge_topk, probed_topk, unit_rows
+from newsloom.operators.search import DIGITS, block_candidates, exact_topk, merge_topk, probed_topk, unit_rows, with_vector
 from newsloom.schemas import NPROBE_FRACTION, SEED, TOP_K
 from newsloom.session import BROADCAST_BYTES, fits_broadcast, materialize
 
@@ -34,7 +34,7 @@ def sample_centroids(vectors: DataFrame, nlist: int, seed: int = SEED) -> DataFr
     id of its centre. Copies of one vector count once, so a vector that fills a
     third of the corpus still gets one cell."""
     ids = (
-        _usable(vectors)
+        with_vector(vectors)
         .groupBy(F.xxhash64("embedding").alias("_h"))
         .agg(F.min("vec_id").alias("cell"))
         .orderBy(salted_md5("cell", f"{seed}:cell"), "cell")
@@ -53,7 +53,7 @@ def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10, n=
 
     if nlist == 1:
         return sample_centroids(vectors, 1, seed)
-    usable = _usable(vectors)
+    usable = with_vector(vectors)
     n = usable.count() if n is None else n
     share = min(1.0, TRAIN_PER_CENTRE * nlist / max(1, n))
     if share < 1.0:
@@ -91,12 +91,12 @@ def nearest_cells(vectors: DataFrame, centroids: DataFrame, count: int = 1, limi
             offsets = np.arange(0, len(flat) + 1, count, dtype=np.int32)
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
-        return _usable(vectors).withColumn("cells", F.arrow_udf(nearest, "array<bigint>")("embedding"))
+        return with_vector(vectors).withColumn("cells", F.arrow_udf(nearest, "array<bigint>")("embedding"))
     zero = F.lit(0).cast("bigint")
     ranked = merge_topk(
-        _blocks(
+        block_candidates(
             centroids.select(zero.alias("cell"), F.col("cell").alias("vec_id"), "embedding"),
-            _usable(vectors).select(zero.alias("cell"), F.col("vec_id").alias("qid"), "embedding"),
+            with_vector(vectors).select(zero.alias("cell"), F.col("vec_id").alias("qid"), "embedding"),
             count,
         ),
         count,

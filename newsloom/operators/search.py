@@ -18,7 +18,8 @@ from newsloom.schemas import NEIGHBOUR_SCHEMA, TOP_K
 from newsloom.session import BROADCAST_BYTES, broadcast_if_small, fits_broadcast
 
 DIGITS = 9
-BLOCK_ROWS = 8192
+# unit vectors of one block, in double precision
+BLOCK_BYTES = 128 * 1024 * 1024
 # similarity values held at a time by one task
 PRODUCT_CELLS = 4_000_000
 PARTIAL = "qid bigint, vec_id bigint, sim double"
@@ -99,7 +100,7 @@ def _gather(queries: DataFrame):
     return np.asarray(table["qid"].to_numpy(), dtype=np.int64), unit_rows(table["embedding"])
 
 
-def _usable(df: DataFrame) -> DataFrame:
+def with_vector(df: DataFrame) -> DataFrame:
     return df.filter(F.col("embedding").isNotNull())
 
 
@@ -147,16 +148,20 @@ def _scan(vectors: DataFrame, queries: DataFrame, k: int, probes=None, exclude_s
         columns.append(F.col("cell").cast("bigint"))
     if not len(qids):
         return vectors.sparkSession.createDataFrame([], PARTIAL)
-    return _usable(vectors).select(*columns).mapInArrow(run, PARTIAL)
+    return with_vector(vectors).select(*columns).mapInArrow(run, PARTIAL)
 
 
-def _blocks(vectors: DataFrame, queries: DataFrame, k: int, exclude_self=False, block_rows=BLOCK_ROWS):
+def block_candidates(vectors: DataFrame, queries: DataFrame, k: int, exclude_self=False, block_rows=None):
     """Candidates when the queries are too many for one task.
 
     Both sides carry a cell. Rows of a cell are salted into blocks of about
-    ``block_rows`` by a hash of their id, and each pair of blocks is one group,
-    so a hot cell is spread over many bounded groups.
+    ``block_rows`` (128 MB by default) by a hash of their id, and each pair of
+    blocks is one group, so a hot cell is spread over many bounded groups.
     """
+    if block_rows is None:
+        first = vectors.select(F.size("embedding").alias("d")).first()
+        block_rows = max(1, BLOCK_BYTES // (8 * max(1, first["d"] if first else 1)))
+
     def blocks(df, name):
         return df.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias(name))
 
@@ -191,20 +196,21 @@ def _blocks(vectors: DataFrame, queries: DataFrame, k: int, exclude_self=False,
 
 def exact_topk(
     vectors: DataFrame, queries: DataFrame, k=TOP_K, exclude_self=False, limit=BROADCAST_BYTES,
+    block_rows=None,
 ) -> DataFrame:
     """The k most similar vectors of each query: (qid, rank, vec_id, sim).
 
     Queries that measure small go into every task and the vectors are scanned
     once, unshuffled. More queries than that are joined block by block.
     """
-    queries = _usable(queries).select("qid", "embedding")
+    queries = with_vector(queries).select("qid", "embedding")
     if fits_broadcast(queries, limit):
         partial = _scan(vectors, queries, k, None, exclude_self)
     else:
         one = F.lit(0).cast("bigint")
-        partial = _blocks(
-            _usable(vectors).select(one.alias("cell"), "vec_id", "embedding"),
-            queries.withColumn("cell", one), k, exclude_self,
+        partial = block_candidates(
+            with_vector(vectors).select(one.alias("cell"), "vec_id", "embedding"),
+            queries.withColumn("cell", one), k, exclude_self, block_rows,
         )
     return merge_topk(partial, k)
 
@@ -220,7 +226,7 @@ def _probed(indexed: DataFrame, probes: DataFrame) -> DataFrame:
 
 def probed_topk(
     indexed: DataFrame, queries: DataFrame, probes: DataFrame, k=TOP_K, exclude_self=False,
-    limit=BROADCAST_BYTES,
+    limit=BROADCAST_BYTES, block_rows=None,
 ) -> DataFrame:
     """Top k among the vectors of the probed cells of each query.
 
@@ -229,12 +235,12 @@ def probed_topk(
     read. Rows are scanned where they lie, so a hot cell is as many tasks as it
     has files.
     """
-    queries = _usable(queries).select("qid", "embedding")
+    queries = with_vector(queries).select("qid", "embedding")
     if fits_broadcast(queries, limit) and fits_broadcast(probes, limit):
         partial = _scan(_probed(indexed, probes), queries, k, probes, exclude_self)
     else:
-        partial = _blocks(
-            _usable(indexed).select("cell", "vec_id", "embedding"),
-            queries.join(probes.select("qid", "cell"), "qid"), k, exclude_self,
+        partial = block_candidates(
+            with_vector(indexed).select("cell", "vec_id", "embedding"),
+            queries.join(probes.select("qid", "cell"), "qid"), k, exclude_self, block_rows,
         )
     return merge_topk(partial, k)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.html import html_to_text as to_text
 from newsloom.functions.rows import once
 from newsloom.functions.text import boilerplate_cut as cut
-from newsloom.operators import embed, ingest
+from newsloom.operators import context, embed, ingest
 from newsloom.plans.tables import (
     CORPUS, SEEN, WATERMARK, corpus, entries, seen, sql_articles, sql_cut, sql_text, table, with_,
 )
@@ -16,6 +16,7 @@ from newsloom.sources import manifest, shards
 PAGE_MARKERS = BOILERPLATE_MARKERS + ["©"]
 TEXT_MARKERS = BOILERPLATE_MARKERS + ["Released under"]
 MIN_CHARS = 1000
+CONTEXT_ARTICLES = 5
 DIMENSIONS = embed.HASHED_DIMENSIONS
 
 
@@ -86,6 +87,14 @@ def incremental_embed(spark, sf):
     return _entries_of(pending, "link", "shard")
 
 
+def rag_context(spark, sf):
+    """Passages of the corpus for every benchmark question."""
+    articles = corpus(spark, sf)
+    questions = table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
+    near = context.nearest_articles(articles, questions, CONTEXT_ARTICLES)
+    return context.cited_context(near, articles)
+
+
 def vector_meta_parity(spark, sf):
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("key"))
     meta = table(spark, sf, "labels").select(F.col("doc_id").alias("key"))
@@ -97,7 +106,7 @@ QUERIES = {
     for f in [
         html_to_text, boilerplate_cut, feed_preview, rss_ingest, ingest_funnel, seen_links_build,
         seen_links_merge, combined_corpus, unembedded_shards, embed_hashed, incremental_embed,
-        vector_meta_parity,
+        vector_meta_parity, rag_context,
     ]
 }
 
@@ -111,19 +120,34 @@ _OUTCOMES = f"""outcomes AS (
   FROM articles)"""
 _LINKS = "links AS (SELECT DISTINCT link FROM corpus)"
 
-def sql_tokens(table_name, keys, text):
-    """CTEs ending in ``entries``(keys, bucket, value)."""
-    return fr"""tokens AS (
+def sql_tokens(table_name, keys, text, name="entries"):
+    """CTEs ending in ``name``(keys, bucket, value)."""
+    return fr"""{name}_tokens AS (
   SELECT {keys}, unnest(regexp_split_to_array(lower({text}), '[\s\x0b\x1c-\x1f\x85\p{{Z}}]+')) AS w
   FROM {table_name}),
-buckets AS (
+{name}_buckets AS (
   SELECT {keys}, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % {DIMENSIONS} AS bucket, count(*) AS n
-  FROM tokens WHERE w <> '' GROUP BY ALL),
-lengths AS (SELECT {keys}, sqrt(sum(n * n)) AS norm FROM buckets GROUP BY ALL),
-entries AS (
+  FROM {name}_tokens WHERE w <> '' GROUP BY ALL),
+{name}_lengths AS (SELECT {keys}, sqrt(sum(n * n)) AS norm FROM {name}_buckets GROUP BY ALL),
+{name} AS (
   SELECT {', '.join('b.' + k.strip() for k in keys.split(','))}, bucket,
-         round(CAST(CAST(n / norm AS FLOAT) AS DOUBLE), 6) AS value
-  FROM buckets b JOIN lengths USING ({keys}))"""
+         CAST(CAST(n / norm AS FLOAT) AS DOUBLE) AS value
+  FROM {name}_buckets b JOIN {name}_lengths USING ({keys}))"""
+
+
+_RAG = f"""scored AS (
+  SELECT q.item_id AS qid, d.ord,
+         round(sum(q.value * d.value) / (any_value(ql.n) * any_value(dl.n)), 9) AS s
+  FROM asked q JOIN entries d USING (bucket)
+       JOIN (SELECT item_id, sqrt(sum(value * value)) AS n FROM asked GROUP BY item_id) ql ON ql.item_id = q.item_id
+       JOIN (SELECT ord, sqrt(sum(value * value)) AS n FROM entries GROUP BY ord) dl ON dl.ord = d.ord
+  GROUP BY q.item_id, d.ord),
+hits AS (
+  SELECT * FROM (SELECT qid, ord, row_number() OVER (PARTITION BY qid ORDER BY s DESC, ord) AS rank FROM scored) a
+  WHERE rank <= {CONTEXT_ARTICLES})
+SELECT qid, count(*) AS passages, string_agg('[' || rank || '] ' || title_original || ' (' || link || ')' || chr(10)
+  || text_original, chr(10) || chr(10) ORDER BY rank) AS context
+FROM hits JOIN corpus USING (ord) GROUP BY qid"""
 
 
 ORACLES = {
@@ -149,13 +173,16 @@ FROM (SELECT doc_id, {sql_cut('text', TEXT_MARKERS)} AS kept FROM documents) a""
 UNION ALL SELECT link, date, title_original, category, '2024-01-01T000000Z' AS shard, text_original FROM fresh""",
     "unembedded_shards": with_(CORPUS) + f"SELECT DISTINCT shard FROM corpus WHERE shard >= '{WATERMARK}'",
     "embed_hashed": with_(CORPUS, sql_tokens("corpus", "ord", "text_original"))
-    + "SELECT ord, bucket, value FROM entries",
+    + "SELECT ord, bucket, round(value, 6) AS value FROM entries",
     "incremental_embed": with_(
         CORPUS,
         "pending AS (SELECT ord, link, shard, text_original FROM corpus"
         f" WHERE shard NOT IN (SELECT shard FROM corpus WHERE shard < '{WATERMARK}'))",
         sql_tokens("pending", "ord, link, shard", "text_original"),
-    ) + "SELECT link, shard, bucket, value FROM entries",
+    ) + "SELECT link, shard, bucket, round(value, 6) AS value FROM entries",
+    "rag_context": with_(
+        CORPUS, sql_tokens("corpus", "ord", "text_original"), sql_tokens("benchmark", "item_id", "text", "asked")
+    ).rstrip() + ",\n" + _RAG,
     "vector_meta_parity": """SELECT (SELECT count(*) FROM embeddings) AS n_vectors,
   (SELECT count(*) FROM labels) AS n_meta,
   (SELECT count(*) FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM labels)) AS vectors_without_meta,

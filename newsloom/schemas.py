@@ -48,8 +48,7 @@ BOILERPLATE_MARKERS = ["Patreon", "patreon.com"]
 
 # Links that a person confirmed as broken.
 KNOWN_BAD_LINKS = [
-    "https://www.eurointegration.com.ua/news/2022/04/14/7137846/"
-    "?fbclid=IwAR0BTIy8JL5z9eqDQxTy8H9aMk_pRAFzFlPpcmi3umYK1SVqgT_8WWribJc",
+    "https://www.eurointegration.com.ua/news/2022/04/14/7137846/?fbclid=IwAR0BTIy8JL5z9eqDQxTy8H9aMk_pRAFzFlPpcmi3umYK1SVqgT_8WWribJc",
     "https://www.eurointegration.com.ua/news/2023/04/25/7160484/",
     "https://www.eurointegration.com.ua/news/2023/11/25/7174284/",
     "https://www.eurointegration.com.ua/news/2024/08/24/7192735/",

@@ -50,11 +50,9 @@ def test_exact_search(generated, queries):
     assert got(search.exact_topk(generated, queries, 10)) == brute(generated, queries, 10)
 
 
-def test_exact_search_by_blocks(generated, queries, monkeypatch):
-    monkeypatch.setattr(search, "BLOCK_ROWS", 64)
-    monkeypatch.setattr(search._blocks, "__defaults__", (False, 64))
-    for exclude_self in (False, True):
-        found = search.exact_topk(generated, queries, 10, exclude_self, limit=-1)
+def test_exact_search_by_blocks(generated, queries):
+    for exclude_self, rows in ((False, 64), (True, 16), (True, None)):
+        found = search.exact_topk(generated, queries, 10, exclude_self, limit=-1, block_rows=rows)
         assert got(found) == brute(generated, queries, 10, exclude_self)
 
 
@@ -113,7 +111,7 @@ def test_probed_search_by_blocks(generated, queries, centres):
     index = ivf.build_ivf(generated, centres)
     probes = ivf.probe_cells(queries, centres, 3).withColumn("part", ivf.part_of("cell", index.parts))
     a = search.probed_topk(index.vectors, queries, probes, 10)
-    b = search.probed_topk(index.vectors, queries, probes, 10, limit=-1)
+    b = search.probed_topk(index.vectors, queries, probes, 10, limit=-1, block_rows=16)
     assert got(a) == got(b)
 
 
