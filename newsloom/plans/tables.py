@@ -93,8 +93,16 @@ def sql_text(column):
         raw = f"regexp_replace({raw}, '<{tag}\\b[^>]*>.*?</{tag}\\s*>', chr(64976), 'gis')"
     raw = f"regexp_replace({raw}, '<!--.*?-->', chr(64976), 'gs')"
     raw = f"regexp_replace({raw}, '<[A-Za-z/!?][^>]*>', chr(64976), 'g')"
-    for name, code in [("copy", 169), ("middot", 183), ("nbsp", 160), ("quot", 34), ("#39", 39), ("lt", 60), ("gt", 62), ("amp", 38)]:
-        raw = f"replace({raw}, '&{name};', chr({code}))"
+    # a reference may lack its semicolon; &amp; is set aside so that it is read once
+    held = "chr(64977)"
+    names = [("amp", held)] + [
+        (name, f"chr({code})")
+        for name, code in [("copy", 169), ("middot", 183), ("nbsp", 160), ("quot", 34), ("#39", 39), ("lt", 60), ("gt", 62)]
+    ]
+    for name, char in names:
+        raw = f"replace({raw}, '&{name};', {char})"
+        raw = f"regexp_replace({raw}, '&{name}([^a-zA-Z0-9]|$)', {char} || '\\1', 'g')"
+    raw = f"replace({raw}, {held}, '&')"
     nodes = f"list_transform(string_split({raw}, chr(64976)), lambda n: trim(n, {WS}))"
     return f"array_to_string(list_filter({nodes}, lambda n: n <> ''), ' ')"
 
