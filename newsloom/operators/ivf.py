@@ -12,7 +12,7 @@ from newsloom.functions.vectors import dot
 from newsloom.operators.sampling import salted_md5
 from newsloom.operators.search import DIGITS, block_candidates, exact_topk, merge_topk, probed_topk, unit_rows, with_vector
 from newsloom.schemas import NPROBE_FRACTION, SEED, TOP_K
-from newsloom.session import BROADCAST_BYTES, fits_broadcast, materialize
+from newsloom.session import BROADCAST_BYTES, broadcast_if_small, fits_broadcast, materialize
 
 # Training needs this many vectors per centre at most; assignment uses all.
 TRAIN_PER_CENTRE = 256
@@ -41,9 +41,8 @@ def sample_centroids(vectors: DataFrame, nlist: int, seed: int = SEED) -> DataFr
         .limit(nlist)
         .select("cell")
     )
-    return vectors.join(
-        F.broadcast(ids), F.col("vec_id") == F.col("cell")
-    ).select("cell", "embedding")
+    ids = broadcast_if_small(ids, "centre-ids")
+    return vectors.join(ids, F.col("vec_id") == F.col("cell")).select("cell", "embedding")
 
 
 def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10, n=None) -> DataFrame:
@@ -63,8 +62,11 @@ def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10, n=
         usable.filter(dot(F.col("embedding"), F.col("embedding")) > 0).select("embedding"), "training"
     ).select(array_to_vector("embedding").alias("features"))
     model = KMeans(k=nlist, distanceMeasure="cosine", seed=seed, maxIter=iterations).fit(training)
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return vectors.sparkSession.createDataFrame(rows, "cell bigint, embedding array<double>")
+    # k-means itself holds its centres on the driver; they leave it as Arrow
+    found = np.asarray(model.clusterCenters(), dtype=np.float64)
+    lists = pa.FixedSizeListArray.from_arrays(pa.array(found.reshape(-1)), found.shape[1])
+    table = pa.table({"cell": np.arange(len(found)), "embedding": lists.cast(pa.list_(pa.float64()))})
+    return vectors.sparkSession.createDataFrame(table)
 
 
 def nearest_cells(vectors: DataFrame, centroids: DataFrame, count: int = 1, limit=BROADCAST_BYTES) -> DataFrame:

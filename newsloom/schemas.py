@@ -20,7 +20,6 @@ META_COLUMNS = ["link", "date", "title_original", "category"]
 
 CORPUS_SCHEMA = _strings(*CORPUS_COLUMNS)
 SHARD_SCHEMA = _strings(*SHARD_COLUMNS)
-LINK_SCHEMA = _strings("link")
 
 VECTOR_SCHEMA = T.StructType(
     list(_strings(*META_COLUMNS))
@@ -29,7 +28,6 @@ VECTOR_SCHEMA = T.StructType(
         T.StructField("shard", T.StringType()),
     ]
 )
-NEIGHBOUR_SCHEMA = "qid bigint, rank int, vec_id bigint, sim double"
 RESULT_SCHEMA = (
     "scale bigint, method string, build_time_s double, "
     "avg_query_ms double, recall_at_10 double"
@@ -65,7 +63,6 @@ TOP_K = 10
 SEED = 42
 NPROBE_FRACTION = 0.10
 GRAPH_M = 32
-EF_CONSTRUCTION = 40
 EF_SEARCH = 64
 METHOD_LABELS = {
     "brute_force": "Brute-force (exact)",

@@ -29,7 +29,8 @@ _local_folders = {}
 
 
 def shared_dir(spark):
-    """The folder that every executor can reach, named by spark.checkpoint.dir.
+    """The folder that every executor can reach, named by spark.checkpoint.dir
+    or set on the context.
 
     Only a local session may go without the setting; it gets a fresh folder.
     """
@@ -37,6 +38,8 @@ def shared_dir(spark):
     if configured:
         return configured
     context = spark.sparkContext
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     if context.applicationId not in _local_folders:
