@@ -124,36 +124,41 @@ def graph_search(nodes, entries, queries, k=TOP_K, ef=EF_SEARCH, members=None, m
     # few narrow rows carry much arithmetic: spread them over all cores; the
     # filters on part, always true, let the joins prune the stored partitions
     tasks = spark.sparkContext.defaultParallelism
+    key = ["qid", "vec_id", "part"]
 
     def score(fresh, hop):
-        return materialize(
-            fresh.filter("part >= 0").repartition(tasks, "qid")
+        return (
+            fresh.filter("part >= 0")
             .join(places, ["part", "vec_id"])
             .join(asked, "qid")
-            .select(
-                "qid", "vec_id", "part", similarity("embedding", "_query").alias("sim"),
-                F.lit(hop).alias("hop"),
-            ),
-            "scored",
+            .select(*key, similarity("embedding", "_query").alias("sim"), F.lit(hop).alias("hop"))
         )
 
     def beam_of(rows):
         return rows.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= ef)
 
     hop = 0
-    last = scored = score(entries.select("qid", "vec_id", "part").distinct(), hop)
-    while not last.isEmpty() and (max_hops is None or hop < max_hops):
-        frontier = beam_of(scored).filter((F.col("hop") == hop) & (F.col("part") >= 0))
-        fresh = (
-            frontier.select("part", "vec_id", "qid")
+    scored = materialize(score(entries.select(*key).distinct(), hop), "scored")
+    while max_hops is None or hop < max_hops:
+        last = F.col("hop") == hop
+        if scored.filter(last).isEmpty():
+            break
+        reached = (
+            beam_of(scored).filter(last & (F.col("part") >= 0)).select(*key)
             .join(links, ["part", "vec_id"])
             .select("qid", F.explode("neighbours").alias("_n"))
-            .select("qid", "_n.vec_id", "_n.part").distinct()
-            .join(scored.select("qid", "vec_id"), ["qid", "vec_id"], "left_anti")
+            .select("qid", "_n.vec_id", "_n.part", F.lit(True).alias("unseen"))
+        )
+        # one shuffle both removes repeats and leaves out the visited nodes
+        fresh = (
+            reached.union(scored.select(*key, F.lit(False).alias("unseen")))
+            .repartition(tasks, "qid")
+            .groupBy(*key).agg(F.min("unseen").alias("unseen"))
+            .filter("unseen").select(*key)
         )
         hop += 1
-        last = score(fresh, hop)
-        scored = scored.union(last)
+        # the rows so far are narrow and few: rewritten, a hop reads one table
+        scored = materialize(scored.union(score(fresh, hop)).coalesce(tasks), "scored")
     found = beam_of(scored).select("qid", "vec_id", "sim")
     if members is not None:
         # a node stands for all its copies; only the k smallest ids can rank
