@@ -14,6 +14,11 @@ STAGES = [
 ]
 
 
+def _position(order):
+    """The file order of a row as one comparable column."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def drop_blocked(df: DataFrame, blocked=None, key: str = "link") -> DataFrame:
     """Remove blocklisted keys; a null key is never on the list and stays.
 
@@ -36,7 +41,7 @@ def keep_first(df: DataFrame, key: str = "link", order=("ord",), limit: int | No
     the wide rows are filtered where they lie. Otherwise a ranking window
     shuffles one row per key and task.
     """
-    first = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    first = _position(order)
     repeated = materialize(
         df.groupBy(key)
         .agg(F.min(first).alias("_first"), F.count("*").alias("_n"))
@@ -78,7 +83,7 @@ def flagged_long(cleaned: DataFrame) -> DataFrame:
     return cleaned.filter("is_long")
 
 
-def clean_funnel(df: DataFrame, blocked=None, order: str = "ord", text: str = "text_original") -> DataFrame:
+def clean_funnel(df: DataFrame, blocked=None, order=("ord",), text: str = "text_original") -> DataFrame:
     """Rows left after each stage, in one pass with one narrow shuffle.
 
     Each row is reduced to a small code before the shuffle, so the groups hold
@@ -97,7 +102,7 @@ def clean_funnel(df: DataFrame, blocked=None, order: str = "ord", text: str = "t
         F.when(is_blank(F.col(text)), 0).when(n < SHORT_CHARS, 1).when(n > LONG_CHARS, 2).otherwise(3)
     )
     per_link = (
-        df.select("link", bad.alias("bad"), code.alias("code"), F.col(order).alias("_ord"))
+        df.select("link", bad.alias("bad"), code.alias("code"), _position(order).alias("_ord"))
         .groupBy("link", "bad")
         .agg(F.count("*").alias("n"), F.min_by("code", "_ord").alias("code"))
     )

@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from newsloom.schemas import BATCH_SIZE, MAX_SEQ_LENGTH, META_COLUMNS, MODEL_NAME
-from newsloom.session import broadcast_if_small
+from newsloom.session import broadcast_if_small, materialize
+from newsloom.sources.shards import read_shards
+from newsloom.sources.vectors import read_vectors
 
 VECTOR = T.ArrayType(T.FloatType(), False)
 HASHED_DIMENSIONS = 64
@@ -133,34 +135,13 @@ def embed_backlog(spark, shards_path, vectors_path, factory=None) -> int:
 
     Safe to run again at any time. With nothing pending no model is loaded.
     """
-    from newsloom.sources.shards import read_shards
-    from newsloom.sources.vectors import read_vectors
-
-    if not table_exists(spark, shards_path):
-        return 0
-    articles = read_shards(spark, shards_path)
-    if table_exists(spark, vectors_path):
-        embedded = read_vectors(spark, vectors_path)
-    else:
-        embedded = spark.createDataFrame([], "shard string")
+    articles, embedded = read_shards(spark, shards_path), read_vectors(spark, vectors_path)
     pending = unembedded_shards(articles, embedded).count()
     if pending:
         write_vectors(incremental_embed(articles, embedded, factory), vectors_path)
     return pending
 
 
-def table_exists(spark, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                    .load(path).select("path").limit(1).count())
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
-
-
 def vector_meta_parity(vectors: DataFrame, meta: DataFrame, key: str) -> DataFrame:
     """One row: row counts and the keys found on one side only."""
     sides = vectors.select(F.col(key), F.lit(1).alias("v"), F.lit(0).alias("m")).unionByName(
@@ -181,8 +162,6 @@ def with_position(df: DataFrame, order) -> DataFrame:
     Rows are sorted by range over all tasks; each task numbers its own rows
     and adds the row counts of the tasks before it.
     """
-    from newsloom.session import materialize
-
     parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     ranged = df.repartitionByRange(int(parts), *order)
     numbered = materialize(

@@ -3,9 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.schemas import CORPUS_COLUMNS, SHARD_COLUMNS
+from newsloom.schemas import CORPUS_COLUMNS, SHARD_COLUMNS, SHARD_SCHEMA
+from newsloom.session import read_or_empty
 from newsloom.sources.corpus import read_csv
-from newsloom.schemas import SHARD_SCHEMA
 
 
 def write_shard(rows: DataFrame, path, shard: str) -> bool:
@@ -28,8 +28,8 @@ def write_shard(rows: DataFrame, path, shard: str) -> bool:
 
 
 def read_shards(spark, path) -> DataFrame:
-    schema = ", ".join(f"{c} string" for c in SHARD_COLUMNS + ["shard"])
-    return spark.read.schema(schema).parquet(path)
+    """All shards; no rows before the first run."""
+    return read_or_empty(spark, path, ", ".join(f"{c} string" for c in SHARD_COLUMNS + ["shard"]))
 
 
 def read_csv_shards(spark, path) -> DataFrame:

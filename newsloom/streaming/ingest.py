@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.dates import shard_stamp
-from newsloom.operators.embed import embed_backlog, table_exists
+from newsloom.operators.embed import embed_backlog
 from newsloom.operators.ingest import new_articles, run_summary
 from newsloom.schemas import MIN_CONTENT_CHARS
 from newsloom.session import materialize
@@ -20,11 +20,8 @@ from newsloom.sources.shards import read_shards, write_shard
 
 def seen_links(spark, base_links: DataFrame, shards_path: str, but_shard: str) -> DataFrame:
     """Links of the base corpus and of every shard except ``but_shard``."""
-    links = base_links.select("link")
-    if table_exists(spark, shards_path):
-        others = read_shards(spark, shards_path).filter(F.col("shard") != but_shard)
-        links = links.union(others.select("link"))
-    return links
+    others = read_shards(spark, shards_path).filter(F.col("shard") != but_shard)
+    return base_links.select("link").union(others.select("link"))
 
 
 def shard_name(entries: DataFrame, batch_id: int) -> str:
@@ -85,4 +82,4 @@ def run_once(
 
 
 def article_count(spark, shards_path) -> int:
-    return read_shards(spark, shards_path).count() if table_exists(spark, shards_path) else 0
+    return read_shards(spark, shards_path).count()

@@ -40,6 +40,8 @@ def test_landing_keeps_file_order(spark, csv_file, tmp_path):
     landed = corpus.land(spark, csv_file, str(tmp_path / "landed"))
     kept = clean.keep_first(landed, order=("source_file", "ord"))
     assert {r["link"]: r["date"] for r in kept.collect()}["a"] == "24.02.2022"
+    funnel = clean.clean_funnel(landed, order=("source_file", "ord")).collect()
+    assert {r["stage"]: r["n_rows"] for r in funnel}["after_blank"] == 1
 
 
 def test_csv_round_trip(spark, csv_file, tmp_path):
