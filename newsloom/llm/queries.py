@@ -1,12 +1,23 @@
 """The named queries of this subpackage and, where SQL can say the same, their SQL."""
 
-from newsloom.llm import bpe, chat
+from newsloom.llm import bm25, bpe, chat, extract, licences, lm, quality, secret_scan, simhash, winnow
 
 QUERIES = {
+    "op1_bm25_topk": bm25.query,
+    "op2_simhash": simhash.query,
+    "op3_main_text": extract.query,
+    "op4_quality": quality.query,
     "op5_chat_format": chat.query,
+    "op6_winnowing": winnow.query,
+    "op7_licences": licences.query,
     "op8_bpe": bpe.query,
+    "op9_lm_scores": lm.query,
+    "op10_secrets": secret_scan.query,
 }
 
 ORACLES = {
+    "op1_bm25_topk": bm25.ORACLE,
     "op5_chat_format": chat.ORACLE,
+    "op6_winnowing": winnow.ORACLE,
+    "op10_secrets": secret_scan.ORACLE,
 }
