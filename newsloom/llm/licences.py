@@ -72,7 +72,7 @@ FAMILIES = sorted(TEMPLATES)
 UNKNOWN = len(FAMILIES)
 
 SAMPLE = 3000  # corpus paragraphs that train the unknown class, the least by hash
-FEATURES = 1 << 14
+FEATURES = 1 << 13
 SURE = 0.5
 SAME = 0.8
 EDITS = 6  # training variants of a template with words left out
@@ -170,7 +170,8 @@ def _margins(predicted: DataFrame) -> DataFrame:
 def train(docs: DataFrame, text="text") -> Classifier:
     rows = materialize(training_rows(docs, text), "licence-training")
     regression = LogisticRegression(maxIter=60, regParam=0.001, family="multinomial")
-    labelled = _vectors(rows.withColumn("label", F.col("label").cast("double")))
+    # a few thousand rows, whatever the corpus: one task
+    labelled = _vectors(rows.coalesce(1).withColumn("label", F.col("label").cast("double"))).cache()
     # held-out margins come from a regression without that fold
     first = regression.fit(labelled.filter("fold <> 0"))
     held = _margins(first.transform(labelled.filter("fold = 0")))
@@ -179,7 +180,9 @@ def train(docs: DataFrame, text="text") -> Classifier:
     margins = held.select(right.alias("right"), "margin").groupBy("right").agg(
         F.avg("margin").alias("mean"), F.stddev_pop("margin").alias("dev"), F.count("*").alias("n")).collect()
     slope, offset = _calibration({r["right"]: r for r in margins})
-    return Classifier(regression.fit(labelled), slope, offset)
+    model = regression.fit(labelled)
+    labelled.unpersist()
+    return Classifier(model, slope, offset)
 
 
 def _calibration(found):
