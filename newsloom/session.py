@@ -48,18 +48,20 @@ def shared_dir(spark):
     return _local_folders[context.applicationId]
 
 
-def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None, rebalance: bool = True) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and keeps column pruning,
-    filter pushdown and (with ``partition_by``) partition pruning.
+    filter pushdown and (with ``partition_by``) partition pruning. Without
+    ``rebalance`` a partitioned table is written where its rows are, by each
+    task a file per partition, which suits a few partitions.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/newsloom/{name}-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
         # rebalance lets AQE split a hot partition over several tasks and files
-        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
+        writer = (df.hint("rebalance", partition_by) if rebalance else df).write.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -8,7 +8,8 @@ import pytest
 import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {k: q for k, q in entry.queries().items() if k not in entry.LLM_QUERIES}
+SQL = {k: q for k, q in entry.oracle_sql().items() if k not in entry.LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")
