@@ -8,11 +8,13 @@ Document counts, lengths and term frequencies are those of the whole corpus, so
 scores from different shards compare and the best of all shards are the exact
 top k.
 
-A query first adds up the block maxima of its terms, which bounds every score in
-a block from above. It then scores the most promising blocks in full, takes the
-k-th best score as threshold, and opens the other blocks only if their bound
-reaches it. No document that could rank is skipped; ties are broken by document
-id, then by row.
+The corpus is searched in rounds. A first small part gives every query a k-th
+best score, which is its threshold in the next, larger part. There the weakest
+terms, those whose largest impacts together stay below the threshold, cannot
+make a document rank: the other terms are added up first, and a block is opened
+for the weak terms only if its maxima leave one of its documents in reach.
+Without a threshold a shard first scores the blocks with the highest bounds. No
+document that could rank is skipped; ties are broken by document id, then row.
 
 Queries come in blocks of bounded size, which are broadcast to the shards; their
 number grows with the queries, and nothing of the corpus passes the driver.
@@ -36,8 +38,9 @@ from newsloom.session import materialize
 
 K1, B = 1.2, 0.75
 TOP = 10
-BLOCK = 64  # documents
-FIRST_BLOCKS = 4  # opened before there is a threshold
+BLOCK = 16  # documents
+FIRST_BLOCKS = 16  # opened before there is a threshold
+PARTS, ROUND_ENDS = 64, (1, 8, 64)  # parts of the corpus that each round has searched by its end
 SHARD_POSTINGS = 1 << 21
 QUERY_TERMS = 1 << 22  # terms of the queries that are broadcast together
 DIGITS = 6  # of a score, in the result and when ranking
@@ -78,7 +81,9 @@ def build_index(docs: DataFrame, doc="doc_id", text="text") -> DataFrame:
         F.monotonically_increasing_id().alias("row"), F.col(doc).cast("bigint").alias("doc"),
         run(F.col(text)).alias("p"),
     )
-    return materialize(rows.select("row", "doc", "p.*"), "bm25-index")
+    part = F.pmod(F.xxhash64("row"), F.lit(PARTS))
+    turn = sum(F.when(part >= end, 1).otherwise(0) for end in ROUND_ENDS[:-1])
+    return materialize(rows.select("row", "doc", "p.*", turn.alias("round")), "bm25-index", "round", rebalance=False)
 
 
 def _flat(column):
@@ -107,6 +112,9 @@ class Shard:
     """An inverted index over some documents, for the terms of some queries."""
 
     def __init__(self, batches, queries):
+        # documents of like length share blocks, which makes the maxima tight
+        table = pa.Table.from_batches(batches)
+        batches = table.take(np.argsort(table["length"].to_numpy(), kind="stable")).combine_chunks().to_batches()
         doc_ids = pa.concat_arrays([b.column("doc") for b in batches])
         self.rows = np.concatenate([b.column("row").to_numpy() for b in batches])
         self.null = doc_ids.is_null().to_numpy(zero_copy_only=False)
@@ -134,6 +142,10 @@ class Shard:
         self.block = segment[self.start] % blocks
         self.most = np.maximum.reduceat(self.impact, self.start) if len(self.start) else np.empty(0)
         self.of_term = np.searchsorted(segment[self.start], np.arange(len(queries.terms) + 1) * blocks)
+        self.peak = np.zeros(len(queries.terms))  # the largest impact of each term
+        held = self.of_term[1:] > self.of_term[:-1]
+        if held.any():
+            self.peak[held] = np.maximum.reduceat(self.most, self.of_term[:-1][held])
         self.start = np.append(self.start, len(self.doc))
         self.blocks = blocks
 
@@ -143,23 +155,44 @@ class Shard:
         at = _ranges(self.start[own], self.start[own + 1])
         return scores + np.bincount(self.doc[at], weights=self.impact[at], minlength=len(scores))
 
-    def search(self, terms, top):
-        """Places and scores of the best documents of this shard."""
-        segments = _ranges(self.of_term[terms], self.of_term[terms + 1])
+    def _bound(self, segments):
+        """The most that these segments' terms add to any document, by block."""
+        return np.bincount(self.block[segments], weights=self.most[segments], minlength=self.blocks)
+
+    def _segments(self, terms):
+        return _ranges(self.of_term[terms], self.of_term[terms + 1])
+
+    def search(self, terms, top, least=0.0):
+        """Places and scores of the best documents of this shard, those below
+        ``least`` left out."""
+        terms = terms[self.of_term[terms + 1] > self.of_term[terms]]
+        segments = self._segments(terms)
         if not len(segments):
             return np.empty(0, np.int64), np.empty(0)
-        bound = np.bincount(self.block[segments], weights=self.most[segments], minlength=self.blocks)
         scores = np.zeros(len(self.rows))
-        if self.blocks > FIRST_BLOCKS:
-            chosen = np.zeros(self.blocks, bool)
-            chosen[np.argpartition(-bound, FIRST_BLOCKS)[:FIRST_BLOCKS]] = True
-            scores = self._open(segments, chosen, scores)
+        rest = np.ones(self.blocks, bool)
+        if not least and self.blocks > FIRST_BLOCKS:
+            bound = self._bound(segments)
+            first = np.zeros(self.blocks, bool)
+            first[np.argpartition(-bound, FIRST_BLOCKS)[:FIRST_BLOCKS]] = True
+            scores = self._open(segments, first, scores)
             least = np.partition(scores, -top)[-top] if len(scores) > top else 0.0
-            rest = ~chosen & (bound > 0) & (bound >= least - 2 * SLACK)
-        else:
-            rest = bound > 0
-        if rest.any():
-            scores = self._open(segments, rest, scores)
+            rest = ~first & (bound >= least - 2 * SLACK)
+        least = max(least - 2 * SLACK, 0.0)
+        # terms that together cannot reach the threshold are looked up last, and
+        # only in blocks where the others leave a document in reach
+        order = np.argsort(self.peak[terms])
+        weak = np.cumsum(self.peak[terms][order]) < least
+        strong, weak = self._segments(terms[order[~weak]]), self._segments(terms[order[weak]])
+        scores = self._open(strong, rest, scores)
+        block_of = np.arange(len(scores)) // BLOCK
+        reach = scores + self._bound(weak)[block_of]
+        last = np.zeros(self.blocks, bool)
+        last[block_of[(reach >= least) & (scores > 0) & rest[block_of]]] = True
+        scores = self._open(weak, last, scores)
+        # where weak terms are missing the sums are too low to rank
+        scores[rest[block_of] & ~last[block_of]] = 0.0
+        scores[scores < least] = 0.0
         found = np.flatnonzero(scores > 0)
         if len(found) > top:
             least = np.partition(scores[found], -top)[-top]
@@ -181,6 +214,7 @@ class Queries:
 
     def __init__(self, rows, ids, lists, terms, idf, mean_length):
         self.rows, self.ids, self.terms, self.idf, self.mean_length = rows, ids, terms, idf, mean_length
+        self.least = {}  # thresholds by row
         self.lists = [np.searchsorted(terms, own) for own in lists]
 
 
@@ -190,7 +224,7 @@ def _task_search(shared, top):
         shard = Shard(batches, queries)
         out = [[], [], [], [], []]
         for row, own_id, terms in zip(queries.rows, queries.ids, queries.lists):
-            found, scores = shard.search(terms, top)
+            found, scores = shard.search(terms, top, queries.least.get(row, 0.0))
             out[0] += [row] * len(found)
             out[1] += [own_id] * len(found)
             out[2] += shard.rows[found].tolist()
@@ -240,8 +274,15 @@ def search(index: DataFrame, queries: DataFrame, top=TOP) -> DataFrame:
         idf = np.log(1 + (size["n"] - df + 0.5) / (df + 0.5))
         lists = [values[i:j] for i, j in zip(offsets, offsets[1:])]
         block = Queries(own["row"].to_pylist(), own["doc"].to_pylist(), lists, terms, idf, max(size["mean"], 1e-9))
-        found = index.mapInArrow(_task_search(spark.sparkContext.broadcast(block), top), FOUND)
-        parts.append(_best(found, top) if blocks == 1 else materialize(_best(found, top), "bm25-found"))
+        best = None
+        for turn in range(len(ROUND_ENDS)):
+            shared = spark.sparkContext.broadcast(block)
+            found = index.filter(F.col("round") == turn).drop("round").mapInArrow(_task_search(shared, top), FOUND)
+            best = found if best is None else best.select(found.columns).unionByName(found)
+            best = materialize(_best(best, top), "bm25-found")
+            if turn + 1 < len(ROUND_ENDS):  # one number for each query of the block
+                block.least = {r["query_row"]: r["score"] for r in best.filter(F.col("rank") == top).collect()}
+        parts.append(best)
     if not parts:
         return spark.createDataFrame([], "query_row bigint, query_id bigint, rank int, row bigint, doc bigint, score double")
     out = parts[0]

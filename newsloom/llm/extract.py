@@ -15,7 +15,8 @@ Defined cases: a null or empty page has an empty text; unclosed and stray tags
 are repaired as browsers do roughly (a block tag ends a paragraph); an unclosed
 comment or script runs to the end of the page; references without a semicolon
 are decoded where HTML allows it; equal rows are extracted alike; an empty
-table gives no rows; further columns stay as they are.
+table gives no rows; further columns stay as they are, but for ``text`` and
+``n_chars``, which are replaced.
 """
 
 import html as entities
@@ -300,8 +301,9 @@ def extracted(html: Column, model) -> Column:
 def extract(pages: DataFrame, html="html") -> DataFrame:
     """``pages`` without the markup, with ``text`` and its length ``n_chars``."""
     model = learn(pages, html)
-    out = pages.withColumn("_text", extracted(F.col(html), model)).drop(html, "text", "n_chars")
-    return out.withColumnRenamed("_text", "text").withColumn("n_chars", F.length("text").cast("bigint"))
+    others = [F.col(f"`{c}`") for c in pages.columns if c not in (html, "text", "n_chars")]
+    out = pages.select(*others, extracted(F.col(html), model).alias("text"))
+    return out.select("*", F.length("text").cast("bigint").alias("n_chars"))
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -14,7 +14,8 @@ folder, so that a lost executor costs a re-read.
 Defined cases: a null text is the empty string and holds nothing; repeated rows
 and repeated or null document ids are each scanned on their own text (postings
 of one id are united, which can only add candidates); an empty table gives no
-rows; further columns stay as they are.
+rows; further columns stay as they are, but for one named ``spans``, which is
+replaced.
 """
 
 import re._parser as patterns
@@ -204,24 +205,23 @@ def scan(docs: DataFrame, rules=RULES, doc="doc_id", text="text") -> DataFrame:
     number of the rule, by start and then by rule."""
     queries = [trigram_query(rule.pattern) for rule in rules]
     wanted = sorted(set().union(*map(trigrams, queries)))
-    content = F.coalesce(F.col(text), F.lit(""))
+    own = [F.col(f"`{c}`") for c in docs.columns if c != "spans"]
+    rows = docs.select(F.struct(*own).alias("kept"), F.col(doc).alias("id"), F.coalesce(text, F.lit("")).alias("content"))
     if wanted:
         found = candidates(postings(docs, wanted, doc, text), rules)
-        found = broadcast_if_small(found, store="secret-candidates").withColumnsRenamed(
-            {"doc": "_candidate", "rules": "_rules"}
-        )
-        docs = docs.join(found, docs[doc].eqNullSafe(found["_candidate"]), "left").drop("_candidate")
-        mask = F.coalesce(F.col("_rules"), F.lit(0))
+        found = broadcast_if_small(found, store="secret-candidates")
+        rows = rows.join(found, rows["id"].eqNullSafe(found["doc"]), "left")
+        mask = F.coalesce("rules", F.lit(0))
     else:
-        docs = docs.withColumn("_rules", F.lit(0))
-        mask = F.col("_rules")
+        mask = F.lit(0)
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    content = F.col("content")
     spans = [
         rule_spans(content, rule, r) if queries[r] is True
         else F.when(mask.bitwiseAND(F.lit(1 << r)) != 0, rule_spans(content, rule, r)).otherwise(none)
         for r, rule in enumerate(rules)
     ]
-    return docs.withColumn("spans", F.array_sort(F.concat(*spans))).drop("_rules")
+    return rows.select("kept.*", F.array_sort(F.concat(*spans)).alias("spans"))
 
 
 def redact(scanned: DataFrame, text="text", mark="[secret]") -> DataFrame:

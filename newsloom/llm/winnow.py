@@ -214,9 +214,9 @@ def _filter_bits(windows: DataFrame):
 
 def scan(docs: DataFrame, benchmark: DataFrame, text="text", keep=None, window=WINDOW):
     """(table, marks). ``table`` has the ``keep`` columns of docs (all of them
-    if None), ``_row`` and ``n_words``; ``marks`` has a row per contaminated
-    document: ``_row``, ``spans`` (start, end in words; each a window) and
-    ``items`` (ids as sorted strings)."""
+    if None) as the struct ``kept``, and ``row`` and ``n_words``; ``marks`` has a
+    row per contaminated document: ``row``, ``spans`` (start, end in words; each
+    a window) and ``items`` (ids as sorted strings)."""
     spark = docs.sparkSession
     windows = benchmark_windows(benchmark, window=window)
     lengths = [r["length"] for r in windows.select("length").distinct().collect()]  # at most `window` values
@@ -227,13 +227,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, text="text", keep=None, window=W
         return scan_texts(texts, lengths, shared.value)
 
     keep = docs.columns if keep is None else keep
-    scanned = docs.withColumn("_found", run(F.col(text))).select(
-        *keep, F.monotonically_increasing_id().alias("_row"),
-        F.col("_found.n_words").alias("n_words"), F.col("_found.hits").alias("_hits"),
-    )
+    scanned = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"), run(F.col(text)).alias("found"))
+    scanned = scanned.select("kept", F.monotonically_increasing_id().alias("row"), "found.n_words", "found.hits")
     # stored, so that row numbers stay as they are and texts are scanned once
     scanned = materialize(scanned, "fingerprint-hits")
-    hits = scanned.select("_row", F.explode("_hits").alias("h")).select("_row", "h.*")
+    hits = scanned.select("row", F.explode("hits").alias("h")).select("row", "h.*")
     distinct = windows.select("length", "hash", "offset", "window").distinct()
     joined = hits.join(broadcast_if_small(distinct, store="window-fingerprints"), ["hash", "length"])
     here = F.when(
@@ -242,19 +240,19 @@ def scan(docs: DataFrame, benchmark: DataFrame, text="text", keep=None, window=W
     )
     verified = materialize(
         joined.filter(here == F.col("window")).select(
-            "_row", (F.col("pos") - F.col("offset")).alias("start"),
+            "row", (F.col("pos") - F.col("offset")).alias("start"),
             (F.col("pos") - F.col("offset") + F.col("length")).alias("end"), "window",
         ),
         "benchmark-hits",
     )
-    spans = verified.groupBy("_row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+    spans = verified.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
     items = broadcast_if_small(windows.select("window", "item").distinct(), store="window-items")
     named = (
-        verified.select("_row", "window").distinct().join(items, "window")
-        .groupBy("_row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+        verified.select("row", "window").distinct().join(items, "window")
+        .groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
-    marks = spans.join(named, "_row", "left").select("_row", "spans", "items")
-    return scanned.drop("_hits"), marks
+    marks = spans.join(named, "row", "left").select("row", "spans", "items")
+    return scanned.drop("hits"), marks
 
 
 def covered(spans):
@@ -272,8 +270,8 @@ def covered(spans):
 def digest(table: DataFrame, marks: DataFrame) -> DataFrame:
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce(covered(F.col("spans")), F.lit(0)).cast("bigint")
-    return table.join(marks, "_row", "left").select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
+    return table.join(marks, "row", "left").select(
+        "kept.doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
 
@@ -281,8 +279,8 @@ def digest(table: DataFrame, marks: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text="text") -> DataFrame:
     """The documents without any benchmark window, as they are."""
     table, marks = scan(docs, benchmark, text)
-    bad = broadcast_if_small(marks.select("_row"), store="contaminated")
-    return table.join(bad, "_row", "left_anti").select(docs.columns)
+    bad = broadcast_if_small(marks.select("row"), store="contaminated")
+    return table.join(bad, "row", "left_anti").select("kept.*")
 
 
 def query(spark, sf_dir) -> DataFrame:
