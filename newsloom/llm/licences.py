@@ -7,8 +7,8 @@ trained on the templates below, whole and with words left out, and on a bounded
 sample of corpus paragraphs that share less than half of their words with any
 template. How sure a prediction is, is calibrated on paragraphs that the
 regression did not see; a paragraph below ``SURE`` is unknown. A prediction is
-confirmed if the paragraph holds at least ``SAME`` of the distinct words of one
-template of that family.
+confirmed if the paragraph holds at least ``SAME`` of the distinct words and
+word pairs of one template of that family.
 
 Texts are read once; what leaves a row are counts and a bit per family.
 
@@ -95,14 +95,17 @@ def _templates(spark) -> DataFrame:
     return spark.createDataFrame(rows, "label int, text string").select("label", words_of(F.col("text")).alias("words"))
 
 
-def _literal_sets():
-    return F.array(*[
-        F.array(*[F.lit(w) for w in sorted(set(text.split()))]) for family in FAMILIES for text in TEMPLATES[family]
-    ])
+def _literal(words) -> Column:
+    return F.array(*[F.lit(w) for w in sorted(set(words))])
+
+
+def _template_grams(text):
+    words = text.split()
+    return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
 def _shares(words: Column, templates: Column) -> Column:
-    """The share of each template's distinct words that a paragraph holds."""
+    """The share of each template's distinct words (or n-grams) that a paragraph holds."""
     return F.transform(templates, lambda t: F.size(F.array_intersect(words, t)) / F.size(t))
 
 
@@ -123,7 +126,8 @@ def training_rows(docs: DataFrame, text="text") -> DataFrame:
         "line", F.xxhash64("line").alias("at")
     ).orderBy("at", "line").limit(SAMPLE)
     plain = lines.select(words_of(F.col("line")).alias("words"))
-    most = F.array_max(_shares(F.col("words"), _literal_sets()))
+    every = F.array(*[_literal(t.split()) for family in FAMILIES for t in TEMPLATES[family]])
+    most = F.array_max(_shares(F.col("words"), every))
     plain = plain.filter((F.size("words") > 0) & (most < 0.5))
     # parts of templates are no licence
     halves = templates.select(F.explode(F.array(
@@ -205,9 +209,9 @@ def scan(docs: DataFrame, classifier: Classifier, doc="doc_id", text="text") ->
     lines = numbered.select("_row", doc, F.explode_outer(paragraphs(F.col(text))).alias("line"))
     words = F.coalesce(words_of(F.col("line")), F.array().cast("array<string>"))
     rows = classifier.predict(lines.select("_row", doc, F.col("line").isNotNull().alias("is_line"), words.alias("words")))
+    grams = n_grams(F.col("words"))
     shares = {
-        k: F.array_max(_shares(F.col("words"), F.array(*[
-            F.array(*[F.lit(w) for w in sorted(set(t.split()))]) for t in TEMPLATES[family]])))
+        k: F.array_max(_shares(grams, F.array(*[_literal(_template_grams(t)) for t in TEMPLATES[family]])))
         for k, family in enumerate(FAMILIES)
     }
     same = reduce(lambda rest, k: rest.when(F.col("family") == k, shares[k] >= SAME), shares, F.when(F.lit(False), F.lit(False)))
