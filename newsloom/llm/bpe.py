@@ -28,9 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY_BYTES = 64 << 20  # a larger file is refused: it would be broadcast
-REMEMBERED = 300_000  # words, and pairs, a worker remembers; a memo without effect on results
+REMEMBERED = 400_000  # words, and pairs, a worker remembers; a memo without effect on results
 REMEMBERED_CHARS = 40
 CHUNK = 1 << 20  # tokens decoded at a time
+LATIN_END = "\u0250"  # letters before it are letters in every version of Unicode
 WHITE_SPACE_RUN = re.compile(r"[ \n]\s|\s[ \n]")
 
 
@@ -84,9 +85,9 @@ class Vocabulary:
             "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)"
         )
         self.joins = Memo(lambda pair: self._compatible(*pair))
-        self.known = Memo(self.word_ids)
-        self.plain = Memo(self._split_ids)  # words as at the start of a line
-        self.spaced = Memo(lambda word: self._split_ids(" " + word))  # words after a space
+        self.plain = Memo(lambda text: self._chunk_ids(text) if text else b"")  # as at the start of a line
+        self.spaced = Memo(lambda text: self._chunk_ids(" " + text))  # after a space
+        self.packed = [array("i", [i]).tobytes() for i in self.id_of]
         self._offsets(alphabet, model["vocab"])
 
     def _offsets(self, alphabet, vocab):
@@ -117,51 +118,70 @@ class Vocabulary:
                 limit, b = b + 1, self.left[b]
 
     def word_ids(self, word):
-        text = word.encode().decode("latin-1").translate(self.spelling)
-        n, joins, length = len(text), self.joins, self.length
-        longest = self.automaton.iter_long
+        """The ids of one word, as the bytes of an int32 array."""
+        if word.isascii():
+            text = word.translate(self.spelling)
+        else:
+            text = word.encode().decode("latin-1").translate(self.spelling)
+        joins, longest, packed = self.joins, self.automaton.iter_long, self.packed
         path = [rank for _, rank in longest(text)]
-        borders = zip(path, path[1:])
-        wrong = next((k for k, pair in enumerate(borders) if not joins[pair]), None)
-        if wrong is not None:
-            # go on from the first border that a merge would have crossed
-            token, path = self.shorter[path[wrong + 1]], path[:wrong + 1]
-            at = sum(length[r] for r in path)
-            dead = set()  # borders from which no path leads to the end
-            while at < n:
-                if token < 0:
-                    dead.add(at)
-                    token = path.pop()
-                    at -= length[token]
-                elif at + length[token] not in dead and (not path or joins[path[-1], token]):
-                    path.append(token)
-                    at += length[token]
-                    if at < n:
-                        token = next(longest(text[at:at + self.widest]))[1]
-                    continue
-                token = self.shorter[token]
-        return array("i", [self.id_of[r] for r in path]).tobytes()
+        last = path[0]
+        for wrong, token in enumerate(path):
+            if wrong and not joins[last, token]:
+                break
+            last = token
+        else:
+            return b"".join([packed[r] for r in path])
+        # go on from the first border that a merge would have crossed
+        length, shorter, widest, n = self.length, self.shorter, self.widest, len(text)
+        token, path = shorter[token], path[:wrong]
+        at = sum([length[r] for r in path])
+        dead = set()  # borders from which no path leads to the end
+        while at < n:
+            if token < 0:
+                dead.add(at)
+                token = path.pop()
+                at -= length[token]
+            elif (not path or joins[path[-1], token]) and at + length[token] not in dead:
+                path.append(token)
+                at += length[token]
+                if at < n:
+                    token = next(longest(text[at:at + widest]))[1]
+                continue
+            token = shorter[token]
+        return b"".join([packed[r] for r in path])
 
     def _split_ids(self, text):
-        """The ids of a text, word by word of the pattern, as the bytes of an int32 array."""
-        return b"".join(self.known[m[0]] for m in self.words.finditer(text))
+        """The ids of a text, word by word of the pattern."""
+        spaced, plain = self.spaced, self.plain
+        return b"".join([
+            spaced[w[1:]] if w[0] == " " and len(w) > 1 and w[1] != " " else plain[w] for w in self.words.findall(text)
+        ])
+
+    def _chunk_ids(self, text):
+        """The ids of what stands between spaces and line ends: a word or several."""
+        bare = text[1:] if text[0] == " " else text
+        if bare.isalpha() and max(bare) < LATIN_END or len(self.words.match(text)[0]) == len(text):
+            return self.word_ids(text)
+        return self._split_ids(text)
 
     def _lines(self, text):
         """The same for a text in which white space never meets a space or line
         end: there the pattern always splits before a space and around a line
         end, so what lies between them is looked up as a whole."""
-        newline = self._split_ids("\n")
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                yield newline
+        newline, plain, spaced = self.plain["\n"], self.plain, self.spaced.__getitem__
+        parts = []
+        for line in text.split("\n"):
             first, *rest = line.split(" ")
-            yield self.plain[first]
-            yield from map(self.spaced.__getitem__, rest)
+            parts.append(plain[first])
+            parts += map(spaced, rest)
+            parts.append(newline)
+        return b"".join(parts[:-1])
 
     def _ids(self, text):
         if WHITE_SPACE_RUN.search(text) or text[:1].isspace() or text[-1:].isspace():
             return self._split_ids(text)
-        return b"".join(self._lines(text))
+        return self._lines(text)
 
     def encode(self, text):
         """The ids of a text as an int32 array."""
