@@ -1,19 +1,19 @@
-"""HTML fragment to plain text.
-
-``html_to_text`` is a chain of built-in expressions. ``html_to_text_parsed``
-walks the markup with the standard library's parser inside a Pandas UDF, for
-feeds whose markup is too broken for patterns (nested or unclosed templates).
+"""HTML fragment to plain text, as one chain of built-in expressions.
+
+Character references follow the HTML standard (WHATWG, "Character reference
+state") for text outside attributes, which is what Python's ``html.unescape``
+documents too: a name with its semicolon is read as a whole; otherwise the
+longest of the legacy names that need none is read and the rest stays; numbers
+128-159 are Windows-1252, zero, surrogates and numbers beyond Unicode are
+U+FFFD. The content of a CDATA section counts as text.
 """
 
 import json
 from functools import lru_cache
 from html.entities import html5
-from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from newsloom.functions.text import strip
 
@@ -47,34 +47,62 @@ def _names_json():
     return json.dumps(table)
 
 
+# Names that are also read without a semicolon, by length, longest first.
+LEGACY_LENGTHS = sorted({len(name) for name in html5 if not name.endswith(";")}, reverse=True)
+
+
+@lru_cache(maxsize=1)
+def _legacy_json():
+    return json.dumps({name: text for name, text in html5.items() if not name.endswith(";")})
+
+
+@lru_cache(maxsize=1)
+def _windows_json():
+    """Code points of the numbers 128-159 where Windows-1252 has a character."""
+    return json.dumps({
+        str(n): ord(bytes([n]).decode("cp1252")) for n in range(128, 160) if bytes([n]).decode("cp1252", "ignore")
+    })
+
+
 def _code_point(number) -> Column:
     """Text of a code point; U+FFFD for what is not a character."""
+    windows = F.from_json(F.lit(_windows_json()), "map<string,bigint>")
+    number = F.coalesce(F.try_element_at(windows, number.cast("string")), number)
     bad = (number < 1) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
     safe = F.when(number.isNull() | bad, F.lit(0xFFFD).cast("bigint")).otherwise(number)
     return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
 
 
+def _number(digits, base) -> Column:
+    """The value of some digits of any number; null where it is beyond Unicode."""
+    short = F.regexp_replace(digits, "^0+", "")
+    value = F.conv(F.concat(F.lit("0"), short), base, 10).cast("bigint")
+    return F.when(F.length(short) <= 8, value)
+
+
 def decode_entities(c) -> Column:
     """Named, decimal and hexadecimal character references, each read once."""
     names = F.from_json(F.lit(_names_json()), "map<string,map<string,string>>")
+    legacy = F.from_json(F.lit(_legacy_json()), "map<string,string>")
 
     def replaced(p, body):
         rest = F.substring(p, F.length(body) + 1, F.length(p))
-        rest = F.when(
-            F.startswith(rest, F.lit(";")), F.substring(rest, F.lit(2), F.length(rest))
-        ).otherwise(rest)
-        hexadecimal = F.conv(F.substring(body, F.lit(3), F.lit(15)), 16, 10).try_cast("bigint")
-        decimal = F.substring(body, F.lit(2), F.lit(18)).try_cast("bigint")
-        named = F.coalesce(
-            F.try_element_at(F.try_element_at(names, F.substring(body, 1, 1)), body),
-            F.concat(F.lit("&"), body),
-        )
-        char = (
-            F.when(F.lower(F.substring(body, 1, 2)) == "#x", _code_point(hexadecimal))
-            .when(F.startswith(body, F.lit("#")), _code_point(decimal))
-            .otherwise(named)
+        closed = F.startswith(rest, F.lit(";"))
+        after = F.when(closed, F.substring(rest, F.lit(2), F.length(rest))).otherwise(rest)
+        whole = F.when(closed, F.try_element_at(F.try_element_at(names, F.substring(body, 1, 1)), body))
+        bare = [
+            F.when(F.length(body) >= n, F.concat(
+                F.try_element_at(legacy, F.substring(body, 1, n)), F.substring(p, F.lit(n + 1), F.length(p))))
+            for n in LEGACY_LENGTHS
+        ]
+        return (
+            F.when(body == "", F.concat(F.lit("&"), p))
+            .when(F.lower(F.substring(body, 1, 2)) == "#x",
+                  F.concat(_code_point(_number(F.substring(body, F.lit(3), F.length(body)), 16)), after))
+            .when(F.startswith(body, F.lit("#")),
+                  F.concat(_code_point(_number(F.substring(body, F.lit(2), F.length(body)), 10)), after))
+            .otherwise(F.coalesce(F.concat(whole, after), *bare, F.concat(F.lit("&"), p)))
         )
-        return F.when(body == "", F.concat(F.lit("&"), p)).otherwise(F.concat(char, rest))
 
     def piece(p):
         # the one-element array lets the pattern run once per reference
@@ -103,51 +131,3 @@ def html_to_text(c) -> Column:
     marked = decode_entities(F.regexp_replace(raw, _MARKUP, _BREAK))
     nodes = F.transform(F.split(marked, _BREAK), strip)
     return F.array_join(F.filter(nodes, lambda n: n != ""), " ")
-
-
-class _TextNodes(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.nodes, self.buffer, self.hidden = [], [], []
-
-    def close_node(self):
-        node = "".join(self.buffer).strip()
-        self.buffer = []
-        if node:
-            self.nodes.append(node)
-
-    def handle_starttag(self, tag, attrs):
-        self.close_node()
-        if tag in HIDDEN:
-            self.hidden.append(tag)
-
-    def handle_startendtag(self, tag, attrs):
-        self.close_node()
-
-    def handle_endtag(self, tag):
-        self.close_node()
-        if tag in self.hidden:
-            while self.hidden.pop() != tag:
-                pass
-
-    def handle_data(self, data):
-        if not self.hidden:
-            self.buffer.append(data)
-
-    def handle_comment(self, data):
-        self.close_node()
-
-    handle_decl = handle_pi = handle_comment
-
-
-def parse_text(fragment: str) -> str:
-    parser = _TextNodes()
-    parser.feed(fragment or "")
-    parser.close()
-    parser.close_node()
-    return " ".join(parser.nodes)
-
-
-@F.pandas_udf(StringType())
-def html_to_text_parsed(c: pd.Series) -> pd.Series:
-    return c.map(parse_text)

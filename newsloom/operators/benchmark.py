@@ -10,7 +10,7 @@ from newsloom.operators.ivf import (
     build_ivf, choose_nlist, choose_nprobe, ivf_search, sample_centroids, train_centroids,
 )
 from newsloom.operators.recall import recall_at_k
-from newsloom.operators.sampling import nested_sample, query_sample, shuffle_positions
+from newsloom.operators.sampling import first_rows, query_sample
 from newsloom.operators.search import exact_topk
 from newsloom.schemas import METHOD_LABELS, N_QUERIES, RESULT_SCHEMA, SCALES, SEED, TOP_K
 from newsloom.session import materialize
@@ -25,10 +25,10 @@ def _timed(make):
 def compare_searches(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=SEED) -> DataFrame:
     """RESULT rows (scale, method, build_time_s, avg_query_ms, recall_at_10)."""
     spark = vectors.sparkSession
-    positioned = materialize(shuffle_positions(vectors.select("vec_id", "embedding"), seed=seed), "shuffled")
-    total = positioned.count()
+    vectors = vectors.select("vec_id", "embedding")
+    total = vectors.count()
     sizes = sorted({min(s, total) if s is not None else total for s in scales})
-    queries = materialize(query_sample(positioned, sizes, n_queries, seed=seed), "queries")
+    queries = materialize(query_sample(vectors, sizes, n_queries, seed=seed), "queries")
     asked = max(1, queries.count())
     rows = []
 
@@ -39,13 +39,13 @@ def compare_searches(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=
         return recall_at_k(found, truth, k).first()["recall"]
 
     for scale in sizes:
-        subset = nested_sample(positioned, scale).select("vec_id", "embedding")
+        subset = first_rows(vectors, None if scale == total else scale, seed=seed)
         truth, seconds = _timed(lambda: materialize(exact_topk(subset, queries, k), "truth"))
         record(scale, "brute_force", 0.0, seconds, 1.0)
 
         nlist = choose_nlist(scale)
 
-        index, build = _timed(lambda: build_ivf(subset, train_centroids(subset, nlist, seed, n=scale)))
+        index, build = _timed(lambda: build_ivf(subset, train_centroids(subset, nlist, seed)))
         found, seconds = _timed(
             lambda: materialize(ivf_search(index, queries, k, choose_nprobe(nlist)), "found")
         )
@@ -68,15 +68,15 @@ def compare_searches(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=
 def recall_by_scale(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=SEED) -> DataFrame:
     """(scale, method, n_queries, recall) of exact and cluster-pruned search with
     sampled centres: the part of the comparison that any engine can repeat."""
-    positioned = materialize(shuffle_positions(vectors.select("vec_id", "embedding"), seed=seed), "shuffled")
-    total = positioned.count()
+    vectors = vectors.select("vec_id", "embedding")
+    total = vectors.count()
     sizes = sorted({min(s, total) if s is not None else total for s in scales})
     queries = materialize(
-        query_sample(positioned, sizes, n_queries, seed=seed).select("qid", "embedding"), "queries"
+        query_sample(vectors, sizes, n_queries, seed=seed).select("qid", "embedding"), "queries"
     )
     results = []
     for scale in sizes:
-        subset = nested_sample(positioned, scale).select("vec_id", "embedding")
+        subset = first_rows(vectors, None if scale == total else scale, seed=seed)
         nlist = choose_nlist(scale)
         centres = materialize(sample_centroids(subset, nlist, seed), "centres")
         truth = materialize(exact_topk(subset, queries, k), "truth")
@@ -94,14 +94,20 @@ def recall_by_scale(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=S
     return union
 
 
-def chart_series(results: DataFrame, methods=None) -> DataFrame:
-    """Chart-ready rows: label, scale, latency and its logarithm, recall."""
+def labelled(results: DataFrame, methods=None) -> DataFrame:
+    """Rows of the methods that have a ``label``, with it."""
     methods = METHOD_LABELS if methods is None else methods
     labels = F.create_map(*[F.lit(x) for pair in methods.items() for x in pair])
+    known = results.filter(F.col("method").isin(list(methods)))
+    return known.withColumn("label", F.element_at(labels, F.col("method")))
+
+
+def chart_series(results: DataFrame, methods=None) -> DataFrame:
+    """Chart-ready rows: label, scale, latency and its logarithm, recall."""
     return (
-        results.filter(F.col("method").isin(list(methods)))
+        labelled(results, methods)
         .select(
-            "method", F.element_at(labels, F.col("method")).alias("label"), "scale",
+            "method", "label", "scale",
             "build_time_s", "avg_query_ms", F.log10("avg_query_ms").alias("log10_query_ms"), "recall_at_10",
         )
         .orderBy("method", "scale")

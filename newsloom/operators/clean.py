@@ -6,7 +6,7 @@ from pyspark.sql.window import Window
 
 from newsloom.functions.text import is_blank
 from newsloom.schemas import KNOWN_BAD_LINKS, LONG_CHARS, SHORT_CHARS
-from newsloom.session import broadcast_if_small, fits_broadcast, materialize
+from newsloom.session import BROADCAST_BYTES, broadcast_if_small, fits_broadcast, materialize
 
 STAGES = [
     "loaded", "after_known_bad", "after_duplicates", "after_blank",
@@ -32,16 +32,27 @@ def drop_blocked(df: DataFrame, blocked=None, key: str = "link") -> DataFrame:
     return df.filter(F.col(key).isNull() | ~F.col(key).isin(list(blocked)))
 
 
+def _ranked(df, key, order, tie):
+    """The first row of each key by order, then by a hash of the whole row."""
+    ranked = Window.partitionBy(key).orderBy(*[F.asc_nulls_first(c) for c in order], tie)
+    return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
+
+
 def keep_first(df: DataFrame, key: str = "link", order=("ord",), limit: int | None = None) -> DataFrame:
-    """Keep the first row of each key by ``order`` (unique per row); null keys
-    count as one key.
+    """Keep one row of each key, the first by ``order``; null keys count as one key.
+
+    Nulls come first. Rows of one key with equal order are told apart by a hash
+    of their content, and of rows that are equal throughout one stays, so the
+    answer is the same at every size.
 
     Only the narrow (key, order) columns are shuffled, pre-aggregated per task.
     The keys that do occur twice are then measured: when they fit a broadcast,
-    the wide rows are filtered where they lie. Otherwise a ranking window
-    shuffles one row per key and task.
+    the wide rows are filtered where they lie, and only rows that tie for the
+    first place are shuffled. Otherwise a ranking window shuffles one row per
+    key and task.
     """
-    first = _position(order)
+    tie = F.xxhash64(*df.columns)
+    first = F.struct(*order)
     repeated = materialize(
         df.groupBy(key)
         .agg(F.min(first).alias("_first"), F.count("*").alias("_n"))
@@ -49,12 +60,18 @@ def keep_first(df: DataFrame, key: str = "link", order=("ord",), limit: int | No
         .select(F.col(key).alias("_key"), "_first"),
         "repeated-keys",
     )
-    fits = fits_broadcast(repeated) if limit is None else fits_broadcast(repeated, limit)
-    if fits:
-        joined = df.join(F.broadcast(repeated), F.col(key).eqNullSafe(F.col("_key")), "left")
-        return joined.filter(F.col("_first").isNull() | (F.col("_first") == first)).select(df.columns)
-    ranked = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
+    if not fits_broadcast(repeated, BROADCAST_BYTES if limit is None else limit):
+        return _ranked(df, key, order, tie)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    narrow = df.select(key, first.alias("_at")).join(F.broadcast(repeated), same).filter("_at = _first")
+    tied = materialize(narrow.groupBy("_key").count().filter("count > 1").select("_key"), "tied-keys")
+    kept = df.join(F.broadcast(repeated), same, "left")
+    kept = kept.filter(F.col("_first").isNull() | (F.col("_first") == first)).select(df.columns)
+    if tied.isEmpty():
+        return kept
+    # tied keys are some of the repeated ones, which fit
+    rest = kept.join(F.broadcast(tied), same, "left_anti")
+    return rest.unionByName(_ranked(kept.join(F.broadcast(tied), same, "left_semi"), key, order, tie))
 
 
 def drop_blank(df: DataFrame, text: str = "text_original") -> DataFrame:

@@ -5,15 +5,14 @@ from pyspark.sql import functions as F
 
 from newsloom.operators.embed import embed
 from newsloom.operators.search import exact_topk
-from newsloom.session import broadcast_if_small
+from newsloom.session import broadcast_if_small, materialize
 
 
-def nearest_articles(articles: DataFrame, questions: DataFrame, k=5, factory=None, key="ord") -> DataFrame:
-    """(qid, rank, vec_id, sim) for questions (qid, text); both sides are embedded
-    by the same encoder."""
-    vectors = embed(articles.select(F.col(key).alias("vec_id"), "text_original"), factory)
-    asked = embed(questions, factory, text="text")
-    return exact_topk(vectors.select("vec_id", "embedding"), asked.select("qid", "embedding"), k)
+def nearest_articles(vectors: DataFrame, questions: DataFrame, k=5, factory=None) -> DataFrame:
+    """(qid, rank, vec_id, sim) for questions (qid, text) among stored vectors
+    (vec_id, embedding) of the same encoder. Only the questions are embedded."""
+    asked = materialize(embed(questions, factory, text="text").select("qid", "embedding"), "questions")
+    return exact_topk(vectors.select("vec_id", "embedding"), asked, k)
 
 
 def cited_context(neighbours: DataFrame, articles: DataFrame, key="ord") -> DataFrame:

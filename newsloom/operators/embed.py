@@ -7,23 +7,23 @@ executor, so a model is loaded there and never shipped from the driver.
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from newsloom.schemas import BATCH_SIZE, MAX_SEQ_LENGTH, META_COLUMNS, MODEL_NAME
+from newsloom.schemas import BATCH_SIZE, META_COLUMNS
 from newsloom.session import broadcast_if_small, materialize
 from newsloom.sources.shards import read_shards
 from newsloom.sources.vectors import read_vectors
 
 VECTOR = T.ArrayType(T.FloatType(), False)
 HASHED_DIMENSIONS = 64
-# Words whose bucket a task remembers.
-REMEMBERED = 1_000_000
 
 
 def hash_encoder(d: int = HASHED_DIMENSIONS) -> Callable:
@@ -33,23 +33,19 @@ def hash_encoder(d: int = HASHED_DIMENSIONS) -> Callable:
     A word's bucket is the first 32 bits of its MD5 modulo ``d``.
     """
 
-    class Buckets(dict):
-        def __missing__(self, word):
-            if len(self) >= REMEMBERED:
-                self.clear()
-            digest = hashlib.md5(word.encode("utf-8"), usedforsecurity=False).digest()
-            self[word] = found = int.from_bytes(digest[:4], "big") % d
-            return found
+    def buckets(words):
+        """The bucket of each distinct word, hashed once."""
+        digests = (hashlib.md5(w.encode("utf-8"), usedforsecurity=False).digest() for w in words)
+        return np.fromiter((int.from_bytes(x[:4], "big") % d for x in digests), np.int64, len(words))
 
     def factory():
-        bucket_of = Buckets().__getitem__
-
         def encode(texts):
-            counts = np.zeros((len(texts), d))
-            for row, text in enumerate(texts):
-                words = text.lower().split()
-                buckets = np.fromiter(map(bucket_of, words), dtype=np.int64, count=len(words))
-                counts[row] = np.bincount(buckets, minlength=d)
+            lists = [text.lower().split() for text in texts]
+            # Arrow numbers the distinct words of the batch
+            coded = pa.array(chain.from_iterable(lists), pa.string()).dictionary_encode()
+            places = np.repeat(np.arange(len(texts)) * d, [len(words) for words in lists])
+            cells = places + buckets(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            counts = np.bincount(cells, minlength=len(texts) * d).reshape(len(texts), d).astype(float)
             norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
             return np.divide(counts, norms, out=counts, where=norms > 0)
 
@@ -58,24 +54,6 @@ def hash_encoder(d: int = HASHED_DIMENSIONS) -> Callable:
     return factory
 
 
-def sentence_encoder(model=MODEL_NAME, max_tokens=MAX_SEQ_LENGTH, device="cpu") -> Callable:
-    """Factory for the multilingual sentence model, where that library exists.
-
-    The model itself cuts its input at ``max_tokens``.
-    """
-
-    def factory():
-        from sentence_transformers import SentenceTransformer
-
-        loaded = SentenceTransformer(model, device=device)
-        loaded.max_seq_length = max_tokens
-        return lambda texts: loaded.encode(
-            texts, batch_size=BATCH_SIZE, show_progress_bar=False, convert_to_numpy=True
-        )
-
-    return factory
-
-
 def encoder_udf(factory: Callable, batch_size: int = BATCH_SIZE):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = factory()
@@ -103,17 +81,22 @@ def vectors_of(df: DataFrame, factory=None) -> DataFrame:
     return embed(df, factory).select(*keep, "embedding")
 
 
+def _pending(shards: DataFrame, embedded: DataFrame) -> DataFrame:
+    done = embedded.select("shard").distinct()
+    return shards.select("shard").distinct().join(done, "shard", "left_anti")
+
+
 def unembedded_shards(shards: DataFrame, embedded: DataFrame) -> DataFrame:
     """Shard names that have no vectors yet, in order."""
-    done = embedded.select("shard").distinct()
-    return shards.select("shard").distinct().join(done, "shard", "left_anti").orderBy("shard")
+    return _pending(shards, embedded).orderBy("shard")
 
 
 def backlog(articles: DataFrame, embedded: DataFrame) -> DataFrame:
     """Articles of shards without vectors. The list of pending shard names is
     broadcast after a check, and prunes the shard partitions of the scan."""
-    pending = unembedded_shards(articles, embedded)
-    return articles.join(broadcast_if_small(pending, "pending"), "shard", "left_semi")
+    # the filter is always true: Spark prunes by a join only if that side is filtered
+    pending = materialize(_pending(articles, embedded), "pending").filter("shard >= ''")
+    return articles.join(broadcast_if_small(pending), "shard", "left_semi")
 
 
 def incremental_embed(articles: DataFrame, embedded: DataFrame, factory=None) -> DataFrame:
@@ -136,7 +119,7 @@ def embed_backlog(spark, shards_path, vectors_path, factory=None) -> int:
     Safe to run again at any time. With nothing pending no model is loaded.
     """
     articles, embedded = read_shards(spark, shards_path), read_vectors(spark, vectors_path)
-    pending = unembedded_shards(articles, embedded).count()
+    pending = _pending(articles, embedded).count()
     if pending:
         write_vectors(incremental_embed(articles, embedded, factory), vectors_path)
     return pending

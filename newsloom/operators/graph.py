@@ -12,26 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from newsloom.functions.vectors import l2_normalize
-from newsloom.operators.ivf import index_parts, nearest_cells, part_of
+from newsloom.operators.copies import split_copies
+from newsloom.operators.ivf import cell_parts, index_parts, nearest_cells, with_part
 from newsloom.operators.search import DIGITS, block_candidates, exact_topk, list_matrix, merge_topk, with_vector
 from newsloom.schemas import EF_SEARCH, GRAPH_M, TOP_K
-from newsloom.session import broadcast_if_small, materialize
+from newsloom.session import BROADCAST_BYTES, broadcast_if_small, materialize
 
-
-def split_copies(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(nodes, members): equal vectors share one node, the smallest id.
-
-    Without this, a vector that fills a third of the corpus would fill the
-    neighbour lists with itself.
-    """
-    usable = with_vector(vectors).select("vec_id", "embedding")
-    nodes = materialize(
-        usable.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")),
-        "nodes",
-    )
-    repeated = nodes.filter("copies > 1").select("embedding", F.col("vec_id").alias("node"))
-    members = usable.join(broadcast_if_small(repeated), "embedding").select("node", "vec_id")
-    return nodes.select("vec_id", "embedding"), members
+KEY = ["qid", "vec_id", "part"]
 
 
 def knn_edges(near: DataFrame, m=GRAPH_M) -> DataFrame:
@@ -64,11 +51,14 @@ def build_graph(vectors, centroids, m=GRAPH_M, nprobe=5, parts=None) -> tuple[Da
     """(nodes, members). Nodes: vec_id, unit vector, neighbours with their parts,
     stored by part."""
     nodes, members = split_copies(vectors)
+    nodes = materialize(nodes, "nodes")
     if parts is None:
         parts = index_parts(nodes, centroids.count(), nodes.count())
+    places = cell_parts(centroids, parts)
     near = materialize(nearest_cells(nodes, centroids, nprobe), "near-cells")
     edges = adjacency(materialize(knn_edges(near, m), "edges"), m)
-    placed = near.select("vec_id", "embedding", part_of(F.col("cells")[0], parts).alias("part"))
+    placed = with_part(near.select("vec_id", "embedding", F.col("cells")[0].alias("cell")), places)
+    placed = placed.select("vec_id", "embedding", "part")
     home = placed.select(F.col("vec_id").alias("dst"), F.col("part").alias("_part"))
     lists = (
         edges.join(home, "dst")
@@ -84,7 +74,7 @@ def build_graph(vectors, centroids, m=GRAPH_M, nprobe=5, parts=None) -> tuple[Da
 def entry_points(centroids: DataFrame, nodes: DataFrame, queries: DataFrame, count=4) -> DataFrame:
     """(qid, vec_id, part): the nearest centres, which are corpus vectors."""
     near = exact_topk(centroids.withColumnRenamed("cell", "vec_id"), queries, count)
-    near = broadcast_if_small(near.select("qid", "vec_id"))
+    near = broadcast_if_small(near.select("qid", "vec_id"), store="entries")
     return nodes.select("vec_id", "part").join(near, "vec_id").select("qid", "vec_id", "part")
 
 
@@ -94,78 +84,86 @@ def _row_dots(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(np.round(sims, DIGITS))
 
 
-def expand(frontier: DataFrame, edges: DataFrame, visited: DataFrame) -> DataFrame:
-    """One hop over an edge table: the unvisited neighbours of the frontier."""
-    step = broadcast_if_small(frontier.select("qid", F.col("vec_id").alias("src")))
+def expand(frontier: DataFrame, nodes: DataFrame, visited: DataFrame) -> DataFrame:
+    """One hop: (qid, vec_id, part) of the unvisited neighbours of the frontier.
+
+    The frontier has a bounded size (see ``graph_search``) and is broadcast: the
+    node table is read where it lies, only in the parts that the frontier names.
+    """
+    # always true: Spark prunes partitions by a join only if that side is filtered
+    step = F.broadcast(frontier.select(*KEY).filter("part >= 0"))
+    reached = (
+        nodes.select("part", "vec_id", "neighbours").join(step, ["part", "vec_id"])
+        .select("qid", F.explode("neighbours").alias("_n"))
+        .select("qid", "_n.vec_id", "_n.part", F.lit(True).alias("unseen"))
+    )
+    # one shuffle both removes repeats and leaves out the visited nodes
     return (
-        edges.select("src", "dst").join(step, "src")
-        .select("qid", F.col("dst").alias("vec_id")).distinct()
-        .join(visited.select("qid", "vec_id"), ["qid", "vec_id"], "left_anti")
+        reached.union(visited.select(*KEY, F.lit(False).alias("unseen")))
+        .groupBy(*KEY).agg(F.min("unseen").alias("unseen"))
+        .filter("unseen").select(*KEY)
     )
 
 
-def graph_search(nodes, entries, queries, k=TOP_K, ef=EF_SEARCH, members=None, max_hops=None) -> DataFrame:
+def graph_search(
+    nodes, entries, queries, k=TOP_K, ef=EF_SEARCH, members=None, max_hops=None, m=GRAPH_M, limit=BROADCAST_BYTES,
+) -> DataFrame:
     """Walk from the entries, keeping the ``ef`` best nodes of each query, until
     every kept node has been expanded (or ``max_hops``).
 
-    Each hop is one job that writes the nodes it scored. All scored rows are
-    the visited set, and the best of them are the beam. A node that enters the
-    beam does so in the hop that scored it, so only the last hop's rows in the
-    beam are still to be expanded.
+    Queries walk in blocks, so many that what a hop reaches, at most ef * 2m rows
+    per query, fits a broadcast. Each hop is one job that writes the nodes it
+    scored; no hop shuffles the node table.
+    """
+    asked = with_vector(queries).select("qid", l2_normalize(F.col("embedding")).alias("_query"))
+    asked = materialize(asked, "asked")
+    entries = materialize(entries.select(*KEY).distinct(), "entries")
+    first = asked.select(F.size("_query").alias("d")).first()
+    row = max(ef * 2 * m * 48, 8 * (first["d"] if first else 0))
+    blocks = max(1, -(-asked.count() * row // limit))
+    found = None
+    for b in range(blocks):
+        own = F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b
+        part = _walk(nodes, entries.filter(own), asked.filter(own), ef, max_hops)
+        found = part if found is None else found.unionByName(part)
+    if members is not None:
+        # a node stands for all its copies; only the k smallest ids can rank
+        by = Window.partitionBy("node").orderBy("vec_id")
+        copies = members.withColumn("_r", F.row_number().over(by)).filter(F.col("_r") <= k).drop("_r")
+        copies = copies.withColumnRenamed("vec_id", "_copy")
+        found = found.join(copies, found["vec_id"] == copies["node"], "left").select(
+            "qid", F.coalesce("_copy", "vec_id").alias("vec_id"), "sim"
+        )
+    return merge_topk(found, k)
+
+
+def _walk(nodes, entries, asked, ef, max_hops) -> DataFrame:
+    """The beams (qid, vec_id, sim) of one block of queries at the end of their walk.
+
+    The rows that all hops scored are the visited set, and the best of them are
+    the beam. A node that enters the beam does so in the hop that scored it, so
+    only the last hop's rows in the beam are still to be expanded.
     """
-    spark = nodes.sparkSession
-    asked = broadcast_if_small(
-        with_vector(queries).select("qid", l2_normalize(F.col("embedding")).alias("_query")), "asked"
-    )
     places = nodes.select("part", "vec_id", "embedding")
-    links = nodes.select("part", "vec_id", "neighbours")
     similarity = F.arrow_udf(_row_dots, "double")
     best = Window.partitionBy("qid").orderBy(F.desc("sim"), "vec_id")
-    # few narrow rows carry much arithmetic: spread them over all cores; the
-    # filters on part, always true, let the joins prune the stored partitions
-    tasks = spark.sparkContext.defaultParallelism
-    key = ["qid", "vec_id", "part"]
 
     def score(fresh, hop):
-        return (
-            fresh.filter("part >= 0")
-            .join(places, ["part", "vec_id"])
-            .join(asked, "qid")
-            .select(*key, similarity("embedding", "_query").alias("sim"), F.lit(hop).alias("hop"))
+        return materialize(
+            places.join(F.broadcast(fresh.filter("part >= 0")), ["part", "vec_id"])
+            .join(F.broadcast(asked), "qid")
+            .select(*KEY, similarity("embedding", "_query").alias("sim"), F.lit(hop).alias("hop")),
+            "scored",
         )
 
     def beam_of(rows):
         return rows.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= ef)
 
-    hop = 0
-    scored = materialize(score(entries.select(*key).distinct(), hop), "scored")
-    while max_hops is None or hop < max_hops:
-        last = F.col("hop") == hop
-        if scored.filter(last).isEmpty():
-            break
-        reached = (
-            beam_of(scored).filter(last & (F.col("part") >= 0)).select(*key)
-            .join(links, ["part", "vec_id"])
-            .select("qid", F.explode("neighbours").alias("_n"))
-            .select("qid", "_n.vec_id", "_n.part", F.lit(True).alias("unseen"))
-        )
-        # one shuffle both removes repeats and leaves out the visited nodes
-        fresh = (
-            reached.union(scored.select(*key, F.lit(False).alias("unseen")))
-            .repartition(tasks, "qid")
-            .groupBy(*key).agg(F.min("unseen").alias("unseen"))
-            .filter("unseen").select(*key)
-        )
+    hop, last = 0, score(entries, 0)
+    scored = last
+    while (max_hops is None or hop < max_hops) and not last.isEmpty():
+        frontier = beam_of(scored).filter(F.col("hop") == hop)
         hop += 1
-        # the rows so far are narrow and few: rewritten, a hop reads one table
-        scored = materialize(scored.union(score(fresh, hop)).coalesce(tasks), "scored")
-    found = beam_of(scored).select("qid", "vec_id", "sim")
-    if members is not None:
-        # a node stands for all its copies; only the k smallest ids can rank
-        by = Window.partitionBy("node").orderBy("vec_id")
-        copies = members.withColumn("_r", F.row_number().over(by)).filter(F.col("_r") <= k).drop("_r")
-        copies = copies.withColumnRenamed("vec_id", "_copy")
-        found = found.join(copies, found["vec_id"] == copies["node"], "left").select(
-            "qid", F.coalesce("_copy", "vec_id").alias("vec_id"), "sim"
-        )
-    return merge_topk(found, k)
+        last = score(materialize(expand(frontier, nodes, scored), "reached"), hop)
+        scored = scored.unionByName(last)  # a hop adds its own rows, and rewrites none
+    return beam_of(scored).select("qid", "vec_id", "sim")

@@ -15,10 +15,7 @@ OUTCOMES = ["new", "no_content", "already_seen"]
 
 
 def feed_articles(entries: DataFrame, markers=None, to_text=html_to_text) -> DataFrame:
-    """Entries (link, title, published, category, content) as shard rows.
-
-    ``to_text`` may be ``html_to_text_parsed`` for markup that patterns cannot read.
-    """
+    """Entries (link, title, published, category, content) as shard rows."""
     markers = BOILERPLATE_MARKERS if markers is None else markers
     texts = once(entries.withColumnRenamed("content", "_html"), "_raw", to_text(F.col("_html")))
     texts = once(texts.drop("_html"), "text_original", boilerplate_cut(F.col("_raw"), markers))
@@ -45,7 +42,7 @@ def seen_among(items: DataFrame, seen: DataFrame) -> DataFrame:
     too big for that is joined by shuffle; both sides are distinct links first,
     so no link can be hot.
     """
-    links = items.select("link").filter("link is not null").distinct()
+    links = materialize(items.select("link").filter("link is not null").distinct(), "batch-links")
     if fits_broadcast(links):
         return seen.select("link").join(F.broadcast(links), "link", "left_semi").distinct()
     return links.join(seen.select("link").distinct(), "link", "left_semi")
@@ -53,7 +50,7 @@ def seen_among(items: DataFrame, seen: DataFrame) -> DataFrame:
 
 def drop_seen(items: DataFrame, seen: DataFrame) -> DataFrame:
     known = seen_among(items, seen)
-    return items.join(broadcast_if_small(known, "known"), "link", "left_anti")
+    return items.join(broadcast_if_small(known, store="known"), "link", "left_anti")
 
 
 def new_articles(
@@ -80,7 +77,7 @@ def ingest_outcomes(
 ) -> DataFrame:
     """Each entry with its outcome; the length rule is tested before the seen
     rule, so a seen item without content counts as no content."""
-    known = broadcast_if_small(seen_among(entries, seen), "known").withColumn("_seen", F.lit(True))
+    known = broadcast_if_small(seen_among(entries, seen), store="known").withColumn("_seen", F.lit(True))
     outcome = (
         F.when(~F.coalesce(has_content(min_chars), F.lit(False)), "no_content")
         .when(F.col("_seen"), "already_seen")

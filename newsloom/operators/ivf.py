@@ -8,15 +8,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.vectors import dot
+from newsloom.functions.vectors import dot, l2_normalize
+from newsloom.operators.copies import split_copies
 from newsloom.operators.sampling import salted_md5
 from newsloom.operators.search import DIGITS, block_candidates, exact_topk, merge_topk, probed_topk, unit_rows, with_vector
 from newsloom.schemas import NPROBE_FRACTION, SEED, TOP_K
 from newsloom.session import BROADCAST_BYTES, broadcast_if_small, fits_broadcast, materialize
 
-# Training needs this many vectors per centre at most; assignment uses all.
-TRAIN_PER_CENTRE = 256
-MAX_PARTS = 1000
 PART_BYTES = 64 * 1024 * 1024
 
 
@@ -33,40 +31,51 @@ def sample_centroids(vectors: DataFrame, nlist: int, seed: int = SEED) -> DataFr
     """``nlist`` corpus vectors as centres, picked by hash order; the cell is the
     id of its centre. Copies of one vector count once, so a vector that fills a
     third of the corpus still gets one cell."""
-    ids = (
-        with_vector(vectors)
-        .groupBy(F.xxhash64("embedding").alias("_h"))
-        .agg(F.min("vec_id").alias("cell"))
-        .orderBy(salted_md5("cell", f"{seed}:cell"), "cell")
-        .limit(nlist)
-        .select("cell")
-    )
-    ids = broadcast_if_small(ids, "centre-ids")
+    nodes, _ = split_copies(vectors)
+    ids = nodes.select(F.col("vec_id").alias("cell")).orderBy(salted_md5("cell", f"{seed}:cell"), "cell").limit(nlist)
+    ids = broadcast_if_small(ids, store="centre-ids")
     return vectors.join(ids, F.col("vec_id") == F.col("cell")).select("cell", "embedding")
 
 
-def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10, n=None) -> DataFrame:
-    """Cosine k-means centres, trained on up to 256 vectors per centre."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    if nlist == 1:
-        return sample_centroids(vectors, 1, seed)
-    usable = with_vector(vectors)
-    n = usable.count() if n is None else n
-    share = min(1.0, TRAIN_PER_CENTRE * nlist / max(1, n))
-    if share < 1.0:
-        spread = 1 << 30
-        usable = usable.filter(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(spread)) < int(share * spread))
-    training = materialize(
-        usable.filter(dot(F.col("embedding"), F.col("embedding")) > 0).select("embedding"), "training"
-    ).select(array_to_vector("embedding").alias("features"))
-    model = KMeans(k=nlist, distanceMeasure="cosine", seed=seed, maxIter=iterations).fit(training)
-    # k-means itself holds its centres on the driver; they leave it as Arrow
-    found = np.asarray(model.clusterCenters(), dtype=np.float64)
-    lists = pa.FixedSizeListArray.from_arrays(pa.array(found.reshape(-1)), found.shape[1])
-    table = pa.table({"cell": np.arange(len(found)), "embedding": lists.cast(pa.list_(pa.float64()))})
-    return vectors.sparkSession.createDataFrame(table)
+def _cell_sums(batches):
+    """Sums of unit vectors by cell, one row for each cell that a task has seen."""
+    sums = {}
+    for batch in batches:
+        cells, x = batch.column(0).to_numpy(), unit_rows(batch.column(1))
+        for cell in np.unique(cells).tolist():
+            part = x[cells == cell].sum(axis=0)
+            sums[cell] = sums[cell] + part if cell in sums else part
+    if sums:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))],
+            names=["cell", "total"],
+        )
+
+
+def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10) -> DataFrame:
+    """Cosine k-means centres (cell, embedding), trained on all vectors.
+
+    It starts from ``nlist`` vectors picked by hash. A round assigns every vector
+    to its nearest centre where it lies, adds up unit vectors per cell in each
+    task, and the sums of the tasks per cell. A cell without vectors keeps its
+    centre. Centres are a table all along and every round's are stored.
+    """
+    usable = with_vector(vectors).filter(dot(F.col("embedding"), F.col("embedding")) > 0).select("vec_id", "embedding")
+    start = sample_centroids(usable, nlist, seed)
+    centres = materialize(start.select(F.col("cell").cast("bigint"), F.col("embedding").cast("array<double>")), "centres")
+    for _ in range(iterations):
+        placed = assign_cells(usable, centres).select(F.col("cell").cast("bigint"), "embedding")
+        parts = placed.mapInArrow(_cell_sums, "cell bigint, total array<double>")
+        means = parts.select("cell", F.posexplode("total").alias("i", "x")).groupBy("cell", "i").agg(F.sum("x").alias("x"))
+        means = means.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("xs"))
+        # only directions matter; rounding makes them independent of the order of sums
+        moved = means.select("cell", l2_normalize(F.transform("xs", lambda e: e["x"])).alias("moved"))
+        moved = moved.withColumn("moved", F.transform("moved", lambda x: F.round(x, DIGITS)))
+        centres = materialize(
+            centres.join(moved, "cell", "left").select("cell", F.coalesce("moved", "embedding").alias("embedding")),
+            "centres",
+        )
+    return centres
 
 
 def nearest_cells(vectors: DataFrame, centroids: DataFrame, count: int = 1, limit=BROADCAST_BYTES) -> DataFrame:
@@ -114,35 +123,48 @@ def assign_cells(vectors: DataFrame, centroids: DataFrame, limit=BROADCAST_BYTES
 
 
 def index_parts(vectors: DataFrame, nlist: int, n: int) -> int:
-    """Partitions of a stored index: about 64 MB each, never more than cells
-    or ``MAX_PARTS``, so that a long list of cells makes no small files."""
+    """Parts of a stored index: about 64 MB each, never more than cells, so that a
+    long list of cells makes no small files."""
     first = vectors.select(F.size("embedding").alias("d")).first()
     size = n * (first["d"] if first else 0) * 4
-    return max(1, min(nlist, MAX_PARTS, -(-size // PART_BYTES)))
+    return max(1, min(nlist, -(-size // PART_BYTES)))
+
+
+def cell_parts(centroids: DataFrame, parts: int) -> DataFrame:
+    """(cell, part): neighbouring cells share a part. A part is the nearest of
+    ``parts`` centres that are picked from the centres themselves, so the cells
+    that a query probes lie in few parts."""
+    if parts == 1:
+        return centroids.select("cell", F.lit(0).cast("bigint").alias("part"))
+    own = centroids.select(F.col("cell").alias("vec_id"), "embedding")
+    placed = assign_cells(own, materialize(sample_centroids(own, parts), "coarse-centres"))
+    return materialize(placed.select(F.col("vec_id").alias("cell"), F.col("cell").alias("part")), "cell-parts")
 
 
-def part_of(cell, parts: int):
-    return F.pmod(F.xxhash64(cell), F.lit(parts)).cast("int")
+def with_part(df: DataFrame, places: DataFrame) -> DataFrame:
+    """``df`` with the part of its ``cell``."""
+    return df.join(broadcast_if_small(places), "cell")
 
 
 @dataclass(frozen=True)
 class IvfIndex:
-    """Centres (cell, embedding) and the vectors (vec_id, embedding, cell, part)
-    stored by ``part``."""
+    """Centres (cell, embedding), the part of each cell (cell, part), and the
+    vectors (vec_id, embedding, cell, part) stored by ``part``."""
 
     centroids: DataFrame
     vectors: DataFrame
-    parts: int
+    places: DataFrame
 
 
 def build_ivf(vectors: DataFrame, centroids: DataFrame, parts: int | None = None) -> IvfIndex:
-    """Assign every vector to its nearest centre and store it. Cells are hashed
-    to stored partitions, so a search reads the partitions of probed cells."""
+    """Assign every vector to its nearest centre and store it, so that a search
+    reads the parts of probed cells."""
     if parts is None:
         parts = index_parts(vectors, centroids.count(), vectors.count())
-    placed = assign_cells(vectors.select("vec_id", "embedding"), centroids)
-    stored = materialize(placed.withColumn("part", part_of("cell", parts)), "ivf", partition_by="part")
-    return IvfIndex(centroids, stored, parts)
+    places = cell_parts(centroids, parts)
+    placed = with_part(assign_cells(vectors.select("vec_id", "embedding"), centroids), places)
+    placed = placed.select("vec_id", "embedding", "cell", "part")
+    return IvfIndex(centroids, materialize(placed, "ivf", partition_by="part"), places)
 
 
 def probe_cells(queries: DataFrame, centroids: DataFrame, nprobe: int) -> DataFrame:
@@ -154,6 +176,5 @@ def probe_cells(queries: DataFrame, centroids: DataFrame, nprobe: int) -> DataFr
 def ivf_search(index: IvfIndex, queries, k=TOP_K, nprobe=None, exclude_self=False) -> DataFrame:
     if nprobe is None:
         nprobe = choose_nprobe(index.centroids.count())
-    probes = materialize(probe_cells(queries, index.centroids, nprobe), "probes")
-    probes = probes.withColumn("part", part_of("cell", index.parts))
+    probes = materialize(with_part(probe_cells(queries, index.centroids, nprobe), index.places), "probes")
     return probed_topk(index.vectors, queries, probes, k, exclude_self)

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from newsloom.schemas import N_QUERIES, SCALES, SEED
+from newsloom.session import broadcast_if_small
 
-# Leading hex digits of the hash that name a bucket.
-BUCKET_DIGITS = 3
+# Rows that one task numbers, about.
+BUCKET_ROWS = 100_000
 
 
 def salted_md5(column: str, salt) -> Column:
@@ -15,40 +16,56 @@ def salted_md5(column: str, salt) -> Column:
 
 
 def shuffle_positions(df: DataFrame, key: str = "vec_id", seed: int = SEED) -> DataFrame:
-    """Add ``pos`` = 1..n in hash order of a unique key.
+    """Add ``pos`` = 1..n in hash order of a unique key. Give it narrow rows.
 
-    Rows are numbered inside 4,096 equal hash buckets in parallel; the bucket
-    sizes (4,096 rows) give each bucket its offset.
+    Rows are numbered in parallel inside hash buckets, whose number follows from
+    the row count; the sizes of the buckets before it give each its offset. The
+    position doesn't depend on the number of buckets.
     """
-    hashed = df.withColumn("_h", salted_md5(key, seed)).withColumn(
-        "_bucket", F.substring("_h", 1, BUCKET_DIGITS)
-    )
+    digits = bucket_digits(df.count())
+    hashed = df.withColumn("_h", salted_md5(key, seed)).withColumn("_bucket", F.substring("_h", 1, digits))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = hashed.groupBy("_bucket").count().select(
+    # one row per bucket
+    offsets = broadcast_if_small(hashed.groupBy("_bucket").count().select(
         "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")
-    )
+    ), store="bucket-offsets")
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy("_h", key))
     return (
         hashed.withColumn("_n", inside)
-        .join(F.broadcast(offsets), "_bucket")
+        .join(offsets, "_bucket")
         .withColumn("pos", F.col("_offset") + F.col("_n"))
         .drop("_h", "_bucket", "_n", "_offset")
     )
 
 
+def bucket_digits(n: int) -> int:
+    """Leading hex digits of the hash that name a bucket of about BUCKET_ROWS rows."""
+    digits = 0
+    while n > BUCKET_ROWS * 16**digits:
+        digits += 1
+    return max(digits, 1)
+
+
+def first_rows(df: DataFrame, scale: int | None, key="vec_id", seed=SEED) -> DataFrame:
+    """The rows that ``nested_sample`` gives, without numbering the others: the
+    keys are taken in hash order and joined back."""
+    if scale is None:
+        return df
+    keys = df.select(key).orderBy(salted_md5(key, seed), key).limit(scale)
+    return df.join(broadcast_if_small(keys, store="sample-keys"), key, "left_semi")
+
+
 def nested_sample(positioned: DataFrame, scale: int | None) -> DataFrame:
     """The first ``scale`` rows of the shuffle; every scale holds the smaller ones."""
     return positioned if scale is None else positioned.filter(F.col("pos") <= scale)
 
 
-def query_sample(
-    positioned: DataFrame, scales=SCALES, n_queries=N_QUERIES, key="vec_id", seed=SEED
-) -> DataFrame:
+def query_sample(df: DataFrame, scales=SCALES, n_queries=N_QUERIES, key="vec_id", seed=SEED) -> DataFrame:
     """Queries without replacement from the smallest scale, so that every scale
     is asked the same ones."""
     smallest = min((s for s in scales if s is not None), default=None)
     return (
-        nested_sample(positioned, smallest)
+        first_rows(df, smallest, key, seed)
         .orderBy(salted_md5(key, f"{seed}:query"), key)
         .limit(n_queries)
         .withColumnRenamed(key, "qid")

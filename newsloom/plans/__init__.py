@@ -2,12 +2,12 @@
 
 
 def all_queries():
-    from newsloom.plans import articles, feed, vectors
+    from newsloom.plans import articles, feed, files, vectors
 
-    return {**articles.QUERIES, **feed.QUERIES, **vectors.QUERIES}
+    return {**articles.QUERIES, **feed.QUERIES, **files.QUERIES, **vectors.QUERIES}
 
 
 def all_oracles():
-    from newsloom.plans import articles, feed, vectors
+    from newsloom.plans import articles, feed, files, vectors
 
-    return {**articles.ORACLES, **feed.ORACLES, **vectors.ORACLES}
+    return {**articles.ORACLES, **feed.ORACLES, **files.ORACLES, **vectors.ORACLES}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import vectors as vec
 from newsloom.operators import benchmark, graph, ivf, recall, sampling, search
 from newsloom.plans.tables import CENTRES, NEAR, NLIST, POSITIONED, UNIT, sql_queries, table, with_
-from newsloom.schemas import GRAPH_M, N_QUERIES, TOP_K
+from newsloom.schemas import EF_SEARCH, GRAPH_M, METHOD_LABELS, N_QUERIES, TOP_K
 from newsloom.session import materialize
 
 # Nested scales for the generated vectors; the last is the whole table.
@@ -19,12 +19,12 @@ def vectors(spark, sf):
 
 
 def positioned(spark, sf):
-    return sampling.shuffle_positions(vectors(spark, sf))
+    return sampling.shuffle_positions(vectors(spark, sf).select("vec_id"))
 
 
 def asked(spark, sf, scales=(None,)):
     """The query table; it is small and read several times."""
-    sample = sampling.query_sample(positioned(spark, sf), scales, N_QUERIES)
+    sample = sampling.query_sample(vectors(spark, sf), scales, N_QUERIES)
     return materialize(sample.select("qid", "embedding"), "queries")
 
 
@@ -51,7 +51,12 @@ def nested_sample(spark, sf):
 
 
 def query_sample(spark, sf):
-    return sampling.query_sample(positioned(spark, sf), SCALES, SWEEP_QUERIES).select("qid", "pos")
+    """Queries with their place in the shuffle. All are in the smallest scale, so
+    only that many keys are numbered."""
+    smallest = min(s for s in SCALES if s)
+    prefix = materialize(sampling.first_rows(vectors(spark, sf).select("vec_id"), smallest), "prefix")
+    placed = sampling.shuffle_positions(prefix)
+    return sampling.query_sample(placed, [None], SWEEP_QUERIES).select("qid", "pos")
 
 
 def exact_topk(spark, sf):
@@ -70,11 +75,18 @@ def ivf_probe(spark, sf):
 def ivf_search(spark, sf):
     """Trained centres instead of sampled ones."""
     v = vectors(spark, sf)
-    n = v.count()
-    c = ivf.train_centroids(v, ivf.choose_nlist(n), n=n)
+    c = ivf.train_centroids(v, ivf.choose_nlist(v.count()))
     return _shown(ivf.ivf_search(ivf.build_ivf(v, c), asked(spark, sf), TOP_K))
 
 
+def ivf_search_all(spark, sf):
+    """Trained centres with every cell probed, which must give the exact answer."""
+    v = vectors(spark, sf)
+    nlist = ivf.choose_nlist(v.count())
+    index = ivf.build_ivf(v, ivf.train_centroids(v, nlist))
+    return _shown(ivf.ivf_search(index, asked(spark, sf), TOP_K, nprobe=nlist))
+
+
 def recall_at_k(spark, sf):
     """Mean recall of the index with sampled centres."""
     q = asked(spark, sf)
@@ -94,16 +106,22 @@ def knn_graph(spark, sf):
     return edges(spark, sf).withColumn("sim", F.round("sim", 6))
 
 
+def _graph(spark, sf):
+    c = centres(spark, sf)
+    return c, *graph.build_graph(vectors(spark, sf), c, GRAPH_M, GRAPH_PROBES)
+
+
 def graph_expand(spark, sf):
-    """One hop from each query's own node."""
-    start = asked(spark, sf).select("qid", F.col("qid").alias("vec_id"))
-    return graph.expand(start, edges(spark, sf), start)
+    """One hop of the search from each query's own node."""
+    _, nodes, _ = _graph(spark, sf)
+    own = nodes.select("vec_id", "part").join(asked(spark, sf).select("qid"), F.col("vec_id") == F.col("qid"))
+    start = materialize(own.select("qid", "vec_id", "part"), "start")
+    return graph.expand(start, nodes, start).select("qid", "vec_id")
 
 
 def graph_search(spark, sf):
-    c = centres(spark, sf)
     q = asked(spark, sf)
-    nodes, members = graph.build_graph(vectors(spark, sf), c, GRAPH_M, GRAPH_PROBES)
+    c, nodes, members = _graph(spark, sf)
     found = graph.graph_search(nodes, graph.entry_points(c, nodes, q), q, TOP_K, members=members)
     return _shown(found)
 
@@ -114,6 +132,11 @@ def recall_by_scale(spark, sf):
 
 
 def recall_series(spark, sf):
+    """Recall by method label and scale, as the chart shows it."""
+    return benchmark.labelled(recall_by_scale(spark, sf)).select("label", "scale", "recall")
+
+
+def search_comparison(spark, sf):
     """The whole comparison with measured times (which differ between runs)."""
     return benchmark.chart_series(benchmark.compare_searches(vectors(spark, sf), SCALES))
 
@@ -121,8 +144,8 @@ def recall_series(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in [
-        l2_normalize, nested_sample, query_sample, exact_topk, ivf_assign, ivf_probe, ivf_search,
-        recall_at_k, knn_graph, graph_expand, graph_search, recall_by_scale, recall_series,
+        l2_normalize, nested_sample, query_sample, exact_topk, ivf_assign, ivf_probe, ivf_search, ivf_search_all,
+        recall_at_k, knn_graph, graph_expand, graph_search, recall_by_scale, recall_series, search_comparison,
     ]
 }
 
@@ -163,6 +186,29 @@ edges AS (
 _INDEX = with_(UNIT, POSITIONED, _QUERIES, NLIST, CENTRES, NEAR, _PROBE, _EXACT)
 _GRAPH = with_(UNIT, POSITIONED, _QUERIES, NLIST, CENTRES, NEAR, _EDGES)
 
+HOPS = 12  # of the SQL walk; on the given tables it ends earlier
+
+
+def _hop(h):
+    """One hop of the walk: the best rows so far, what the newest of them reach."""
+    return f"""beam_{h} AS MATERIALIZED (SELECT * FROM scored_{h - 1}
+  QUALIFY row_number() OVER (PARTITION BY qid ORDER BY s DESC, vec_id) <= {EF_SEARCH}),
+fresh_{h} AS MATERIALIZED (SELECT DISTINCT qid, dst AS vec_id FROM beam_{h} JOIN edges ON src = vec_id WHERE hop = {h - 1}
+  EXCEPT SELECT qid, vec_id FROM scored_{h - 1}),
+scored_{h} AS MATERIALIZED (SELECT * FROM scored_{h - 1} UNION ALL
+  SELECT qid, f.vec_id, round(list_inner_product(q.u, v.u), 9) AS s, {h} AS hop
+  FROM fresh_{h} f JOIN unit q ON q.vec_id = qid JOIN unit v ON v.vec_id = f.vec_id)"""
+
+
+_WALK = ",\n".join([f"""scored_0 AS MATERIALIZED (
+  SELECT qid, cell AS vec_id, round(list_inner_product(q.u, c.u), 9) AS s, 0 AS hop
+  FROM queries JOIN unit q ON q.vec_id = qid, centres c
+  QUALIFY row_number() OVER (PARTITION BY qid ORDER BY round(list_inner_product(q.u, c.u), 9) DESC, cell) <= 4)"""]
+    + [_hop(h) for h in range(1, HOPS + 1)]
+    + [f"""last AS (SELECT * FROM scored_{HOPS}
+  QUALIFY row_number() OVER (PARTITION BY qid ORDER BY s DESC, vec_id) <= {EF_SEARCH}),
+copies AS (SELECT e.vec_id, min(f.vec_id) AS node FROM embeddings e JOIN embeddings f ON e.embedding = f.embedding GROUP BY e.vec_id)"""])
+
 _SMALLEST = min(s for s in SCALES if s)
 
 
@@ -218,5 +264,13 @@ ORACLES = {
         UNIT, POSITIONED, sql_queries(SWEEP_QUERIES, _SMALLEST), *[ctes for ctes, _ in _BY_SCALE]
     ) + "\nUNION ALL ".join(select for _, select in _BY_SCALE),
     "knn_graph": _GRAPH + "SELECT src, dst, round(s, 6) AS sim FROM edges",
+    "graph_search": _GRAPH.rstrip().replace("edges AS (", "edges AS MATERIALIZED (") + ",\n" + _WALK + f"""
+SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY s DESC, c.vec_id) AS rank, c.vec_id, round(s, 6) AS sim
+FROM last JOIN copies c ON c.node = last.vec_id QUALIFY rank <= {TOP_K}""",
+    "ivf_search_all": with_(UNIT, POSITIONED, _QUERIES, _EXACT)
+    + "SELECT qid, rank, vec_id, round(sim, 6) AS sim FROM exact",
     "graph_expand": _GRAPH + "SELECT DISTINCT src AS qid, dst AS vec_id FROM edges WHERE src IN (SELECT qid FROM queries)",
 }
+
+_LABELS = " ".join(f"WHEN method = '{m}' THEN '{label}'" for m, label in METHOD_LABELS.items())
+ORACLES["recall_series"] = f"SELECT CASE {_LABELS} END AS label, scale, recall FROM ({ORACLES['recall_by_scale']}) a"

@@ -54,8 +54,6 @@ KNOWN_BAD_LINKS = [
 ]
 
 # Embedding and search settings.
-MODEL_NAME = "paraphrase-multilingual-MiniLM-L12-v2"
-MAX_SEQ_LENGTH = 256
 BATCH_SIZE = 128
 SCALES = [5_000, 20_000, 50_000, None]
 N_QUERIES = 200
@@ -64,11 +62,6 @@ SEED = 42
 NPROBE_FRACTION = 0.10
 GRAPH_M = 32
 EF_SEARCH = 64
-METHOD_LABELS = {
-    "brute_force": "Brute-force (exact)",
-    "ivf": "IVF (cluster-pruned)",
-    "graph": "Graph walk",
-}
 
 # The texts that pandas reads as missing in a CSV field.
 NA_TOKENS = [
@@ -79,3 +72,10 @@ NA_TOKENS = [
 
 # Every character Python's str.strip() removes; all lie below U+3100.
 WHITESPACE = "".join(chr(c) for c in range(0x3100) if chr(c).isspace())
+
+# Names of the methods in charts.
+METHOD_LABELS = {
+    "brute_force": "Brute-force (exact)",
+    "ivf": "IVF (cluster-pruned)",
+    "graph": "Graph walk",
+}

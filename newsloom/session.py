@@ -1,7 +1,10 @@
 """Session settings, the shared folder for intermediate tables, size checks."""
 
+import contextlib
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,29 +26,63 @@ def build_session(app="newsloom", **conf):
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
 
 
-_local_folders = {}
+_shipped = set()
 
 
-def shared_dir(spark):
-    """The folder that every executor can reach, named by spark.checkpoint.dir
-    or set on the context.
-
-    Only a local session may go without the setting; it gets a fresh folder.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
+def ship_package(spark):
+    """Send this package to the executors, once per application, so that Python
+    workers can import it whatever their working directory."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    if context.applicationId not in _shipped:
+        root = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="newsloom-package-"), "newsloom.zip")
+        with zipfile.ZipFile(path, "w") as archive:
+            for folder, _, names in os.walk(root):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+        context.addPyFile(path)  # served by the driver
+        _shipped.add(context.applicationId)
+    return spark
+
+
+def shared_dir(spark):
+    """The folder that every executor can reach: spark.checkpoint.dir, or the
+    checkpoint folder set on the context. Without either it is an error."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="newsloom-")
-    return _local_folders[context.applicationId]
+    return configured
+
+
+_owned = []
+
+
+@contextlib.contextmanager
+def scratch(spark):
+    """Drop the intermediate tables that are written inside the block when it
+    ends; results must be consumed before that."""
+    paths = []
+    _owned.append(paths)
+    try:
+        yield
+    finally:
+        _owned.remove(paths)
+        for path in paths:
+            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def fresh_path(spark, name: str) -> str:
+    """A new path in the shared folder, dropped with the ``scratch`` block around it."""
+    path = f"{shared_dir(spark)}/newsloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    for paths in _owned[-1:]:
+        paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str, partition_by: str | None = None, rebalance: bool = True) -> DataFrame:
@@ -57,7 +94,7 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None, rebal
     task a file per partition, which suits a few partitions.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/newsloom/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     writer = df.write
     if partition_by:
         # rebalance lets AQE split a hot partition over several tasks and files

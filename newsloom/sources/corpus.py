@@ -9,19 +9,22 @@ from newsloom.schemas import CORPUS_COLUMNS, CORPUS_SCHEMA, MIN_FILE_BYTES, NA_T
 def read_csv(spark, path, schema=CORPUS_SCHEMA, na_tokens=NA_TOKENS) -> DataFrame:
     """Full CSV scan with quoted newlines and doubled quotes.
 
+    Columns are taken by the names in the header: a missing one is null, others
+    are left out, and ``profile.schema_check`` of ``read_any_csv`` tells which.
     The texts in ``na_tokens`` read as null. A missing path raises
-    PATH_NOT_FOUND. ``multiLine`` files cannot be split, so land them once.
+    PATH_NOT_FOUND. ``multiLine`` files cannot be split, so land them once, in
+    files of bounded size.
     """
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    raw = read_any_csv(spark, path)
     tokens = list(na_tokens)
-    return raw.select(*[F.when(~F.col(c).isin(tokens), F.col(c)).alias(c) for c in raw.columns])
+
+    def column(name):
+        if name not in raw.columns:
+            return F.lit(None).cast("string").alias(name)
+        c = F.col(f"`{name}`")
+        return F.when(~c.isin(tokens), c).alias(name)
+
+    return raw.select(*[column(field.name) for field in schema])
 
 
 def read_any_csv(spark, path) -> DataFrame:

@@ -12,10 +12,14 @@ def links_of(df: DataFrame) -> DataFrame:
 
 
 def normalise_links(lines: DataFrame, column: str = "link") -> DataFrame:
-    """Strip, drop blank lines, keep each link once."""
-    return (
-        lines.select(strip(F.col(column)).alias("link")).filter("link <> ''").distinct()
-    )
+    """Strip, drop blank lines, keep each link once, in order of first appearance.
+
+    Positions number the rows part by part; the least one of each link is
+    aggregated before its shuffle, so a link that repeats a lot is no hot spot.
+    """
+    placed = lines.select(strip(F.col(column)).alias("link"), F.monotonically_increasing_id().alias("_at"))
+    first = placed.filter("link <> ''").groupBy("link").agg(F.min("_at").alias("_at"))
+    return first.orderBy("_at").select("link")
 
 
 def read_manifest(spark, path) -> DataFrame:

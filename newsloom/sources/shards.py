@@ -8,13 +8,20 @@ from newsloom.session import read_or_empty
 from newsloom.sources.corpus import read_csv
 
 
+def _drop_shard(spark, path, shard):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={shard}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_shard(rows: DataFrame, path, shard: str) -> bool:
-    """Write one run's rows as its own partition; nothing is written for none.
+    """Write one run's rows as its own partition. Nothing is written for none, and
+    what an earlier try of the same run wrote is dropped.
 
     Dynamic overwrite makes a repeated write of the same shard idempotent and
     leaves all other shards alone.
     """
     if rows.isEmpty():
+        _drop_shard(rows.sparkSession, path, shard)
         return False
     (
         rows.select(*SHARD_COLUMNS)

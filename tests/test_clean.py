@@ -53,6 +53,19 @@ def test_keep_first_with_two_order_columns(spark):
         assert [(r["f"], r["n"]) for r in rows] == [("a", 5)]
 
 
+TIED = [("a", 1, "x"), ("a", 1, "y"), ("b", None, "n"), ("b", None, "m"), ("c", None, "q"), ("c", 2, "r"), (None, None, "z"),
+        (None, None, "z"), ("d", 1, "s"), ("d", 1, "s"), ("e", 5, "t"), ("f", 3, None), ("f", 3, "u")]
+
+
+def test_keep_first_has_one_answer_for_ties_and_nulls(spark):
+    df = spark.createDataFrame(TIED, "link string, ord int, text string").repartition(7)
+    both = [sorted(map(str, clean.keep_first(df, limit=limit).collect())) for limit in (None, -1)]
+    assert both[0] == both[1] and len(both[0]) == 7
+    two = df.withColumn("f", F.when(F.col("ord") > 1, F.lit("late")))
+    both = [sorted(map(str, clean.keep_first(two, order=("f", "ord"), limit=limit).collect())) for limit in (None, -1)]
+    assert both[0] == both[1] and len(both[0]) == 7
+
+
 def test_keep_first_of_a_hot_key(spark):
     df = spark.range(30_000).select(F.col("id").alias("ord"), F.expr("if(id % 3 = 0, 'hot', cast(id as string))").alias("link"))
     for limit in (None, -1):

@@ -29,7 +29,7 @@ def plain(value):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"ivf_search", "graph_search", "recall_series"}
+    assert set(QUERIES) - set(SQL) == {"ivf_search", "search_comparison"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

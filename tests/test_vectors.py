@@ -109,7 +109,7 @@ def test_all_probes_give_the_exact_answer(generated, queries, centres):
 
 def test_probed_search_by_blocks(generated, queries, centres):
     index = ivf.build_ivf(generated, centres)
-    probes = ivf.probe_cells(queries, centres, 3).withColumn("part", ivf.part_of("cell", index.parts))
+    probes = ivf.with_part(ivf.probe_cells(queries, centres, 3), index.places)
     a = search.probed_topk(index.vectors, queries, probes, 10)
     b = search.probed_topk(index.vectors, queries, probes, 10, limit=-1, block_rows=16)
     assert got(a) == got(b)
@@ -124,7 +124,7 @@ def test_many_centres_take_the_block_path(generated, centres):
 def test_search_reads_only_probed_parts(generated, queries, centres, plan_of):
     index = ivf.build_ivf(generated, centres, parts=8)
     one = queries.limit(1)
-    probes = materialize(ivf.probe_cells(one, centres, 1), "p").withColumn("part", ivf.part_of("cell", 8))
+    probes = materialize(ivf.with_part(ivf.probe_cells(one, centres, 1), index.places), "p")
     assert "dynamicpruning" in plan_of(search._probed(index.vectors, probes.limit(1)), "simple").lower()
 
 
@@ -134,8 +134,10 @@ def test_trained_index(generated, queries):
     truth = search.exact_topk(generated, queries, 10)
     found = ivf.ivf_search(ivf.build_ivf(generated, trained), queries, 10, 4)
     assert recall.recall_at_k(found, truth).first()["recall"] > 0.5
-    few = ivf.train_centroids(generated, 1, n=10_000)
-    assert few.count() == 1
+    few = ivf.train_centroids(generated, 1)
+    unit = generated.filter("embedding is not null").select("embedding").collect()
+    mean = np.mean([np.array(r[0]) / np.linalg.norm(r[0]) for r in unit], axis=0)
+    assert few.count() == 1 and np.allclose(few.first()["embedding"], mean / np.linalg.norm(mean), atol=1e-6)
 
 
 def test_graph_recall(generated, queries, centres):
@@ -167,6 +169,22 @@ def test_nested_samples_nest(generated):
     assert small.count() == 50 and large.count() == 100 and small.exceptAll(large).count() == 0
     q = sampling.query_sample(p, [100, 50, None], 20)
     assert q.count() == 20 and q.agg(F.max("pos")).first()[0] <= 50
+    for scale in (50, 100, 500):
+        prefix = sampling.first_rows(generated, scale).select("vec_id")
+        assert prefix.exceptAll(sampling.nested_sample(p, scale).select("vec_id")).count() == 0 and prefix.count() == scale
+
+
+def test_positions_do_not_depend_on_the_buckets(generated, monkeypatch):
+    want = sampling.shuffle_positions(generated.select("vec_id")).orderBy("vec_id").collect()
+    assert [sampling.bucket_digits(n) for n in (0, 100_000, 100_001, 1_600_001, 10**10)] == [1, 1, 1, 2, 5]
+    monkeypatch.setattr(sampling, "BUCKET_ROWS", 1)
+    assert sampling.shuffle_positions(generated.select("vec_id")).orderBy("vec_id").collect() == want
+
+
+def test_sampling_leaves_the_vectors_where_they_are(generated, plan_of):
+    for plan in (plan_of(sampling.first_rows(generated, 100)), plan_of(sampling.query_sample(generated, [100], 10).select("qid"))):
+        assert not [line for line in plan.split("\n") if line.startswith("Exchange") and "embedding" in line]
+        assert "Window" not in plan
 
 
 def test_recall_edges(spark):
