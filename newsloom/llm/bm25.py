@@ -41,7 +41,7 @@ TOP = 10
 BLOCK = 16  # documents
 FIRST_BLOCKS = 16  # opened before there is a threshold
 PARTS, ROUND_ENDS = 64, (1, 8, 64)  # parts of the corpus that each round has searched by its end
-SHARD_POSTINGS = 1 << 21
+SHARD_POSTINGS = 3 << 19
 QUERY_TERMS = 1 << 22  # terms of the queries that are broadcast together
 DIGITS = 6  # of a score, in the result and when ranking
 SLACK = 10.0 ** -DIGITS
@@ -125,21 +125,22 @@ class Shard:
             own, offsets = _flat(batch.column("terms"))
             terms.append(own)
             counts.append(_flat(batch.column("counts"))[0])
-            docs.append(np.repeat(np.arange(first, first + len(offsets) - 1), np.diff(offsets)))
+            docs.append(np.repeat(np.arange(first, first + len(offsets) - 1, dtype=np.int32), np.diff(offsets)))
             first += len(offsets) - 1
         terms, counts, docs = (np.concatenate(x) for x in (terms, counts, docs))
-        place = np.minimum(np.searchsorted(queries.terms, terms), len(queries.terms) - 1)
+        place = np.minimum(np.searchsorted(queries.terms, terms), len(queries.terms) - 1).astype(np.int32)
         asked = queries.terms[place] == terms
-        place, counts, docs = place[asked], counts[asked].astype(float), docs[asked]
-        order = np.lexsort((docs, place))
-        place, counts, self.doc = place[order], counts[order], docs[order]
+        del terms
+        place, counts, docs = place[asked], counts[asked], docs[asked]
+        order = np.argsort(place, kind="stable")  # by term, then document
+        place, counts, self.doc = place[order], counts[order].astype(float), docs[order]
         norm = K1 * (1 - B + B * lengths[self.doc] / queries.mean_length)
         self.impact = queries.idf[place] * counts * (K1 + 1) / (counts + norm)
         # segments: the postings of one term in one block
         blocks = -(-len(self.rows) // BLOCK)
-        segment = place * blocks + self.doc // BLOCK
+        segment = place.astype(np.int64) * blocks + self.doc // BLOCK
         self.start = np.flatnonzero(np.diff(segment, prepend=-1))
-        self.block = segment[self.start] % blocks
+        self.block = (segment[self.start] % blocks).astype(np.int32)
         self.most = np.maximum.reduceat(self.impact, self.start) if len(self.start) else np.empty(0)
         self.of_term = np.searchsorted(segment[self.start], np.arange(len(queries.terms) + 1) * blocks)
         self.peak = np.zeros(len(queries.terms))  # the largest impact of each term
