@@ -1,0 +1,83 @@
+import random
+
+import pytest
+
+from newsloom.llm import near_copies as N
+from newsloom.llm import simhash
+
+
+def jaccard(a, b):
+    def grams(text):
+        ws = (text or "").lower().split()
+        return {" ".join(ws[i:i + 5]) for i in range(len(ws) - 4)} or {" ".join(ws)}
+
+    x, y = grams(a), grams(b)
+    return len(x & y) / len(x | y)
+
+
+def copies(seed, groups=12, each=8):
+    """Texts of which each is its group's first with a few words changed in one place."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randint(0, 5000)}"
+    texts = []
+    for _ in range(groups):
+        base = [word() for _ in range(rng.randint(80, 300))]
+        texts.append(" ".join(base))
+        for _ in range(each):
+            ws = list(base)
+            at = rng.randrange(len(ws) - 12)
+            ws[at:at + rng.randint(1, 12)] = [word() for _ in range(rng.randint(1, 12))]
+            texts.append(" ".join(ws))
+    return texts
+
+
+def groups_of(texts):
+    parent = list(range(len(texts)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if jaccard(texts[i], texts[j]) >= 0.8:
+                parent[max(top(i), top(j))] = min(top(i), top(j))
+    return sorted({top(i) for i in range(len(texts))})
+
+
+@pytest.mark.parametrize("hot", [N.HOT, 20])
+def test_near_copies_equal_brute_force(spark, hot):
+    texts = copies(1) + ["", None, " \n", "one two", "ONE  two", "one three"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in N.keep_one(df, hot=hot).collect()) == groups_of(texts)
+
+
+def test_far_fingerprints_still_link(spark):
+    """Pairs of similarity 0.8 and more are copies however many bits they differ in."""
+    pairs = []
+    for seed in range(60):
+        first, *rest = copies(seed, 1, 6)
+        pairs += [(first, t) for t in rest if jaccard(first, t) >= 0.8
+                  and (simhash.fingerprint(first.encode()) ^ simhash.fingerprint(t.encode())).bit_count() > 3]
+    assert len(pairs) > 20
+    rows = [(2 * i + k, t + f" end{i}") for i, p in enumerate(pairs) for k, t in enumerate(p)]
+    texts = [t for _, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in N.keep_one(df).collect()) == groups_of(texts)
+
+
+def test_null_ids_columns_and_empty_table(spark):
+    rows = [(None, "a b", "x"), (5, "A b", "y"), (5, "a b", "z"), (None, "lonely", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    got = N.keep_one(df)
+    assert got.columns == df.columns
+    assert sorted(str(tuple(r)[:1]) for r in got.collect()) == ["(5,)", "(None,)"]
+    assert N.keep_one(df.limit(0)).collect() == []
+
+
+def test_large_slice_yields_no_square():
+    import numpy as np
+
+    nodes = np.arange(1000)
+    assert len(list(N.slice_pairs(nodes, np.zeros(1000, np.uint64)))) < 8 * 1000
