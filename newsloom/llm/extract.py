@@ -13,7 +13,9 @@ the flow only runs over what is left, usually nothing.
 
 Defined cases: a null or empty page has an empty text; unclosed and stray tags
 are repaired as browsers do roughly (a block tag ends a paragraph); an unclosed
-comment or script runs to the end of the page; references without a semicolon
+comment or script runs to the end of the page; a closed svg, button or select is
+left out, and of one that closes itself or is never closed only the tag; formulas
+are text, their annotations are not; object holds markup; references without a semicolon
 are decoded where HTML allows it; equal rows are extracted alike; an empty
 table gives no rows; further columns stay as they are, but for ``text`` and
 ``n_chars``, which are replaced.
@@ -30,14 +32,17 @@ from pyspark.sql import functions as F
 
 # Names of the HTML standard, and words in class, id and role
 # attributes that commonly mark a container.
-RAW = "script style noscript template textarea title svg math iframe object canvas select button".split()
+RAW = "script style noscript template textarea title iframe annotation annotation-xml".split()
+LABELS = "svg button select".split()  # dropped where they are closed, no text of the article
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var img wbr".split()
+    "strike strong sub sup time tt u var img wbr svg button select "
+    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt "
+    "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 CONTENT_TAGS = frozenset(["article", "main"])
-BOILERPLATE_TAGS = frozenset("nav footer aside form header menu dialog fieldset".split())
+BOILERPLATE_TAGS = frozenset("nav footer aside form header menu dialog fieldset canvas".split())
 CONTENT_WORDS = frozenset("article articlebody content entry main post story".split())
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert advertisement alert banner breadcrumb breadcrumbs comment comments consent cookie cookies "
@@ -52,7 +57,9 @@ SCALE = 1000  # capacities are whole numbers
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<label>" + "|".join(LABELS) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<!/)>"
+    r"(?:[^<]|<(?!/?(?P=label)[\s/>]))*+</(?P=label)\s*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,

@@ -99,3 +99,21 @@ def test_pages_of_the_table(spark):
         parts = [re.sub("<[^>]*>", "", x) for x in re.split("<p>|</p>|<br>|<h1>|</h1>", inner)]
         want = [" ".join(html.unescape(x).split()) for x in parts]
         assert r["text"] == "\n".join(x for x in want if x) and r["n_chars"] == len(r["text"])
+
+
+@pytest.mark.parametrize("inner,want", [
+    ('<p>a <svg class="i"/> b</p><p>rest</p>', "a b\nrest"),
+    ('<p>a <svg class="i"><path d="x"/><title>t</title></svg> b</p><p>rest</p>', "a b\nrest"),
+    ("<p>a <svg> b</p><p>rest</p>", "a b\nrest"),
+    ("<p>a <button>Send</button> b</p><p>rest</p>", "a b\nrest"),
+    ("<p>a</p><button>Send<p>rest</p>", "a\nSend\nrest"),
+    ("<button>One<p>a</p><button>Two</button><p>rest</p>", "One\na\nrest"),
+    ("<p>a</p><select><option>x<option>y</select><p>rest</p>", "a\nrest"),
+    ("<p>if <math><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow></math> then</p><p>rest</p>", "if x=1 then\nrest"),
+    ("<p>if <math/> then</p><p>rest</p>", "if then\nrest"),
+    ("<p><math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math></p><p>rest</p>", "x\nrest"),
+    ("<p>a</p><canvas>no canvas</canvas><object><p>held</p></object><p>rest</p>", "a\nheld\nrest"),
+    ("<title-bar>a</title-bar><p>rest</p>", "a\nrest"),
+])
+def test_what_holds_markup_or_closes_itself(inner, want):
+    assert text(f"<article>{inner}</article>") == want
