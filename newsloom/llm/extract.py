@@ -50,7 +50,16 @@ BOILERPLATE_WORDS = frozenset(
     "promo related replies reply search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 
-IN_CONTENT, IN_BOILERPLATE, HIDDEN = 4.0, -9.0, -20.0  # evidence of the containers
+PAGE_TAGS = frozenset(["html", "body"])  # their names speak of the page, not of its text
+# containers of other texts than the page's own, which a nested article does not outweigh
+OTHER_TAGS = frozenset("nav footer aside menu dialog".split())
+COMMENT_WORDS = frozenset("comment comments replies reply".split())
+OTHER_WORDS = frozenset(
+    "ad ads advert advertisement footer nav navbar navigation promo related sidebar sponsor sponsored".split()
+)
+
+# evidence of the containers
+IN_CONTENT, IN_BOILERPLATE, IN_OTHER, IN_COMMENTS, HIDDEN = 4.0, -9.0, -10.0, -12.0, -20.0
 TEXT_LIMIT = 2.0  # the text alone says no more than this, either way
 NEXT_TO, SAME_PARENT = 0.5, 0.5  # smoothness of neighbours in the page and in the DOM
 SCALE = 1000  # capacities are whole numbers
@@ -66,19 +75,32 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 NAMES = re.compile(r"[a-z0-9]+")
+# what a name says of something else: no-sidebar, page-with-comments
+MODIFIER = re.compile(r"(?<![a-z0-9])(?:has|no|not|with|without|hide)[-_]\S*")
 
 
-def _evidence(tag, attrs, inherited):
-    """What a container adds to what its own containers say."""
+def _evidence(tag, attrs, inherited, on_page=False):
+    """What a container adds to what its own containers say. ``on_page`` is set
+    if nothing but the page itself holds it: a form there may be all of the page."""
+    if tag in PAGE_TAGS:
+        return inherited
     found = {}
     if attrs and "=" in attrs or "hidden" in attrs:
         found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(attrs)}
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
         return HIDDEN
-    names = set(NAMES.findall(" ".join(found.get(k, "") for k in ("class", "id", "role", "itemprop"))))
+    said = " ".join(found.get(k, "") for k in ("class", "id", "role", "itemprop"))
+    names = set(NAMES.findall(MODIFIER.sub("", said)))
+    if tag == "form" and on_page:
+        tag, names = "", names - {"form"}
+    if names & COMMENT_WORDS:
+        return min(inherited, IN_COMMENTS)
+    if tag in OTHER_TAGS or names & OTHER_WORDS:
+        return min(inherited, IN_OTHER)
     if tag in BOILERPLATE_TAGS and not (tag == "header" and inherited > 0) or names & BOILERPLATE_WORDS:
-        return IN_BOILERPLATE
-    if (tag in CONTENT_TAGS or names & CONTENT_WORDS) and inherited == 0:
+        return min(inherited, IN_BOILERPLATE)
+    outweighed = {"main": IN_OTHER, "article": IN_BOILERPLATE}.get(tag, 0)
+    if (tag in CONTENT_TAGS or names & CONTENT_WORDS) and outweighed <= inherited <= 0:
         return IN_CONTENT
     return inherited
 
@@ -137,7 +159,7 @@ def blocks(page: str):
                         break
                 number += 1
             top = stack[-1]
-            stack.append((tag, _evidence(tag, m["attrs"], top[1]), number if tag not in INLINE else top[2],
+            stack.append((tag, _evidence(tag, m["attrs"], top[1], top[0] == "" or top[0] in PAGE_TAGS), number if tag not in INLINE else top[2],
                           top[3] or tag == "a"))
     if at < len(page):
         pieces.append(page[at:])

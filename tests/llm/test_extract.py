@@ -117,3 +117,26 @@ def test_pages_of_the_table(spark):
 ])
 def test_what_holds_markup_or_closes_itself(inner, want):
     assert text(f"<article>{inner}</article>") == want
+
+
+@pytest.mark.parametrize("page", [
+    '<body class="single-post no-sidebar"><article>%s</article></body>',
+    '<body class="search social"><div class="content has-sidebar">%s</div></body>',
+    '<main class="page-with-comments">%s</main>',
+    '<html><body><form id="aspnetForm"><div class="content">%s</div></form></body></html>',
+    '<form class="form"><article>%s</article></form>',
+    '<div class="widget"><article>%s</article></div>',
+    '<div id="header"><main class="x">%s</main></div>',
+])
+def test_outer_containers_do_not_discard_the_article(page):
+    assert text(page % "<p>Text.</p>") == "Text."
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="comments"><article>%s</article></div>', '<div class="related"><article>%s</article></div>',
+    '<div class="sidebar">%s</div>', '<article><div class="sidebar no-print">%s</div></article>',
+    '<div hidden><main>%s</main></div>', '<main><form>%s</form></main>',
+    '<div class="comments"><div class="widget"><article>%s</article></div></div>',
+])
+def test_inner_boilerplate_stays_out(page):
+    assert text(page % "<p>Text.</p>") == ""
