@@ -29,6 +29,7 @@ larger of its text and its distinct pairs; other texts are taken in chunks.
 
 import hashlib
 import json
+from array import array
 from itertools import pairwise
 
 import numpy as np
@@ -105,18 +106,18 @@ class Tokenizers:
         return piece.replace("▁", " ").encode()
 
     def encode(self, texts):
-        """The ids of both tokenizers per text; none for texts that are not whole."""
-        from_a = [self.first.encode_ordinary(" " + t) if t else [] for t in texts]
-        from_b = self.second.encode([t or "" for t in texts], num_threads=1) if texts else []
-        whole = [self._whole(t, a, b) for t, a, b in zip(texts, from_a, from_b)]
-        return [a if w else [] for a, w in zip(from_a, whole)], [b if w else [] for b, w in zip(from_b, whole)]
+        """(ids, ids): what both tokenizers give each text, and nothing for a text
+        that is not given back whole."""
+        from_a = [array("i", self.first.encode_ordinary(" " + t) if t else []) for t in texts]
+        from_b = [array("i", ids) for ids in self.second.encode([t or "" for t in texts], num_threads=1)] if texts else []
+        for k, text in enumerate(texts):
+            if not (text and self._whole((" " + text).encode(), from_a[k], from_b[k])):
+                from_a[k] = from_b[k] = array("i")
+        return from_a, from_b
 
     def _whole(self, text, a, b):
-        if not text:
-            return False
-        want = np.frombuffer((" " + text).encode(), np.uint8)
-        for table, ids in ((self.a, np.array(a, np.int64)), (self.b, np.array(b, np.int64))):
-            if not len(ids) or not table.length[ids].all() or not np.array_equal(table.text(ids), want):
+        for table, ids in ((self.a, np.frombuffer(a, np.int32)), (self.b, np.frombuffer(b, np.int32))):
+            if not len(ids) or not table.length[ids].all() or table.text(ids).tobytes() != text:
                 return False
         return True
 
@@ -167,9 +168,7 @@ class Chunk:
     def __init__(self, tools, texts):
         from_a, from_b = tools.encode(texts)
         self.n_a, self.n_b = (np.array([len(x) for x in ids], np.int64) for ids in (from_a, from_b))
-        self.a, self.b = (
-            np.fromiter((i for x in ids for i in x), np.int64, int(n.sum())) for ids, n in ((from_a, self.n_a), (from_b, self.n_b))
-        )
+        self.a, self.b = (np.frombuffer(b"".join(ids), np.int32).astype(np.int64) for ids in (from_a, from_b))
         ends_a, ends_b = np.cumsum(tools.a.length[self.a]), np.cumsum(tools.b.length[self.b])
         if len(ends_a) <= len(ends_b):
             at_a, at_b = gallop(ends_a, ends_b)
