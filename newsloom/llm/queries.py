@@ -1,6 +1,6 @@
 """The named queries of this subpackage and, where SQL can say the same, their SQL."""
 
-from newsloom.llm import alignment, bm25, bpe, chat, extract, licences, lm, quality, secret_scan, simhash, winnow
+from newsloom.llm import alignment, bm25, bpe, chat, extract, licences, lm, private_terms, quality, secret_scan, simhash, whitening, winnow
 
 QUERIES = {
     "op1_bm25_topk": bm25.query,
@@ -14,6 +14,8 @@ QUERIES = {
     "op9_lm_scores": lm.query,
     "op10_secrets": secret_scan.query,
     "op11_token_alignment": alignment.query,
+    "op12_private_terms": private_terms.query,
+    "op13_whitening": whitening.query,
 }
 
 ORACLES = {
