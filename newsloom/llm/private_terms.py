@@ -18,8 +18,9 @@ The counts cover the whole corpus. Surroundings of entities are rows (entity, te
 surroundings, text), made distinct before they are counted, so that no entity, term
 or group of copies gathers in one task. A term's count near entities bounds its
 count from below, which leaves few candidates; only those are counted in all texts.
-They go into every task while they measure small, and are joined to all words of the
-texts beyond that. Texts are never shuffled while the terms found in them measure
+They go into every task while they measure small, and a task that has met one in more
+texts than the threshold allows names no further ones; beyond that size they are
+joined to all words of the texts. Texts are never shuffled while the terms found in them measure
 small enough for a broadcast.
 
 Defined cases: a null text is empty and has no spans; texts with equal 64-bit hashes
@@ -42,6 +43,7 @@ KINDS = ("email", "ip", "card", "phone")  # fixed values: the base kinds as list
 TERM = len(KINDS)
 WINDOW = 8
 SUPPORT = 3
+REMEMBERED = 1000  # texts of one term that a task remembers, to leave out what can't matter
 GENERALISE, REMOVE = 0.8, 0.95
 
 LOCAL = "A-Za-z0-9._%+-"
@@ -176,29 +178,52 @@ def _share(n_texts, near, term, own):
 
 
 def candidates(near: DataFrame, n_texts: int, least=GENERALISE) -> DataFrame:
-    """(entity, term, n_near, n_entity) that may reach the threshold: a term occurs in
-    at least as many texts as it does near any entity."""
+    """(entity, term, n_near, n_entity, most) that may reach the threshold: a term occurs
+    in at least as many texts as it does near any entity, and in ``most`` at most."""
     pair = ["entity", "term"]
     seen = _distinct(near, pair, "surroundings", "support").filter(F.col("support") >= SUPPORT)
     pairs = _distinct(near, pair, "text", "n_near").join(seen, pair)
     pairs = pairs.join(_distinct(near, ["entity"], "text", "n_entity"), "entity")
     pairs = pairs.join(_distinct(near, ["term"], "text", "n_least"), "term")
     pairs = pairs.withColumn("bound", _share(n_texts, "n_near", "n_least", "n_entity"))
-    return pairs.filter(F.col("bound") >= least).select(*pair, "n_near", "n_entity")
+    # the most texts in which the term may occur and still reach the threshold, rounded up
+    total, own = F.lit(float(n_texts)), F.col("n_entity")
+    most = F.ceil(total * F.col("n_near") / (own * F.pow(total / own, F.lit(least)))) + 1
+    return pairs.filter(F.col("bound") >= least).select(*pair, "n_near", "n_entity", most.alias("most"))
 
 
 def occurrences(docs: DataFrame, terms: DataFrame, text="text", limit=BROADCAST_BYTES) -> DataFrame:
-    """(text, term), each once: the texts in which the given terms occur."""
+    """(text, term), each once: the texts in which the given terms (term, most) occur.
+
+    A term that occurs in more texts than ``most`` may lack some of them: once a task
+    alone has seen more, what it still finds would change nothing.
+    """
     wanted = None
-    if measured_bytes(terms) * 4 <= limit:  # as Python holds them
-        wanted = frozenset(r["term"] for r in terms.collect())
+    # as Python holds the terms, and the texts it remembers of each
+    held = measured_bytes(terms) * 4 + (terms.agg(F.sum(F.least("most", F.lit(REMEMBERED)) * 64)).first()[0] or 0)
+    if held <= limit:
+        wanted = {r["term"]: r["most"] for r in terms.collect()}
 
     def run(batches):
+        seen = {}  # the texts of terms that have not yet exceeded their bound; None for others
+
+        def new(term, place):
+            most = wanted[term]
+            if most > REMEMBERED:
+                return True
+            places = seen.setdefault(term, set())
+            if places is None or place in places:
+                return False
+            places.add(place)
+            if len(places) > most:
+                seen[term] = None
+            return True
+
         for batch in batches:
             places, found = [], []
             for t, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = {w.lower() for w in set(WORD.findall(t))}
-                here = sorted(words if wanted is None else words & wanted)
+                here = words if wanted is None else [w for w in words & wanted.keys() if new(w, h)]
                 places += [h] * len(here)
                 found += here
             yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(found, pa.string())], names=["text", "term"])
@@ -217,7 +242,8 @@ def disclosing_terms(docs: DataFrame, text="text", limit=BROADCAST_BYTES, least=
     pairs = materialize(candidates(near, n_texts, least), "term-candidates")
     if pairs.isEmpty():
         return None, None
-    places = materialize(occurrences(docs, pairs.select("term").distinct(), text, limit), "term-occurrences")
+    bounds = pairs.groupBy("term").agg(F.max("most").alias("most"))
+    places = materialize(occurrences(docs, bounds, text, limit), "term-occurrences")
     counts = places.groupBy("term").agg(F.count("*").alias("n_term"))
     shares = pairs.join(counts, "term").withColumn("share", _share(n_texts, "n_near", "n_term", "n_entity"))
     terms = shares.groupBy("term").agg(F.max("share").alias("disclosure")).filter(F.col("disclosure") >= least)

@@ -127,6 +127,16 @@ def test_terms_equal_plain_counts(spark, limit):
     assert found == {"Zora"}
 
 
+def test_common_candidates_are_given_up_early(spark):
+    """Tasks name at most one text more than the threshold allows, and what counts stays."""
+    texts = people()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    terms = spark.createDataFrame([("mara", 5), ("zora", 5000), ("quill", 3)], "term string, most bigint")
+    found = P.occurrences(docs.coalesce(1), terms)
+    counts = {r["term"]: r["count"] for r in found.groupBy("term").count().collect()}
+    assert counts == {"mara": 6, "zora": 8, "quill": 4}
+
+
 def test_sanitised(spark):
     texts = people()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
