@@ -13,6 +13,8 @@ from newsloom.sources import feeds, manifest, shards
 from newsloom.sources.vectors import read_vectors
 from newsloom.streaming import ingest as job
 
+CSV_RANGE = 1 << 18  # several ranges on the smallest tables
+
 
 def write_feed(items, path):
     """Entries as RSS files, as a fetch leaves them. Spark's XML writer knows no
@@ -60,7 +62,17 @@ def csv_corpus(spark, sf):
     """The corpus exported as CSV and landed again."""
     path = fresh_path(spark, "csv")
     files.write_csv(corpus(spark, sf), path, CORPUS_COLUMNS)
-    back = files.land(spark, path, fresh_path(spark, "landed"))
+    return _hashed(files.land(spark, path, fresh_path(spark, "landed")))
+
+
+def csv_ranges(spark, sf):
+    """The corpus as a single CSV file, landed by many tasks."""
+    path = fresh_path(spark, "csv")
+    files.write_csv(corpus(spark, sf).coalesce(1), path, CORPUS_COLUMNS)
+    return _hashed(files.land(spark, path, fresh_path(spark, "landed"), range_bytes=CSV_RANGE))
+
+
+def _hashed(back):
     return back.select(*[F.md5(c).alias(c) if c.startswith("text") or c.startswith("title") else F.col(c) for c in CORPUS_COLUMNS])
 
 
@@ -112,7 +124,7 @@ def scheduled_ingest(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in [feed_items, feed_file_ingest, csv_corpus, manifest_file, shard_vectors, positional_join, scheduled_ingest]
+    for f in [feed_items, feed_file_ingest, csv_corpus, csv_ranges, manifest_file, shard_vectors, positional_join, scheduled_ingest]
 }
 
 _TOKENS = ", ".join("'" + t + "'" for t in NA_TOKENS)
@@ -132,6 +144,7 @@ ORACLES = {
     "feed_file_ingest": with_(_ARTICLES, SEEN, _NEW) + "SELECT " + ", ".join(
         "trim(title_original) AS title_original" if c == "title_original" else c for c in SHARD_COLUMNS) + " FROM fresh",
     "csv_corpus": with_(CORPUS) + f"SELECT {_HASHED} FROM (SELECT " + ", ".join(_read(c, c) for c in CORPUS_COLUMNS) + " FROM corpus) a",
+    "csv_ranges": with_(CORPUS) + f"SELECT {_HASHED} FROM (SELECT " + ", ".join(_read(c, c) for c in CORPUS_COLUMNS) + " FROM corpus) a",
     "manifest_file": with_(CORPUS, SEEN) + "SELECT link FROM corpus UNION SELECT link FROM seen",
     "shard_vectors": with_(CORPUS) + """SELECT shard, count(*) AS n, count(DISTINCT link) AS links,
   min(CASE WHEN trim(text_original) = '' THEN 0.0 ELSE 1.0 END)::DOUBLE AS least,

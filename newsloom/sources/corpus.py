@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.schemas import CORPUS_COLUMNS, CORPUS_SCHEMA, MIN_FILE_BYTES, NA_TOKENS
+from newsloom.sources.csv_ranges import RANGE_BYTES, fixed_ranges, read_ranges
 
 
 def read_csv(spark, path, schema=CORPUS_SCHEMA, na_tokens=NA_TOKENS) -> DataFrame:
@@ -12,10 +13,15 @@ def read_csv(spark, path, schema=CORPUS_SCHEMA, na_tokens=NA_TOKENS) -> DataFram
     Columns are taken by the names in the header: a missing one is null, others
     are left out, and ``profile.schema_check`` of ``read_any_csv`` tells which.
     The texts in ``na_tokens`` read as null. A missing path raises
-    PATH_NOT_FOUND. ``multiLine`` files cannot be split, so land them once, in
-    files of bounded size.
+    PATH_NOT_FOUND. Here one task reads a file; ``land`` reads a large one in
+    many.
     """
     raw = read_any_csv(spark, path)
+    return raw.select(*_conformed(raw, schema, na_tokens))
+
+
+def _conformed(raw, schema, na_tokens):
+    """The columns of a schema, from those that a header names."""
     tokens = list(na_tokens)
 
     def column(name):
@@ -24,7 +30,7 @@ def read_csv(spark, path, schema=CORPUS_SCHEMA, na_tokens=NA_TOKENS) -> DataFram
         c = F.col(f"`{name}`")
         return F.when(~c.isin(tokens), c).alias(name)
 
-    return raw.select(*[column(field.name) for field in schema])
+    return [column(field.name) for field in schema]
 
 
 def read_any_csv(spark, path) -> DataFrame:
@@ -34,12 +40,18 @@ def read_any_csv(spark, path) -> DataFrame:
     )
 
 
-def land(spark, csv_path, parquet_path, schema=CORPUS_SCHEMA, na_tokens=NA_TOKENS) -> DataFrame:
-    """CSV to Parquet once, with the file order kept as (source_file, ord)."""
-    df = read_csv(spark, csv_path, schema, na_tokens).withColumns(
-        {"source_file": F.input_file_name(), "ord": F.monotonically_increasing_id()}
-    )
-    df.write.mode("overwrite").parquet(parquet_path)
+def land(
+    spark, csv_path, parquet_path, schema=CORPUS_SCHEMA, na_tokens=NA_TOKENS, range_bytes=RANGE_BYTES,
+) -> DataFrame:
+    """CSV to Parquet once, with the file order kept as (source_file, ord).
+
+    Files are read in byte ranges, so that one large file is the work of many tasks.
+    """
+    names = read_any_csv(spark, csv_path).columns  # of the header; nothing else is read
+    raw = read_ranges(spark, csv_path, names, range_bytes)
+    df = raw.select(*_conformed(raw, schema, na_tokens), "source_file", "ord")
+    with fixed_ranges(spark, range_bytes):
+        df.write.mode("overwrite").parquet(parquet_path)
     return spark.read.parquet(parquet_path)
 
 
