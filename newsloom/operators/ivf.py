@@ -7,15 +7,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsloom.functions.vectors import dot, l2_normalize
 from newsloom.operators.copies import split_copies
-from newsloom.operators.sampling import salted_md5
-from newsloom.operators.search import DIGITS, block_candidates, exact_topk, merge_topk, probed_topk, unit_rows, with_vector
+from newsloom.operators.sampling import first_by_hash
+from newsloom.operators.search import (
+    BLOCK_BYTES, DIGITS, BestK, exact_topk, floor_topk, list_matrix, probe_floors, probed_topk, unit_rows, with_vector,
+)
 from newsloom.schemas import NPROBE_FRACTION, SEED, TOP_K
 from newsloom.session import BROADCAST_BYTES, broadcast_if_small, fits_broadcast, materialize
 
 PART_BYTES = 64 * 1024 * 1024
+SHELLS = 16  # angles from a coarse centre that are told apart
+SUM_LEVEL = 64  # rows of a cell that are added up at a time on the first level
+PROBE_BYTES = 64  # of a row (qid, rank, cell, part), about
 
 
 def choose_nlist(n: int) -> int:
@@ -32,7 +38,7 @@ def sample_centroids(vectors: DataFrame, nlist: int, seed: int = SEED) -> DataFr
     id of its centre. Copies of one vector count once, so a vector that fills a
     third of the corpus still gets one cell."""
     nodes, _ = split_copies(vectors)
-    ids = nodes.select(F.col("vec_id").alias("cell")).orderBy(salted_md5("cell", f"{seed}:cell"), "cell").limit(nlist)
+    ids = first_by_hash(nodes.select(F.col("vec_id").alias("cell")), "cell", f"{seed}:cell", nlist)
     ids = broadcast_if_small(ids, store="centre-ids")
     return vectors.join(ids, F.col("vec_id") == F.col("cell")).select("cell", "embedding")
 
@@ -52,6 +58,12 @@ def _cell_sums(batches):
         )
 
 
+def _added(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The sum of one cell's sums."""
+    total = list_matrix(table["total"]).sum(axis=0)
+    return pa.table({"cell": pa.array([key[0].as_py()], pa.int64()), "total": pa.array([total.tolist()], pa.list_(pa.float64()))})
+
+
 def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10) -> DataFrame:
     """Cosine k-means centres (cell, embedding), trained on all vectors.
 
@@ -65,11 +77,13 @@ def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10) ->
     centres = materialize(start.select(F.col("cell").cast("bigint"), F.col("embedding").cast("array<double>")), "centres")
     for _ in range(iterations):
         placed = assign_cells(usable, centres).select(F.col("cell").cast("bigint"), "embedding")
-        parts = placed.mapInArrow(_cell_sums, "cell bigint, total array<double>")
-        means = parts.select("cell", F.posexplode("total").alias("i", "x")).groupBy("cell", "i").agg(F.sum("x").alias("x"))
-        means = means.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("xs"))
+        sums = placed.mapInArrow(_cell_sums, "cell bigint, total array<double>")
+        # a task's sums meet in levels, so that no cell gathers a row from every task at once
+        sums = sums.withColumn("level", F.spark_partition_id() % SUM_LEVEL)
+        sums = sums.groupBy("cell", "level").applyInArrow(_added, "cell bigint, total array<double>")
+        means = sums.groupBy("cell").applyInArrow(_added, "cell bigint, total array<double>")
         # only directions matter; rounding makes them independent of the order of sums
-        moved = means.select("cell", l2_normalize(F.transform("xs", lambda e: e["x"])).alias("moved"))
+        moved = means.select("cell", l2_normalize(F.col("total")).alias("moved"))
         moved = moved.withColumn("moved", F.transform("moved", lambda x: F.round(x, DIGITS)))
         centres = materialize(
             centres.join(moved, "cell", "left").select("cell", F.coalesce("moved", "embedding").alias("embedding")),
@@ -81,8 +95,8 @@ def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10) ->
 def nearest_cells(vectors: DataFrame, centroids: DataFrame, count: int = 1, limit=BROADCAST_BYTES) -> DataFrame:
     """Add ``cells``: the ids of the ``count`` nearest centres, nearest first.
 
-    Measured-small centres go into every task and no row moves; more centres
-    than that are joined block by block.
+    Measured-small centres go into every task and no row moves. Beyond that each vector
+    moves once, see ``_nearest_by_tree``; equal similarities go by the cell's id.
     """
     if fits_broadcast(centroids, limit):
         table = centroids.select(F.col("cell").cast("bigint"), "embedding").toArrow().sort_by("cell")
@@ -103,19 +117,124 @@ def nearest_cells(vectors: DataFrame, centroids: DataFrame, count: int = 1, limi
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
         return with_vector(vectors).withColumn("cells", F.arrow_udf(nearest, "array<bigint>")("embedding"))
-    zero = F.lit(0).cast("bigint")
-    ranked = merge_topk(
-        block_candidates(
-            centroids.select(zero.alias("cell"), F.col("cell").alias("vec_id"), "embedding"),
-            with_vector(vectors).select(zero.alias("cell"), F.col("vec_id").alias("qid"), "embedding"),
-            count,
-        ),
-        count,
-    )
-    lists = ranked.groupBy("qid").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("rank", "vec_id"))), lambda s: s["vec_id"]).alias("cells")
-    )
-    return vectors.join(lists.withColumnRenamed("qid", "vec_id"), "vec_id")
+    return _nearest_by_tree(vectors, centroids, count, limit)
+
+
+def _angles(x, centres) -> np.ndarray:
+    """Angles between unit rows; zero rows are at angle zero to all."""
+    angles = np.arccos(np.clip(x @ centres.T, -1.0, 1.0))
+    angles[~x.any(axis=1)] = 0.0
+    angles[:, ~centres.any(axis=1)] = 0.0
+    return angles
+
+
+def _nearest_by_tree(vectors, centroids, count, limit) -> DataFrame:
+    """``nearest_cells`` for more centres than a task can hold; rows (vec_id,
+    embedding, cells).
+
+    Some of the centres are coarse ones, few enough for a task. A vector moves once: to
+    its nearest coarse centre, where vectors at about the same angle from it make a
+    shell, and a shell as many blocks as it needs. If a vector is at angle a of coarse
+    centre g, and the ``count`` centres nearest to g are within b of g, its own nearest
+    are within 2a + b of g. So a block needs only the centres within that bound of its
+    shell's outer edge; a task holds one block and streams them past it.
+    """
+    usable = with_vector(vectors).select("vec_id", "embedding")
+    fine = materialize(
+        with_vector(centroids).select(F.col("cell").cast("bigint"), F.col("embedding").cast("array<double>")), "centres")
+    first = fine.select(F.size("embedding").alias("d")).first()
+    if first is None:
+        return usable.limit(0).withColumn("cells", F.array().cast("array<bigint>"))
+    total, width = fine.count(), 8 * first["d"] + 32
+    count = min(count, total)
+    groups = max(1, min(math.isqrt(total), limit // width))
+    coarse = materialize(sample_centroids(fine.withColumnRenamed("cell", "vec_id"), groups), "coarse")
+    near = exact_topk(fine.withColumnRenamed("cell", "vec_id"), coarse.withColumnRenamed("cell", "qid"), count)
+    reach = {r["qid"]: math.acos(max(-1.0, min(1.0, r["sim"]))) for r in near.filter(F.col("rank") == count).collect()}
+    table = coarse.toArrow().sort_by("cell")
+    matrix = unit_rows(table["embedding"])
+    reach = np.array([reach[c] for c in table["cell"].to_pylist()])
+    step = math.pi / SHELLS
+
+    def place(column: pa.Array) -> pa.Array:
+        x = unit_rows(column)
+        sims = x @ matrix.T if len(x) else np.zeros((0, len(matrix)))
+        part = sims.argmax(axis=1)
+        angle = np.arccos(np.clip(sims[np.arange(len(x)), part], -1.0, 1.0))
+        shell = np.minimum((angle / step).astype(np.int64), SHELLS - 1)
+        # nothing bounds zero vectors, and those that are nearest to a zero centre
+        shell[~x.any(axis=1) | ~matrix[part].any(axis=1)] = SHELLS - 1
+        return pa.StructArray.from_arrays([pa.array(part, pa.int32()), pa.array(shell, pa.int32())], names=["part", "shell"])
+
+    def needed(column: pa.Array) -> pa.Array:
+        """For each coarse centre the innermost shell that needs a centre."""
+        bound = (_angles(unit_rows(column), matrix) - reach[None, :] - 1e-6) / 2
+        least = np.clip(np.ceil(bound / step).astype(np.int64) - 1, 0, SHELLS - 1)
+        offsets = np.arange(len(least) + 1) * len(matrix)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(least.ravel(), pa.int32()))
+
+    placed = usable.withColumn("_at", F.arrow_udf(place, "struct<part:int,shell:int>")("embedding"))
+    placed = placed.select("vec_id", "embedding", "_at.part", "_at.shell")
+    rows = max(1, BLOCK_BYTES // width)
+    # at most a row for each coarse centre and shell
+    sizes = materialize(placed.groupBy("part", "shell").agg(F.ceil(F.count("*") / rows).cast("int").alias("blocks")), "shells")
+    held = placed.join(F.broadcast(sizes), ["part", "shell"]).select(
+        "part", "shell", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), F.lit(0).alias("kind"),
+        F.col("vec_id").alias("id"), "embedding", F.lit(None).cast("array<double>").alias("centre"))
+    wanted = fine.select("cell", "embedding", F.posexplode(F.arrow_udf(needed, "array<int>")("embedding")).alias("part", "least"))
+    wanted = wanted.join(F.broadcast(sizes), "part").filter(F.col("shell") >= F.col("least"))
+    streamed = wanted.select(
+        "part", "shell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind"),
+        F.col("cell").alias("id"), F.lit(None).cast(usable.schema["embedding"].dataType).alias("embedding"),
+        F.col("embedding").alias("centre"))
+    key = ["part", "shell", "block"]
+    both = held.unionByName(streamed).repartition(*key).sortWithinPartitions(*key, "kind")
+    kinds = T.StructType([
+        T.StructField("vec_id", usable.schema["vec_id"].dataType), usable.schema["embedding"],
+        T.StructField("cells", T.ArrayType(T.LongType()))])
+    return both.mapInArrow(_streamed(count), kinds)
+
+
+def _streamed(count):
+    """Each block's vectors, which come first, against the centres that follow them."""
+
+    def answer(ids, embeddings, best):
+        cells = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * count, pa.int32()), pa.array(best.ids.ravel()))
+        return pa.RecordBatch.from_arrays([ids, embeddings, cells], names=["vec_id", "embedding", "cells"])
+
+    def run(batches):
+        key, ids, embeddings, x, best = None, [], [], None, None
+
+        def close():
+            # a block's centres are never none: its coarse centre is one
+            return answer(pa.concat_arrays(ids), pa.concat_arrays(embeddings), best)
+
+        for batch in batches:
+            marks = np.stack([batch.column(i).to_numpy() for i in range(4)], axis=1)
+            cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist(), len(marks)]
+            for start, end in zip(cuts, cuts[1:]):
+                if start == end:
+                    continue
+                own, kind = tuple(marks[start, :3]), marks[start, 3]
+                if own != key:
+                    if ids:
+                        yield close()
+                    key, ids, embeddings, x, best = own, [], [], None, None
+                if kind == 0:
+                    ids.append(batch.column(4).slice(start, end - start))
+                    embeddings.append(batch.column(5).slice(start, end - start))
+                    continue
+                if x is None:
+                    x = unit_rows(pa.concat_arrays(embeddings))
+                    best = BestK(np.arange(len(x)), count)
+                cells = batch.column(4).slice(start, end - start).to_numpy()
+                centres = unit_rows(batch.column(6).slice(start, end - start))
+                for at in range(0, len(x), 1024):
+                    best.add(x, cells, centres, np.arange(at, min(at + 1024, len(x))))
+        if ids:
+            yield close()
+
+    return run
 
 
 def assign_cells(vectors: DataFrame, centroids: DataFrame, limit=BROADCAST_BYTES) -> DataFrame:
@@ -173,8 +292,20 @@ def probe_cells(queries: DataFrame, centroids: DataFrame, nprobe: int) -> DataFr
     return near.select("qid", "rank", F.col("vec_id").alias("cell"))
 
 
-def ivf_search(index: IvfIndex, queries, k=TOP_K, nprobe=None, exclude_self=False) -> DataFrame:
+def ivf_search(index: IvfIndex, queries, k=TOP_K, nprobe=None, exclude_self=False, limit=BROADCAST_BYTES) -> DataFrame:
+    """Top k among the ``nprobe`` nearest cells of each query.
+
+    While queries and probes measure small, only the parts of probed cells are read.
+    Beyond that nearly every part is probed by some query, and the index is scanned
+    where it lies for each block of queries. It is never shuffled.
+    """
     if nprobe is None:
         nprobe = choose_nprobe(index.centroids.count())
-    probes = materialize(with_part(probe_cells(queries, index.centroids, nprobe), index.places), "probes")
-    return probed_topk(index.vectors, queries, probes, k, exclude_self)
+    queries = with_vector(queries).select("qid", "embedding")
+    pairs = queries.count() * nprobe
+    if fits_broadcast(queries, limit) and pairs * PROBE_BYTES <= limit:
+        probes = materialize(with_part(probe_cells(queries, index.centroids, nprobe), index.places), "probes")
+        return probed_topk(index.vectors, queries, probes, k, exclude_self)
+    asked = materialize(probe_floors(queries, index.centroids, nprobe, limit), "probe-floors")
+    centres = index.centroids.select("cell", "embedding").join(broadcast_if_small(index.places, limit=limit), "cell")
+    return floor_topk(index.vectors, asked, centres, k, exclude_self, limit)

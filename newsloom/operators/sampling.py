@@ -9,6 +9,8 @@ from newsloom.session import broadcast_if_small
 
 # Rows that one task numbers, about.
 BUCKET_ROWS = 100_000
+RADIX_DIGITS = 3  # hex digits of a hash that are counted at a time
+HASH_DIGITS = 32
 
 
 def salted_md5(column: str, salt) -> Column:
@@ -46,12 +48,38 @@ def bucket_digits(n: int) -> int:
     return max(digits, 1)
 
 
+def first_by_hash(keys: DataFrame, key: str, salt, n: int) -> DataFrame:
+    """The ``n`` keys that come first in hash order, for any n.
+
+    Counts of the leading digits tell in which bucket the n-th key lies, and a bucket
+    that is still large is counted by further digits. All keys of the buckets before it
+    are taken by a filter where they lie; only the last bucket's are sorted.
+    """
+    hashed = keys.select(key, salted_md5(key, salt).alias("_h"))
+    prefix, left = "", n
+    while True:
+        inside = hashed.filter(F.startswith("_h", F.lit(prefix)))
+        place = F.substring("_h", len(prefix) + 1, RADIX_DIGITS).alias("_b")
+        counts = sorted((r["_b"], r["count"]) for r in inside.groupBy(place).count().collect())  # 16 ** RADIX_DIGITS at most
+        for bucket, size in counts:
+            if left <= size:
+                break
+            left -= size
+        else:
+            return keys.select(key)  # fewer keys than asked for
+        prefix += bucket
+        if size <= BUCKET_ROWS or len(prefix) >= HASH_DIGITS:
+            break
+    last = hashed.filter(F.startswith("_h", F.lit(prefix))).orderBy("_h", key).limit(left)
+    return hashed.filter(F.col("_h") < prefix).select(key).union(last.select(key))
+
+
 def first_rows(df: DataFrame, scale: int | None, key="vec_id", seed=SEED) -> DataFrame:
     """The rows that ``nested_sample`` gives, without numbering the others: the
     keys are taken in hash order and joined back."""
     if scale is None:
         return df
-    keys = df.select(key).orderBy(salted_md5(key, seed), key).limit(scale)
+    keys = first_by_hash(df, key, seed, scale)
     return df.join(broadcast_if_small(keys, store="sample-keys"), key, "left_semi")
 
 
@@ -64,9 +92,6 @@ def query_sample(df: DataFrame, scales=SCALES, n_queries=N_QUERIES, key="vec_id"
     """Queries without replacement from the smallest scale, so that every scale
     is asked the same ones."""
     smallest = min((s for s in scales if s is not None), default=None)
-    return (
-        first_rows(df, smallest, key, seed)
-        .orderBy(salted_md5(key, f"{seed}:query"), key)
-        .limit(n_queries)
-        .withColumnRenamed(key, "qid")
-    )
+    prefix = first_rows(df, smallest, key, seed)
+    keys = first_by_hash(prefix, key, f"{seed}:query", n_queries)
+    return prefix.join(broadcast_if_small(keys, store="query-keys"), key, "left_semi").withColumnRenamed(key, "qid")

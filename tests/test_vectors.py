@@ -51,8 +51,9 @@ def test_exact_search(generated, queries):
 
 
 def test_exact_search_by_blocks(generated, queries):
-    for exclude_self, rows in ((False, 64), (True, 16), (True, None)):
-        found = search.exact_topk(generated, queries, 10, exclude_self, limit=-1, block_rows=rows)
+    assert len(search.query_blocks(queries, 6000)) > 3
+    for exclude_self, limit in ((False, 6000), (True, 6000), (True, -1)):
+        found = search.exact_topk(generated, queries, 10, exclude_self, limit=limit)
         assert got(found) == brute(generated, queries, 10, exclude_self)
 
 
@@ -109,16 +110,93 @@ def test_all_probes_give_the_exact_answer(generated, queries, centres):
 
 def test_probed_search_by_blocks(generated, queries, centres):
     index = ivf.build_ivf(generated, centres)
-    probes = ivf.with_part(ivf.probe_cells(queries, centres, 3), index.places)
-    a = search.probed_topk(index.vectors, queries, probes, 10)
-    b = search.probed_topk(index.vectors, queries, probes, 10, limit=-1, block_rows=16)
-    assert got(a) == got(b)
+    want = got(ivf.ivf_search(index, queries, 10, nprobe=3))
+    for limit in (-1, 9_000):  # blocks of queries and of centres
+        assert got(ivf.ivf_search(index, queries, 10, nprobe=3, limit=limit)) == want
 
 
-def test_many_centres_take_the_block_path(generated, centres):
-    a = ivf.nearest_cells(generated, centres, 3).select("vec_id", "cells")
-    b = ivf.nearest_cells(generated, centres, 3, limit=-1).select("vec_id", "cells")
-    assert {(r[0], tuple(r[1])) for r in a.collect()} == {(r[0], tuple(r[1])) for r in b.collect()}
+def test_large_probed_search_moves_no_vector_of_the_index(generated, queries, centres, plan_of):
+    index = ivf.build_ivf(generated, centres, parts=4)
+    asked = materialize(search.probe_floors(queries, centres, 3, limit=4000), "asked")
+    placed = centres.join(index.places, "cell")
+    own, cells, matrix = next(search.centre_blocks(placed, 3000, "part"))
+    plan = plan_of(search._floor_scan(index.vectors.filter(own), asked, cells, matrix, 10, False), "simple")
+    assert "Exchange" not in plan and "PartitionFilters: [" in plan and "pmod(xxhash64(part" in plan
+
+
+def test_probe_floors_are_the_last_probe(generated, queries, centres):
+    want = {r["qid"]: r["cell"] for r in ivf.probe_cells(queries, centres, 3).filter("rank = 3").collect()}
+    for limit in (4000, 1 << 20):
+        rows = search.probe_floors(queries, centres, 3, limit).collect()
+        assert {r["qid"]: r["probe_cell"] for r in rows} == want
+
+
+def test_samples_keep_candidates_few(generated, queries):
+    """Many tasks, which would send k rows for each query and task."""
+    many = materialize(generated.repartition(60), "many").repartition(60)
+    calls = []
+
+    def scan(some, asked):
+        found = materialize(search._scan(some, asked, 10), "partial")
+        calls.append(found.count())
+        return found
+
+    found = search.merge_topk(search.levelled(many, queries, 10, scan, rows=1000), 10)
+    assert got(found) == brute(generated, queries, 10)
+    assert len(calls) > 1
+
+
+@pytest.mark.parametrize("count", [1, 3, 100])
+def test_many_centres_go_by_the_tree(spark, generated, centres, monkeypatch, count):
+    monkeypatch.setattr(ivf, "BLOCK_BYTES", 30_000)  # some blocks a shell
+    odd = [(-1, [0.0] * 64), (-2, [1.0] + [0.0] * 63), (-2, [1.0] + [0.0] * 63), (-3, None)]
+    vectors = generated.union(spark.createDataFrame(odd, VECTORS))
+    cells = centres.select(F.col("cell").cast("bigint"), "embedding").union(
+        spark.createDataFrame([(-5, [0.0] * 64), (-6, [1.0] + [0.0] * 63), (-7, [-1.0] + [0.0] * 63)], "cell bigint, embedding array<float>"))
+    a = ivf.nearest_cells(vectors, cells, count).select("vec_id", "cells")
+    want = sorted((r[0], tuple(r[1])) for r in a.collect())
+    for limit in (-1, 3000):
+        b = ivf.nearest_cells(vectors, cells, count, limit=limit).select("vec_id", "cells")
+        assert sorted((r[0], tuple(r[1])) for r in b.collect()) == want
+
+
+def test_inner_shells_need_fewer_centres(spark):
+    """Clustered vectors: the bound spares a good part of the pairs."""
+    rng = np.random.default_rng(3)
+    hubs = rng.normal(size=(40, 8))
+    rows = [(i, (hubs[i % 40] + 0.02 * rng.normal(size=8)).tolist()) for i in range(2000)]
+    v = spark.createDataFrame(rows, VECTORS)
+    cells = materialize(ivf.sample_centroids(v, 200), "c")
+    seen, blocks = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    counted = ivf._streamed(1)
+
+    def run(batches):
+        def told():
+            for b in batches:
+                seen.add(int(b.column(3).to_numpy().sum()))
+                blocks.add(len(set(zip(*(b.column(i).to_pylist() for i in range(3))))))
+                yield b
+
+        return counted(told())
+
+    original = ivf._streamed
+    ivf._streamed = lambda count: run
+    try:
+        b = sorted(map(tuple, ivf.assign_cells(v, cells, limit=4000).select("vec_id", "cell").collect()))
+    finally:
+        ivf._streamed = original
+    assert b == sorted(map(tuple, ivf.assign_cells(v, cells).select("vec_id", "cell").collect()))
+    assert 0 < seen.value < 0.7 * 200 * blocks.value
+
+
+def test_first_keys_by_hash_threshold(spark, generated, monkeypatch):
+    keys = generated.select("vec_id")
+    ordered = [r["vec_id"] for r in keys.orderBy(sampling.salted_md5("vec_id", "s"), "vec_id").collect()]
+    for rows in (1, 100_000):
+        monkeypatch.setattr(sampling, "BUCKET_ROWS", rows)
+        for n in (0, 1, 37, len(ordered), len(ordered) + 5):
+            found = [r["vec_id"] for r in sampling.first_by_hash(keys, "vec_id", "s", n).collect()]
+            assert sorted(found) == sorted(ordered[:n])
 
 
 def test_search_reads_only_probed_parts(generated, queries, centres, plan_of):
