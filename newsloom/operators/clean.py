@@ -1,6 +1,6 @@
 """Corpus cleaning: blocklist, keep-first by link, blank text, length flags."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,11 +14,6 @@ STAGES = [
 ]
 
 
-def _position(order):
-    """The file order of a row as one comparable column."""
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
-
-
 def drop_blocked(df: DataFrame, blocked=None, key: str = "link") -> DataFrame:
     """Remove blocklisted keys; a null key is never on the list and stays.
 
@@ -100,37 +95,55 @@ def flagged_long(cleaned: DataFrame) -> DataFrame:
     return cleaned.filter("is_long")
 
 
-def clean_funnel(df: DataFrame, blocked=None, order=("ord",), text: str = "text_original") -> DataFrame:
-    """Rows left after each stage, in one pass with one narrow shuffle.
+def _stages(counts: DataFrame, names) -> DataFrame:
+    pairs = ", ".join(f"'{n}', {n}" for n in names)
+    return counts.selectExpr(f"stack({len(names)}, {pairs}) as (stage, n_rows)")
 
-    Each row is reduced to a small code before the shuffle, so the groups hold
-    primitive values and a hot link is pre-aggregated in every task.
-    """
-    blocked = KNOWN_BAD_LINKS if blocked is None else blocked
+
+def _before_dedupe(df: DataFrame, blocked) -> DataFrame:
+    """Rows before and after the blocklist, from the link column alone, unshuffled."""
+    links = df.select("link", F.lit(1).alias("_one"))
     if isinstance(blocked, DataFrame):
-        keys = blocked.select("link").filter("link is not null").distinct()
-        keys = broadcast_if_small(keys, "blocked").withColumn("_bad", F.lit(True))
-        df = df.join(keys, "link", "left")
+        keys = blocked.select("link").filter("link is not null").distinct().withColumn("_bad", F.lit(True))
+        links = links.join(broadcast_if_small(keys, "blocked"), "link", "left")
         bad = F.coalesce(F.col("_bad"), F.lit(False))
     else:
-        bad = F.coalesce(F.col("link").isin(list(blocked)), F.lit(False))
-    n = F.length(text)
-    code = (
-        F.when(is_blank(F.col(text)), 0).when(n < SHORT_CHARS, 1).when(n > LONG_CHARS, 2).otherwise(3)
-    )
-    per_link = (
-        df.select("link", bad.alias("bad"), code.alias("code"), _position(order).alias("_ord"))
-        .groupBy("link", "bad")
-        .agg(F.count("*").alias("n"), F.min_by("code", "_ord").alias("code"))
-    )
-    good = ~F.col("bad")
-    totals = per_link.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("loaded"),
-        F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).alias("after_known_bad"),
-        F.count_if(good).alias("after_duplicates"),
-        F.count_if(good & (F.col("code") > 0)).alias("after_blank"),
-        F.count_if(good & (F.col("code") == 1)).alias("flagged_short"),
-        F.count_if(good & (F.col("code") == 2)).alias("flagged_long"),
-    )
-    pairs = ", ".join(f"'{s}', {s}" for s in STAGES)
-    return totals.selectExpr(f"stack({len(STAGES)}, {pairs}) as (stage, n_rows)")
+        bad = F.coalesce(F.col("link").isin(list(KNOWN_BAD_LINKS if blocked is None else blocked)), F.lit(False))
+    return _stages(links.agg(F.count("*").alias(STAGES[0]), F.count_if(~bad).alias(STAGES[1])), STAGES[:2])
+
+
+def _after_dedupe():
+    """Counts over flagged rows with a ``_blank`` mark, in the order of the stages."""
+    shown = ~F.col("_blank")
+    counts = [F.count("*"), F.count_if(shown), F.count_if(shown & F.col("is_short")), F.count_if(shown & F.col("is_long"))]
+    return [c.alias(name) for c, name in zip(counts, STAGES[2:])]
+
+
+def _marked(df, blocked, order) -> DataFrame:
+    kept = keep_first(drop_blocked(df, blocked), order=order)
+    return flag_length(kept).withColumn("_blank", is_blank(F.col("text_original")))
+
+
+def clean_funnel(df: DataFrame, blocked=None, order=("ord",)) -> DataFrame:
+    """(stage, n_rows): the rows left after each stage of ``clean``, by the same dedupe,
+    so that both always agree. Rows are counted where they lie, without sorting."""
+    counts = _marked(df, blocked, order).agg(*_after_dedupe())
+    return _before_dedupe(df, blocked).unionByName(_stages(counts, STAGES[2:]))
+
+
+def clean_observed(df: DataFrame, blocked=None, order=("ord",)):
+    """(cleaned, funnel): the rows of ``clean``, and a function that gives the rows of
+    ``clean_funnel`` once the cleaned ones were written.
+
+    The job that writes the table counts its stages, so the texts are read once. It is
+    the job's last stage that counts, whose tasks are counted once each, also after
+    executors were lost.
+    """
+    seen = Observation()
+    marked = _marked(df, blocked, order).observe(seen, *_after_dedupe())
+
+    def funnel() -> DataFrame:
+        late = [(name, seen.get[name]) for name in STAGES[2:]]
+        return _before_dedupe(df, blocked).unionByName(df.sparkSession.createDataFrame(late, "stage string, n_rows bigint"))
+
+    return marked.filter(~F.col("_blank")).drop("_blank"), funnel

@@ -10,6 +10,7 @@ from newsloom.functions.text import boilerplate_cut, preview
 from newsloom.operators.clean import keep_first
 from newsloom.schemas import BOILERPLATE_MARKERS, MIN_CONTENT_CHARS, SHARD_COLUMNS
 from newsloom.session import broadcast_if_small, fits_broadcast, materialize
+from newsloom.sources.feeds import feed_entries
 
 OUTCOMES = ["new", "no_content", "already_seen"]
 
@@ -98,6 +99,18 @@ def ingest_funnel(outcomes: DataFrame) -> DataFrame:
     return counts.selectExpr(f"stack({len(names)}, {pairs}) as (outcome, items)")
 
 
+def feed_funnel(items: DataFrame, seen: DataFrame, markers=None, min_chars=MIN_CONTENT_CHARS) -> DataFrame:
+    """``ingest_funnel`` of a feed as it was read, with the items that did not parse as
+    a line of their own; they count as fetched. The feed is parsed once."""
+    items = materialize(items, "feed-items")
+    broken = items.filter(F.col("_corrupt").isNotNull()).agg(F.count("*").alias("items"))
+    broken = broken.select(F.lit("broken").alias("outcome"), "items")
+    funnel = ingest_funnel(ingest_outcomes(feed_entries(items), seen, markers, min_chars)).unionByName(broken)
+    total = F.when(F.col("outcome").isin("fetched", "broken"), "fetched")
+    both = funnel.filter(total.isNotNull()).groupBy(total.alias("outcome")).agg(F.sum("items").alias("items"))
+    return both.unionByName(funnel.filter(F.col("outcome") != "fetched"))
+
+
 def feed_preview(articles: DataFrame, min_chars=MIN_CONTENT_CHARS, chars: int = 150) -> DataFrame:
     """Dry run: what would be kept, with length and opening of each text."""
     return articles.select(

@@ -3,9 +3,10 @@
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from newsloom.operators import embed, ingest
+from newsloom.operators import clean, embed, ingest
 from newsloom.plans.feed import MIN_CHARS, PAGE_MARKERS, _ARTICLES, _NEW
-from newsloom.plans.tables import CORPUS, SEEN, corpus, entries, seen, table, with_
+from newsloom.plans.articles import ORACLES as ARTICLE_SQL
+from newsloom.plans.tables import CORPUS, SEEN, blocked, corpus, entries, seen, table, with_
 from newsloom.schemas import CORPUS_COLUMNS, NA_TOKENS, SHARD_COLUMNS
 from newsloom.session import fresh_path
 from newsloom.sources import corpus as files
@@ -16,9 +17,10 @@ from newsloom.streaming import ingest as job
 CSV_RANGE = 1 << 18  # several ranges on the smallest tables
 
 
-def write_feed(items, path):
-    """Entries as RSS files, as a fetch leaves them. Spark's XML writer knows no
-    prefixed names, so the items are written as text."""
+def write_feed(items, path, broken=None):
+    """Entries as RSS files, as a fetch leaves them; those of the condition ``broken``
+    lack an end tag. Spark's XML writer knows no prefixed names, so the items are
+    written as text."""
 
     def element(name, column):
         text = F.coalesce(F.col(column), F.lit(""))
@@ -28,6 +30,8 @@ def write_feed(items, path):
 
     pairs = {"title": "title", "link": "link", "category": "category", "pubDate": "published", "content:encoded": "content"}
     item = F.concat(F.lit("<item>"), *[element(*pair) for pair in pairs.items()], F.lit("</item>"))
+    if broken is not None:
+        item = F.when(broken, F.concat(F.lit("<item><title>"), element("link", "link"), F.lit("</item>"))).otherwise(item)
 
     schema = pa.schema([("value", pa.string())])
 
@@ -58,6 +62,28 @@ def feed_file_ingest(spark, sf):
     return ingest.new_articles(feeds.feed_entries(_feed(spark, sf)), seen(spark, sf), PAGE_MARKERS, MIN_CHARS)
 
 
+BROKEN = "length(link) % 10 = 3"
+
+
+def feed_funnel(spark, sf):
+    """Outcomes of a feed in which some items do not parse."""
+    path = fresh_path(spark, "feed")
+    write_feed(entries(spark, sf), path, F.expr(BROKEN))
+    return ingest.feed_funnel(feeds.read_feed(spark, path), seen(spark, sf), PAGE_MARKERS, MIN_CHARS)
+
+
+def clean_written(spark, sf):
+    """The funnel that is counted while the cleaned tables are written, and their rows."""
+    folder = fresh_path(spark, "cleaned")
+    cleaned, funnel = clean.clean_observed(corpus(spark, sf), blocked(spark, sf))
+    files.write_cleaned(cleaned, folder)
+    rows = funnel()
+    for name in ("cleaned", "flagged_short", "flagged_long"):
+        count = spark.read.parquet(f"{folder}/{name}").agg(F.count("*").alias("n_rows"))
+        rows = rows.unionByName(count.select(F.lit(f"rows of {name}").alias("stage"), "n_rows"))
+    return rows
+
+
 def csv_corpus(spark, sf):
     """The corpus exported as CSV and landed again."""
     path = fresh_path(spark, "csv")
@@ -124,7 +150,7 @@ def scheduled_ingest(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in [feed_items, feed_file_ingest, csv_corpus, csv_ranges, manifest_file, shard_vectors, positional_join, scheduled_ingest]
+    for f in [feed_items, feed_file_ingest, feed_funnel, clean_written, csv_corpus, csv_ranges, manifest_file, shard_vectors, positional_join, scheduled_ingest]
 }
 
 _TOKENS = ", ".join("'" + t + "'" for t in NA_TOKENS)
@@ -143,6 +169,16 @@ ORACLES = {
   regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS category, md5(html) AS content_md5 FROM pages""",
     "feed_file_ingest": with_(_ARTICLES, SEEN, _NEW) + "SELECT " + ", ".join(
         "trim(title_original) AS title_original" if c == "title_original" else c for c in SHARD_COLUMNS) + " FROM fresh",
+    "feed_funnel": with_(_ARTICLES, SEEN, f"""outcomes AS (
+  SELECT CASE WHEN {BROKEN} THEN 'broken' WHEN length(text_original) < {MIN_CHARS} THEN 'no_content'
+              WHEN link IN (SELECT link FROM seen) THEN 'already_seen' ELSE 'new' END AS outcome
+  FROM articles)""") + "\nUNION ALL ".join(
+        ["SELECT 'fetched' AS outcome, count(*) AS items FROM outcomes"]
+        + [f"SELECT '{o}' AS outcome, count(*) AS items FROM outcomes WHERE outcome = '{o}'" for o in [*ingest.OUTCOMES, "broken"]]),
+    "clean_written": f"""WITH funnel AS ({ARTICLE_SQL['clean_funnel']})
+SELECT stage, n_rows FROM funnel UNION ALL
+SELECT CASE stage WHEN 'after_blank' THEN 'rows of cleaned' ELSE 'rows of ' || stage END AS stage, n_rows
+FROM funnel WHERE stage IN ('after_blank', 'flagged_short', 'flagged_long')""",
     "csv_corpus": with_(CORPUS) + f"SELECT {_HASHED} FROM (SELECT " + ", ".join(_read(c, c) for c in CORPUS_COLUMNS) + " FROM corpus) a",
     "csv_ranges": with_(CORPUS) + f"SELECT {_HASHED} FROM (SELECT " + ", ".join(_read(c, c) for c in CORPUS_COLUMNS) + " FROM corpus) a",
     "manifest_file": with_(CORPUS, SEEN) + "SELECT link FROM corpus UNION SELECT link FROM seen",

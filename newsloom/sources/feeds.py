@@ -9,30 +9,31 @@ FEED_SCHEMA = (
 )
 
 
-def _options(reader):
-    return (
-        reader.schema(FEED_SCHEMA)
-        .format("xml")
-        .option("rowTag", "item")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-    )
+END = "</item>"
+PARSING = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+
 
+def _items(pieces: DataFrame) -> DataFrame:
+    """The items of a feed that was split at their end tags, with the time at which
+    the snapshot landed; it names the ingest run.
 
-def _landed(items: DataFrame) -> DataFrame:
-    """Keep when the snapshot landed; it names the ingest run."""
-    return items.select("*", F.col("_metadata.file_modification_time").alias("landed"))
+    Each item is parsed by itself, so that one that is broken costs no other.
+    """
+    item = F.regexp_extract("value", r"(?s)<item[\s>].*", 0)
+    items = pieces.select(item.alias("item"), F.col("_metadata.file_modification_time").alias("landed")).filter("item <> ''")
+    parsed = F.from_xml(F.concat("item", F.lit(END)), FEED_SCHEMA, PARSING)
+    return items.select(parsed.alias("_item"), "landed").select("_item.*", "landed")
 
 
 def read_feed(spark, path) -> DataFrame:
-    return _landed(_options(spark.read).load(path))
+    return _items(spark.read.option("lineSep", END).text(path))
 
 
 def stream_feed(spark, path, max_files=None) -> DataFrame:
-    reader = _options(spark.readStream)
+    reader = spark.readStream.option("lineSep", END)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _landed(reader.load(path))
+    return _items(reader.text(path))
 
 
 def _text(c) -> Column:

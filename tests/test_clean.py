@@ -138,3 +138,29 @@ def test_audit_stays_in_the_jvm_and_moves_nothing(edges, plan_of):
 def test_list_rows(spark):
     df = spark.createDataFrame([("a", "d", "t", "x", 1)], "link string, date string, title_original string, text_original string, n int")
     assert audit.list_rows(df).columns == ["link", "date", "title_original", "text_original"]
+
+
+def counted(cleaned):
+    rows = cleaned.collect()
+    return len(rows), sum(r["is_short"] for r in rows), sum(r["is_long"] for r in rows)
+
+
+@pytest.mark.parametrize("order", [("ord",), ("ord", "day")])
+def test_funnel_agrees_with_the_table_on_ties_and_nulls(spark, order, tmp_path):
+    rows = [
+        ("a", None, 1, ""), ("a", 1, 1, "x" * 120), ("b", 1, 1, ""), ("b", 1, 1, "y" * 120), ("c", None, None, "z"),
+        ("c", None, None, " "), ("d", 2, 1, "short"), ("d", 2, 1, "short"), (None, 1, 1, "n" * 30_000), (None, 1, None, ""),
+        (KNOWN_BAD_LINKS[0], 1, 1, "bad"), ("e", 5, 2, None), ("e", 5, 1, "w" * 200),
+    ]
+    df = spark.createDataFrame(rows, "link string, ord int, day int, text_original string")
+    kept, short, long = counted(clean.clean(df, order=order))
+    got = {r["stage"]: r["n_rows"] for r in clean.clean_funnel(df, order=order).collect()}
+    assert got == {"loaded": 13, "after_known_bad": 12, "after_duplicates": 6, "after_blank": kept, "flagged_short": short, "flagged_long": long}
+    cleaned, funnel = clean.clean_observed(df, order=order)
+    cleaned.write.parquet(str(tmp_path / "cleaned"))
+    assert {r["stage"]: r["n_rows"] for r in funnel().collect()} == got
+    assert counted(spark.read.parquet(str(tmp_path / "cleaned"))) == (kept, short, long)
+
+
+def test_funnel_does_not_sort(edges, plan_of):
+    assert "SortAggregate" not in plan_of(clean.clean_funnel(edges, order=("date", "ord")), "simple")
