@@ -18,6 +18,7 @@ special token's string in a text is its single id. Rows and further columns
 stay as they are, repeated rows included.
 """
 
+import hashlib
 import json
 import re
 from array import array
@@ -51,7 +52,7 @@ class Vocabulary:
     """Tables of one vocabulary. Inside, a token is known by its rank: single
     bytes come first, then merged tokens in the order of their merges."""
 
-    def __init__(self, spec: str, pattern: str):
+    def __init__(self, spec: str, pattern: str, remembered: int = REMEMBERED):
         import ahocorasick
         import regex
 
@@ -84,9 +85,9 @@ class Vocabulary:
         self.specials = regex.compile(
             "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)"
         )
-        self.joins = Memo(lambda pair: self._compatible(*pair))
-        self.plain = Memo(lambda text: self._chunk_ids(text) if text else b"")  # as at the start of a line
-        self.spaced = Memo(lambda text: self._chunk_ids(" " + text))  # after a space
+        self.joins = Memo(lambda pair: self._compatible(*pair), remembered)
+        self.plain = Memo(lambda text: self._chunk_ids(text) if text else b"", remembered)  # as at the start of a line
+        self.spaced = Memo(lambda text: self._chunk_ids(" " + text), remembered)  # after a space
         self.packed = [array("i", [i]).tobytes() for i in self.id_of]
         self._offsets(alphabet, model["vocab"])
 
@@ -209,15 +210,15 @@ class Memo(dict):
     """Remembers what a function gave for short words or pairs. When it is full
     it becomes the older half, from which what is asked for again comes back."""
 
-    def __init__(self, function):
-        self.function, self.older = function, {}
+    def __init__(self, function, most):
+        self.function, self.older, self.most = function, {}, most
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.function(key)
         if len(key) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[key] = value
@@ -228,7 +229,7 @@ _loaded = {}
 
 
 def _vocabulary(shared):
-    """The tables of a broadcast (spec, pattern), built once per worker."""
+    """The tables of a broadcast (spec, pattern, remembered), built once per worker."""
     key = shared.value
     if key not in _loaded:
         _loaded.clear()
@@ -236,13 +237,15 @@ def _vocabulary(shared):
     return _loaded[key]
 
 
-def share(spark, path, pattern):
-    """Broadcast a vocabulary file and the pattern that splits texts into words."""
+def share(spark, path, pattern, remembered=REMEMBERED):
+    """Broadcast a vocabulary file and the pattern that splits texts into words.
+    ``remembered`` bounds what a worker remembers, about 150 bytes an entry and six
+    times as many entries; results don't depend on it."""
     with open(path, encoding="utf-8") as f:
         spec = f.read()
     if len(spec) > VOCABULARY_BYTES:
         raise ValueError(f"{path} is too large to be broadcast")
-    return spark.sparkContext.broadcast((spec, pattern))
+    return spark.sparkContext.broadcast((spec, pattern, remembered))
 
 
 def encode(text: Column, shared) -> Column:
@@ -275,10 +278,30 @@ def with_tokens(df: DataFrame, shared, text="text") -> DataFrame:
     return df.withColumn("ids", encode(F.col(text), shared)).withColumn("decoded", decode(F.col("ids"), shared))
 
 
-def public_vocabulary(spark, name="byte_bpe_50k.json"):
+def with_digests(df: DataFrame, shared, text="text", name="tokens") -> DataFrame:
+    """``df`` with ``name``: the ids, and the hash of the text that they decode to. A
+    worker holds one decoded text at a time, and none goes back to Spark."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded_sha256:string>")
+    def run(texts: pa.Array) -> pa.Array:
+        vocabulary = _vocabulary(shared)
+        values, sizes, hashes = [], [0], []
+        for value in texts:
+            ids = vocabulary.encode(value.as_py() or "")
+            hashes.append(hashlib.sha256(vocabulary.decode(ids).encode()).hexdigest())
+            values.append(ids.tobytes())
+            sizes.append(len(ids))
+        flat = pa.array(np.frombuffer(b"".join(values), np.int32))
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), flat)
+        return pa.StructArray.from_arrays([lists, pa.array(hashes, pa.string())], names=["ids", "decoded_sha256"])
+
+    return df.withColumn(name, run(F.col(text)))
+
+
+def public_vocabulary(spark, name="byte_bpe_50k.json", remembered=REMEMBERED):
     import public_tokenizers
 
-    return share(spark, public_tokenizers.path(name), public_tokenizers.PATTERN)
+    return share(spark, public_tokenizers.path(name), public_tokenizers.PATTERN, remembered)
 
 
 def digest(tokens: DataFrame) -> DataFrame:

@@ -78,3 +78,14 @@ def test_query_equals_the_library(spark, library):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_digests_equal_the_decoded_texts(spark):
+    """Also with a memory of few words."""
+    texts = [None, "", "one two two", "Größe \U0001F600 <|endoftext|> x", "a" * 5_000, "one two two"]
+    docs = spark.createDataFrame([(i // 2, t, 1) for i, t in enumerate(texts)], "doc_id int, text string, ids int")
+    few = bpe.with_digests(docs, bpe.public_vocabulary(spark, remembered=3))
+    got = few.select("doc_id", "ids", "tokens.ids", "tokens.decoded_sha256")
+    whole = bpe.with_tokens(docs.drop("ids"), bpe.public_vocabulary(spark))
+    want = whole.select("doc_id", bpe.F.lit(1), "ids", bpe.F.sha2("decoded", 256))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
