@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from newsloom.llm import bpe, near_copies, quality, secret_scan, winnow
 from newsloom.session import materialize
 
+REMEMBERED = 50_000  # words of a worker's memory, next to what earlier stages left in its executor
+
 
 def good(spark, docs, sf_dir):
     """Documents that the quality classifier does not reject."""
@@ -37,10 +39,11 @@ def without_secrets(spark, docs, sf_dir):
 
 def tokens(spark, docs, sf_dir):
     """Token ids, with digests of them and of the decoded text."""
-    encoded = bpe.with_tokens(docs.select("doc_id", "text"), bpe.public_vocabulary(spark))
+    vocabulary = bpe.public_vocabulary(spark, remembered=REMEMBERED)
+    encoded = bpe.with_digests(docs.select("doc_id", "text"), vocabulary)
     return encoded.select(
-        "doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        "doc_id", "tokens.ids", F.size("tokens.ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("tokens.ids", ","), 256).alias("ids_sha256"), "tokens.decoded_sha256",
     )
 
 
