@@ -6,29 +6,51 @@ to the shared folder and read again, so that no stage is run twice and a lost
 executor costs a re-read.
 """
 
+import functools
+
 from pyspark.sql import functions as F
 
 from newsloom.llm import bpe, near_copies, quality, secret_scan, winnow
 from newsloom.session import materialize
 
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 REMEMBERED = 50_000  # words of a worker's memory, next to what earlier stages left in its executor
 
 
+def bounded_batches(stage):
+    """Stages hand texts to Python in batches of bounded size: the workers of several
+    stages share an executor's memory, and what they once held they keep."""
+
+    @functools.wraps(stage)
+    def run(spark, docs, sf_dir):
+        for key, value in BATCHES.items():
+            spark.conf.set(key, value)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@bounded_batches
 def good(spark, docs, sf_dir):
     """Documents that the quality classifier does not reject."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@bounded_batches
 def unique(spark, docs, sf_dir):
     """One document of each group of near copies."""
     return near_copies.keep_one(docs)
 
 
+@bounded_batches
 def clean_of_benchmark(spark, docs, sf_dir):
     """Documents without any passage of the benchmark."""
     return winnow.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@bounded_batches
 def without_secrets(spark, docs, sf_dir):
     """All documents, with a mark in place of every secret."""
     cleaned = secret_scan.redact(secret_scan.scan(docs))
@@ -37,6 +59,7 @@ def without_secrets(spark, docs, sf_dir):
     return cleaned.select(docs.columns)
 
 
+@bounded_batches
 def tokens(spark, docs, sf_dir):
     """Token ids, with digests of them and of the decoded text."""
     vocabulary = bpe.public_vocabulary(spark, remembered=REMEMBERED)
