@@ -166,9 +166,35 @@ def with_position(df: DataFrame, order) -> DataFrame:
     )
 
 
+def with_stored_position(spark, path) -> DataFrame:
+    """A stored Parquet table with the place 0, 1, ... of each row in its files, read in
+    the order of their names.
+
+    Parquet's readers know the index of a row in its file, and the files' row counts
+    follow from it without reading a column. Only one row per file is gathered; the
+    table's rows are neither sorted nor shuffled, also where they are all alike.
+    """
+    rows = spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = rows.groupBy("_file").agg((F.max("_row") + 1).alias("_n"))
+    # a longer name has a higher number
+    before = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    placed = rows.join(broadcast_if_small(starts, store="file-starts"), "_file")
+    return placed.withColumn("position", F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")
+
+
+def join_stored(spark, vectors_path, meta_path) -> DataFrame:
+    """Row i of one stored table with row i of another."""
+    return _joined(with_stored_position(spark, vectors_path), with_stored_position(spark, meta_path))
+
+
 def join_by_position(vectors: DataFrame, meta: DataFrame, vector_order, meta_order) -> DataFrame:
     """Row i with row i for foreign data that is tied by position only."""
-    left, right = with_position(vectors, vector_order), with_position(meta, meta_order)
+    return _joined(with_position(vectors, vector_order), with_position(meta, meta_order))
+
+
+def _joined(left: DataFrame, right: DataFrame) -> DataFrame:
     n, m = left.count(), right.count()
     if n != m:
         raise ValueError(f"row count mismatch: {n} vectors and {m} metadata rows")

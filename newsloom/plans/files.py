@@ -131,6 +131,15 @@ def positional_join(spark, sf):
     return joined.select("position", "vec_id", "label", "meta_id")
 
 
+def stored_positions(spark, sf):
+    """The same for tables that were written in their order: places come from the files."""
+    paths = [fresh_path(spark, name) for name in ("ordered-vectors", "ordered-meta")]
+    vectors = table(spark, sf, "embeddings").select("vec_id", "label").orderBy("vec_id")
+    vectors.write.parquet(paths[0])
+    vectors.select(F.col("vec_id").alias("meta_id")).write.parquet(paths[1])
+    return embed.join_stored(spark, *paths).select("position", "vec_id", "label", "meta_id")
+
+
 def scheduled_ingest(spark, sf):
     """Two scheduled runs: the pages in two snapshots, then shards and vectors."""
     home = fresh_path(spark, "scheduled")
@@ -150,7 +159,7 @@ def scheduled_ingest(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in [feed_items, feed_file_ingest, feed_funnel, clean_written, csv_corpus, csv_ranges, manifest_file, shard_vectors, positional_join, scheduled_ingest]
+    for f in [feed_items, feed_file_ingest, feed_funnel, clean_written, csv_corpus, csv_ranges, manifest_file, shard_vectors, positional_join, stored_positions, scheduled_ingest]
 }
 
 _TOKENS = ", ".join("'" + t + "'" for t in NA_TOKENS)
@@ -188,5 +197,6 @@ FROM funnel WHERE stage IN ('after_blank', 'flagged_short', 'flagged_long')""",
     "scheduled_ingest": with_(_ARTICLES, SEEN, _NEW) + """SELECT run, n AS new_articles, CAST(n > 0 AS BIGINT) AS embedded_shards
 FROM (SELECT CAST(r AS INTEGER) AS run, count(DISTINCT link) AS n FROM range(1, 3) t(r)
   LEFT JOIN fresh ON length(link) % 2 = r - 1 GROUP BY r) a""",
+    "stored_positions": "SELECT row_number() OVER (ORDER BY vec_id) - 1 AS position, vec_id, label, vec_id AS meta_id FROM embeddings",
     "positional_join": """SELECT row_number() OVER (ORDER BY vec_id) - 1 AS position, vec_id, label, vec_id AS meta_id FROM embeddings""",
 }

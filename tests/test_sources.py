@@ -138,3 +138,20 @@ def test_broken_items_are_counted_not_fatal(spark, tmp_path):
     items = feeds.read_feed(spark, str(tmp_path / "feed.xml")).cache()
     assert feeds.broken_items(items).first()["broken_items"] >= 1
     assert [r["link"] for r in feeds.feed_entries(items).collect()] == ["l"]
+
+
+def test_stored_positions_are_neither_sorted_nor_shuffled(spark, tmp_path, plan_of):
+    from newsloom.operators import embed
+
+    rows = [(i // 50, "same") for i in range(200)]  # equal rows have places of their own
+    spark.createDataFrame(rows, "k int, v string").coalesce(1).sortWithinPartitions("k").repartitionByRange(4, "k").write.parquet(str(tmp_path / "t"))
+    placed = embed.with_stored_position(spark, str(tmp_path / "t"))
+    found = placed.orderBy("position").collect()
+    assert [r["position"] for r in found] == list(range(200))
+    assert [r["k"] for r in found] == sorted(r["k"] for r in found)
+    plan = plan_of(placed, "simple")
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "Sort" not in plan
+    (tmp_path / "u").mkdir()
+    spark.createDataFrame(rows[:-1], "k int, v string").write.parquet(str(tmp_path / "u" / "x"))
+    with pytest.raises(ValueError, match="row count mismatch"):
+        embed.join_stored(spark, str(tmp_path / "t"), str(tmp_path / "u" / "x"))
