@@ -37,7 +37,8 @@ def shard_name(entries: DataFrame, batch_id: int) -> str:
 def ingest_batch(
     items: DataFrame, batch_id: int, base_links: DataFrame, shards_path: str,
     markers=None, min_chars=MIN_CONTENT_CHARS,
-) -> None:
+) -> str | None:
+    """Ingest one batch; returns the shard that holds its articles, if there are any."""
     spark = items.sparkSession
     entries = materialize(feed_entries(items), "feed-entries")
     shard = shard_name(entries, batch_id)
@@ -46,25 +47,28 @@ def ingest_batch(
     fresh = materialize(
         new_articles(entries, seen, markers, min_chars, dedupe_within_batch=True), "fresh-articles"
     )
-    write_shard(fresh, shards_path, shard)
+    return shard if write_shard(fresh, shards_path, shard) else None
 
 
 def start_ingest(
     spark, feed_path: str, base_links: DataFrame, shards_path: str, checkpoint: str,
-    markers=None, min_chars=MIN_CONTENT_CHARS, max_files=None, read=stream_feed,
+    markers=None, min_chars=MIN_CONTENT_CHARS, max_files=None, read=stream_feed, written=None,
 ):
-    """Start one scheduled run; it stops when all landed snapshots are read.
+    """Start one scheduled run; it stops when all landed snapshots are read. The shards
+    it writes are added to the list ``written``.
 
     An unfinished item is not remembered, so it is taken when a later snapshot
     has its text.
     """
+
+    def run(items, batch_id):
+        shard = ingest_batch(items, batch_id, base_links, shards_path, markers, min_chars)
+        if shard and written is not None:
+            written.append(shard)
+
     return (
         read(spark, feed_path, max_files)
-        .writeStream.foreachBatch(
-            lambda items, batch_id: ingest_batch(
-                items, batch_id, base_links, shards_path, markers, min_chars
-            )
-        )
+        .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -74,12 +78,17 @@ def start_ingest(
 def run_once(
     spark, feed_path, base_links, shards_path, vectors_path, checkpoint, factory=None, **options
 ) -> DataFrame:
-    """Ingest what has landed, embed what has no vectors, return the summary."""
-    before = article_count(spark, shards_path)
-    start_ingest(spark, feed_path, base_links, shards_path, checkpoint, **options).awaitTermination()
-    new = article_count(spark, shards_path) - before
+    """Ingest what has landed, embed what has no vectors, return the summary.
+
+    New articles are those of the shards that this run wrote, and only these are counted,
+    from their partitions. A batch that an earlier run could not finish is written again
+    and counts in the run that finished it.
+    """
+    written = []
+    start_ingest(spark, feed_path, base_links, shards_path, checkpoint, written=written, **options).awaitTermination()
+    new = article_count(spark, shards_path, written) if written else 0
     return run_summary(spark, new, embed_backlog(spark, shards_path, vectors_path, factory))
 
 
-def article_count(spark, shards_path) -> int:
-    return read_shards(spark, shards_path).count()
+def article_count(spark, shards_path, names) -> int:
+    return read_shards(spark, shards_path).filter(F.col("shard").isin(names)).count()
