@@ -9,6 +9,7 @@ from newsloom.session import broadcast_if_small
 
 # Rows that one task numbers, about.
 BUCKET_ROWS = 100_000
+FEW_KEYS = 256
 RADIX_DIGITS = 3  # hex digits of a hash that are counted at a time
 HASH_DIGITS = 32
 
@@ -53,8 +54,11 @@ def first_by_hash(keys: DataFrame, key: str, salt, n: int) -> DataFrame:
 
     Counts of the leading digits tell in which bucket the n-th key lies, and a bucket
     that is still large is counted by further digits. All keys of the buckets before it
-    are taken by a filter where they lie; only the last bucket's are sorted.
+    are taken by a filter where they lie; only the last bucket's are sorted. So few keys
+    that one task can merge them from all tasks are sorted at once.
     """
+    if n <= FEW_KEYS:
+        return keys.select(key).orderBy(salted_md5(key, salt), key).limit(n)
     hashed = keys.select(key, salted_md5(key, salt).alias("_h"))
     prefix, left = "", n
     while True:

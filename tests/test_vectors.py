@@ -194,7 +194,7 @@ def test_first_keys_by_hash_threshold(spark, generated, monkeypatch):
     ordered = [r["vec_id"] for r in keys.orderBy(sampling.salted_md5("vec_id", "s"), "vec_id").collect()]
     for rows in (1, 100_000):
         monkeypatch.setattr(sampling, "BUCKET_ROWS", rows)
-        for n in (0, 1, 37, len(ordered), len(ordered) + 5):
+        for n in (0, 1, 37, 300, 444, len(ordered), len(ordered) + 5):
             found = [r["vec_id"] for r in sampling.first_by_hash(keys, "vec_id", "s", n).collect()]
             assert sorted(found) == sorted(ordered[:n])
 
