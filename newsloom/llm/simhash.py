@@ -197,25 +197,28 @@ def near_duplicates(docs: DataFrame, doc="doc_id", text="text", hot=HOT) -> Data
 def keep_one(docs: DataFrame, doc="doc_id", text="text", hot=HOT) -> DataFrame:
     """One row of each component: that of the least id, the first stored on ties.
 
-    The rows to drop are few and narrow; they are broadcast when they measure
-    small. Texts are stored once, so that row numbers stay as they are.
+    Only fingerprints of several rows or with a link are looked up; they and the
+    rows to drop are narrow, and are broadcast when they measure small. Texts are
+    stored once, so that row numbers stay as they are. A row is kept as a struct,
+    so its columns may have any names.
     """
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")
     stored = materialize(
-        docs.withColumn("_fp", fingerprints(F.col(text))).withColumn("_row", F.monotonically_increasing_id()),
+        docs.select(own, fingerprints(F.col(text)).alias("fp"), F.monotonically_increasing_id().alias("row")),
         "simhash-rows",
     )
-    order = F.struct(F.col(doc).isNull(), F.col(doc), F.col("_row"))
-    rows = stored.select(F.col("_fp").alias("fp"), F.col(doc), "_row", order.alias("_order"))
-    nodes = rows.groupBy("fp").agg(F.min("_order").alias("least"))
+    of_row = F.col("kept").getField(doc)
+    rows = stored.select("fp", "row", F.struct(of_row.isNull().alias("none"), of_row.alias("id"), "row").alias("order"))
+    nodes = materialize(rows.groupBy("fp").agg(F.min("order").alias("least"), F.count("*").alias("n")), "simhash-nodes")
     linked = materialize(roots(links(nodes.select("fp"), hot)), "simhash-roots")
-    group = F.coalesce("root", "fp")
-    grouped = nodes.join(linked, nodes["fp"] == linked["node"], "left").select("fp", group.alias("group"), "least")
-    grouped = materialize(grouped, "simhash-groups")
-    kept = grouped.groupBy("group").agg(F.min("least").alias("kept"))
-    by_print = grouped.join(kept, "group").select("fp", F.col("kept._row").alias("_kept"))
-    dropped = rows.select("fp", "_row").join(by_print, "fp").filter("_row <> _kept").select("_row")
+    grouped = nodes.join(linked, nodes["fp"] == linked["node"], "left").filter("n > 1 or node is not null")
+    grouped = materialize(grouped.select("fp", F.coalesce("root", "fp").alias("group"), "least"), "simhash-groups")
+    best = grouped.groupBy("group").agg(F.min("least").alias("best"))
+    by_print = broadcast_if_small(
+        grouped.join(best, "group").select("fp", F.col("best.row").alias("best")), store="simhash-best")
+    dropped = rows.select("fp", "row").join(by_print, "fp").filter("row <> best").select("row")
     dropped = broadcast_if_small(dropped, store="near-copies")
-    return stored.join(dropped, "_row", "left_anti").select(docs.columns)
+    return stored.join(dropped, "row", "left_anti").select("kept.*")
 
 
 def query(spark, sf_dir) -> DataFrame:

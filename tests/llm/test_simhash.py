@@ -56,7 +56,7 @@ def test_equals_brute_force(spark, hot):
     rows = [(i * 7 % 1000, t, "clash") for i, t in enumerate(texts)] + [(None, "one", "c"), (7, texts[1], "c"), (3, "zz", "c")]
     df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
     got = sorted((tuple(r) for r in simhash.near_duplicates(df, hot=hot).collect()), key=str)
-    assert got == brute_components([(d, brute_print(t)) for d, t, _ in rows])
+    assert got == brute_components([(d, brute_print(t)) for d, t, *_ in rows])
 
 
 def test_chains_and_dense_groups(spark):
@@ -100,12 +100,14 @@ def test_roots(spark):
 
 def test_keep_one(spark):
     texts = corpus(2)
-    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(0, texts[0], "x"), (None, texts[0], "x"), (None, "lonely text", "x")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, fp string")
+    rows = [(i, t, "x", 5) for i, t in enumerate(texts)]
+    rows += [(0, texts[0], "x", 5), (None, texts[0], "x", 5), (None, "lonely text", "x", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string, row int")
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
+    assert {(r["fp"], r["row"]) for r in kept.collect()} == {("x", 5)}
     got = sorted(str(r["doc_id"]) for r in kept.collect())
-    groups = {(str(c) if c is not None else p) for _, p, c in brute_components([(d, brute_print(t)) for d, t, _ in rows])}
+    groups = {(str(c) if c is not None else p) for _, p, c in brute_components([(d, brute_print(t)) for d, t, *_ in rows])}
     assert len(got) == len(groups) and "None" in got
 
 
