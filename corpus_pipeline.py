@@ -10,7 +10,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, near_copies, quality, secret_scan, winnow
+from newsloom.llm import bpe, quality, secret_scan, simhash, winnow
 from newsloom.session import materialize
 
 BATCHES = {
@@ -40,8 +40,8 @@ def good(spark, docs, sf_dir):
 
 @bounded_batches
 def unique(spark, docs, sf_dir):
-    """One document of each group of near copies."""
-    return near_copies.keep_one(docs)
+    """One document of each group of near copies, which are those of the SimHash operator."""
+    return simhash.keep_one(docs)
 
 
 @bounded_batches
