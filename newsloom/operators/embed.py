@@ -82,17 +82,20 @@ def vectors_of(df: DataFrame, factory=None) -> DataFrame:
 
 
 def _pending(shards: DataFrame, embedded: DataFrame) -> DataFrame:
-    done = embedded.select("shard").distinct()
-    return shards.select("shard").distinct().join(done, "shard", "left_anti")
+    """Shards with fewer vectors than articles. The shard is a partition and nothing
+    else is selected, so a scan of files takes names and counts from listing and footers."""
+    articles = shards.groupBy("shard").agg(F.count(F.lit(1)).alias("articles"))
+    vectors = embedded.groupBy("shard").agg(F.count(F.lit(1)).alias("vectors"))
+    return articles.join(vectors, "shard", "left").filter("vectors is null or vectors < articles").select("shard")
 
 
 def unembedded_shards(shards: DataFrame, embedded: DataFrame) -> DataFrame:
-    """Shard names that have no vectors yet, in order."""
+    """Shard names that lack vectors, in order: all of theirs, or some after a write was cut short."""
     return _pending(shards, embedded).orderBy("shard")
 
 
 def backlog(articles: DataFrame, embedded: DataFrame) -> DataFrame:
-    """Articles of shards without vectors. The list of pending shard names is
+    """Articles of shards that lack vectors. The list of pending shard names is
     broadcast after a check, and prunes the shard partitions of the scan."""
     # the filter is always true: Spark prunes by a join only if that side is filtered
     pending = materialize(_pending(articles, embedded), "pending").filter("shard >= ''")
@@ -114,7 +117,7 @@ def write_vectors(vectors: DataFrame, path: str) -> None:
 
 
 def embed_backlog(spark, shards_path, vectors_path, factory=None) -> int:
-    """Embed every shard that has no vectors yet; returns how many there were.
+    """Embed every shard that lacks vectors; returns how many there were.
 
     Safe to run again at any time. With nothing pending no model is loaded.
     """

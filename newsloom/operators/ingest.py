@@ -1,6 +1,8 @@
 """Feed items to new articles: text, length rule, seen links, funnel."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.dates import feed_date
@@ -13,6 +15,7 @@ from newsloom.session import broadcast_if_small, fits_broadcast, materialize
 from newsloom.sources.feeds import feed_entries
 
 OUTCOMES = ["new", "no_content", "already_seen"]
+ASKED = 256  # links of a batch that are looked up in the Bloom filters of stored files
 
 
 def feed_articles(entries: DataFrame, markers=None, to_text=html_to_text) -> DataFrame:
@@ -35,15 +38,28 @@ def has_content(min_chars: int = MIN_CONTENT_CHARS):
     return F.length("text_original") >= min_chars
 
 
-def seen_among(items: DataFrame, seen: DataFrame) -> DataFrame:
+def any_of(links) -> Column:
+    """Whether the link is one of a few. Lists of up to ten values reach the Parquet
+    scan as equalities, which it holds against Bloom filters; longer ones would not."""
+    parts = [F.col("link").isin(links[i:i + 10]) for i in range(0, len(links), 10)] or [F.lit(False)]
+    while len(parts) > 1:  # a shallow tree
+        parts = [reduce(Column.__or__, parts[i:i + 2]) for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
+def seen_among(items: DataFrame, seen: DataFrame, asked: int = ASKED) -> DataFrame:
     """The links of ``items`` that are in ``seen``.
 
     A batch is small and the seen table only grows, so the batch's links are
-    broadcast to the seen table, which is scanned without a shuffle. A batch
-    too big for that is joined by shuffle; both sides are distinct links first,
-    so no link can be hot.
+    broadcast to the seen table, which is scanned without a shuffle. Up to ``asked``
+    links are a filter of that scan as well, which leaves out the shards whose Bloom
+    filter holds none of them. A batch too big for a broadcast is joined by shuffle;
+    both sides are distinct links first, so no link can be hot.
     """
     links = materialize(items.select("link").filter("link is not null").distinct(), "batch-links")
+    few = [r["link"] for r in links.limit(asked + 1).collect()]
+    if len(few) <= asked:
+        seen = seen.filter(any_of(few))
     if fits_broadcast(links):
         return seen.select("link").join(F.broadcast(links), "link", "left_semi").distinct()
     return links.join(seen.select("link").distinct(), "link", "left_semi")

@@ -13,6 +13,7 @@ from newsloom.sources import corpus as files
 from newsloom.sources import feeds, manifest, shards
 from newsloom.sources.vectors import read_vectors
 from newsloom.streaming import ingest as job
+from newsloom.streaming import log
 
 CSV_RANGE = 1 << 18  # several ranges on the smallest tables
 
@@ -157,9 +158,35 @@ def scheduled_ingest(spark, sf):
     return out
 
 
+UNFINISHED = "length(link) % 3 = 0"
+
+
+def ingest_state(spark, sf):
+    """Three runs whose state shows: items without text come back finished, the first batch
+    is replayed, the second run's shard is lost and comes back from an unchanged feed."""
+    home = fresh_path(spark, "state")
+    paths = [f"{home}/{name}" for name in ("shards", "vectors", "checkpoint")]
+    feed, known, rules = entries(spark, sf), seen(spark, sf), {"markers": PAGE_MARKERS, "min_chars": MIN_CHARS}
+    unfinished = F.when(F.expr(UNFINISHED), F.lit("")).otherwise(F.col("content"))
+    out = None
+    for run in (1, 2, 3):
+        lost = log.lost_articles(spark, paths[2], paths[0]).agg(
+            F.coalesce(F.sum(F.col("new_articles") - F.col("stored")), F.lit(0)).alias("lost")).first()["lost"]
+        write_feed(feed.withColumn("content", unfinished) if run == 1 else feed, f"{home}/feed/{run}")
+        summary = job.run_once(spark, f"{home}/feed/*", known, *paths, **rules)
+        if run == 2:
+            job.ingest_batch(feeds.read_feed(spark, f"{home}/feed/1"), 0, known, paths[0], **rules, checkpoint=paths[2])
+            for row in log.batches(spark, paths[2]).filter("batch = 1").collect():
+                shards._drop_shard(spark, paths[0], row["shard"])
+        row = summary.select(F.lit(run).alias("run"), "new_articles", "embedded_shards", F.lit(lost).cast("bigint").alias("lost_before"))
+        out = row if out is None else out.unionByName(row)
+    stored = shards.read_shards(spark, paths[0]).agg(F.count("*").alias("stored"), F.count_distinct("link").alias("links"))
+    return out.crossJoin(F.broadcast(stored))  # one row on the right
+
+
 QUERIES = {
     f.__name__: f
-    for f in [feed_items, feed_file_ingest, feed_funnel, clean_written, csv_corpus, csv_ranges, manifest_file, shard_vectors, positional_join, stored_positions, scheduled_ingest]
+    for f in [feed_items, feed_file_ingest, feed_funnel, clean_written, csv_corpus, csv_ranges, manifest_file, shard_vectors, positional_join, stored_positions, scheduled_ingest, ingest_state]
 }
 
 _TOKENS = ", ".join("'" + t + "'" for t in NA_TOKENS)
@@ -197,6 +224,11 @@ FROM funnel WHERE stage IN ('after_blank', 'flagged_short', 'flagged_long')""",
     "scheduled_ingest": with_(_ARTICLES, SEEN, _NEW) + """SELECT run, n AS new_articles, CAST(n > 0 AS BIGINT) AS embedded_shards
 FROM (SELECT CAST(r AS INTEGER) AS run, count(DISTINCT link) AS n FROM range(1, 3) t(r)
   LEFT JOIN fresh ON length(link) % 2 = r - 1 GROUP BY r) a""",
+    "ingest_state": with_(_ARTICLES, SEEN, _NEW, f"""counts AS (
+  SELECT count(DISTINCT link) AS n, count(DISTINCT CASE WHEN {UNFINISHED} THEN link END) AS late FROM fresh)""")
+    + """SELECT CAST(r AS INTEGER) AS run, CASE r WHEN 1 THEN n - late ELSE late END AS new_articles,
+  CAST(CASE r WHEN 1 THEN n - late ELSE late END > 0 AS BIGINT) AS embedded_shards,
+  CASE r WHEN 3 THEN late ELSE 0 END AS lost_before, n AS stored, n AS links FROM range(1, 4) t(r), counts""",
     "stored_positions": "SELECT row_number() OVER (ORDER BY vec_id) - 1 AS position, vec_id, label, vec_id AS meta_id FROM embeddings",
     "positional_join": """SELECT row_number() OVER (ORDER BY vec_id) - 1 AS position, vec_id, label, vec_id AS meta_id FROM embeddings""",
 }

@@ -1,37 +1,44 @@
 """Ingest shards: one partition per run of one table."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from newsloom.schemas import CORPUS_COLUMNS, SHARD_COLUMNS, SHARD_SCHEMA
 from newsloom.session import read_or_empty
 from newsloom.sources.corpus import read_csv
 
+# Parquet picks the size of the filter by the number of links in the file
+LINK_FILTER = {"parquet.bloom.filter.enabled#link": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
 
 def _drop_shard(spark, path, shard):
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={shard}")
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def write_shard(rows: DataFrame, path, shard: str) -> bool:
-    """Write one run's rows as its own partition. Nothing is written for none, and
-    what an earlier try of the same run wrote is dropped.
+def write_shard(rows: DataFrame, path, shard: str) -> int:
+    """Write one run's rows as its own partition and return their number, which is
+    counted while they are written. Nothing is written for none, and what an earlier
+    try of the same run wrote is dropped.
 
     Dynamic overwrite makes a repeated write of the same shard idempotent and
-    leaves all other shards alone.
+    leaves all other shards alone. The files carry a Bloom filter of their links.
     """
     if rows.isEmpty():
         _drop_shard(rows.sparkSession, path, shard)
-        return False
+        return 0
+    written = Observation()
     (
         rows.select(*SHARD_COLUMNS)
         .withColumn("shard", F.lit(shard))
+        .observe(written, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
+        .options(**LINK_FILTER)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("shard")
         .parquet(path)
     )
-    return True
+    return written.get["n"]
 
 
 def read_shards(spark, path) -> DataFrame:

@@ -1,9 +1,8 @@
 """Scheduled ingest: landed feed snapshots to shards, then the embedding backlog.
 
 One scheduled run is one ``availableNow`` query. The state across runs is the
-set of seen links, read from the base corpus and the other shards, so nothing
-has to be written after the shard: a batch that runs twice writes the same
-partition twice.
+set of seen links, read from the base corpus and the other shards: a batch that
+runs twice writes the same partition twice. The log only counts.
 """
 
 from pyspark.sql import DataFrame
@@ -16,6 +15,7 @@ from newsloom.schemas import MIN_CONTENT_CHARS
 from newsloom.session import materialize
 from newsloom.sources.feeds import feed_entries, stream_feed
 from newsloom.sources.shards import read_shards, write_shard
+from newsloom.streaming import log
 
 
 def seen_links(spark, base_links: DataFrame, shards_path: str, but_shard: str) -> DataFrame:
@@ -36,9 +36,10 @@ def shard_name(entries: DataFrame, batch_id: int) -> str:
 
 def ingest_batch(
     items: DataFrame, batch_id: int, base_links: DataFrame, shards_path: str,
-    markers=None, min_chars=MIN_CONTENT_CHARS,
+    markers=None, min_chars=MIN_CONTENT_CHARS, checkpoint: str | None = None,
 ) -> str | None:
-    """Ingest one batch; returns the shard that holds its articles, if there are any."""
+    """Ingest one batch; returns the shard that holds its articles, if there are any.
+    With ``checkpoint`` the batch is recorded in the log beside it."""
     spark = items.sparkSession
     entries = materialize(feed_entries(items), "feed-entries")
     shard = shard_name(entries, batch_id)
@@ -47,24 +48,24 @@ def ingest_batch(
     fresh = materialize(
         new_articles(entries, seen, markers, min_chars, dedupe_within_batch=True), "fresh-articles"
     )
-    return shard if write_shard(fresh, shards_path, shard) else None
+    new = write_shard(fresh, shards_path, shard)
+    if checkpoint:
+        log.record_batch(spark, checkpoint, batch_id, shard, new)
+    return shard if new else None
 
 
 def start_ingest(
     spark, feed_path: str, base_links: DataFrame, shards_path: str, checkpoint: str,
-    markers=None, min_chars=MIN_CONTENT_CHARS, max_files=None, read=stream_feed, written=None,
+    markers=None, min_chars=MIN_CONTENT_CHARS, max_files=None, read=stream_feed,
 ):
-    """Start one scheduled run; it stops when all landed snapshots are read. The shards
-    it writes are added to the list ``written``.
+    """Start one scheduled run; it stops when all landed snapshots are read.
 
     An unfinished item is not remembered, so it is taken when a later snapshot
     has its text.
     """
 
     def run(items, batch_id):
-        shard = ingest_batch(items, batch_id, base_links, shards_path, markers, min_chars)
-        if shard and written is not None:
-            written.append(shard)
+        ingest_batch(items, batch_id, base_links, shards_path, markers, min_chars, checkpoint)
 
     return (
         read(spark, feed_path, max_files)
@@ -80,15 +81,11 @@ def run_once(
 ) -> DataFrame:
     """Ingest what has landed, embed what has no vectors, return the summary.
 
-    New articles are those of the shards that this run wrote, and only these are counted,
-    from their partitions. A batch that an earlier run could not finish is written again
-    and counts in the run that finished it.
+    New articles are those of the batches in the log that no run has counted yet, so the
+    batches of a run that broke off before its summary count in the next one. No shard is read.
     """
-    written = []
-    start_ingest(spark, feed_path, base_links, shards_path, checkpoint, written=written, **options).awaitTermination()
-    new = article_count(spark, shards_path, written) if written else 0
-    return run_summary(spark, new, embed_backlog(spark, shards_path, vectors_path, factory))
-
-
-def article_count(spark, shards_path, names) -> int:
-    return read_shards(spark, shards_path).filter(F.col("shard").isin(names)).count()
+    start_ingest(spark, feed_path, base_links, shards_path, checkpoint, **options).awaitTermination()
+    new, last_batch = log.uncounted(spark, checkpoint)
+    embedded = embed_backlog(spark, shards_path, vectors_path, factory)
+    log.close_run(spark, checkpoint, new, embedded, last_batch)
+    return run_summary(spark, new, embedded)

@@ -7,6 +7,7 @@ from newsloom.operators import embed, ingest
 from newsloom.sources import shards
 from newsloom.sources.vectors import read_vectors
 from newsloom.streaming import ingest as job
+from newsloom.streaming import log
 
 ENTRY = "link string, title string, published string, category string, content string"
 LONG = "word " * 10  # 49 characters once stripped
@@ -71,6 +72,39 @@ def test_preview(pull):
     assert (row["text_len"], row["status"]) == (49, "skip")
 
 
+def rows_scanned(df):
+    """Rows that the scans of an executed query gave."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    found, todo = 0, [plan.finalPhysicalPlan() if "Adaptive" in plan.getClass().getName() else plan]
+    while todo:
+        node = todo.pop()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if "QueryStage" in node.getClass().getName():
+            todo.append(node.plan())
+        if "FileSourceScan" in node.getClass().getName():
+            found += node.metrics().apply("numOutputRows").value()
+    return found
+
+
+def test_shards_without_the_links_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    for i in range(6):
+        rows = spark.range(i * 1000, i * 1000 + 500).select(
+            F.md5(F.col("id").cast("string")).alias("link"), *[F.lit("x").alias(c) for c in shards.SHARD_COLUMNS if c != "link"])
+        assert shards.write_shard(rows.coalesce(1), path, f"s{i}") == 500
+    stored = shards.read_shards(spark, path).select("link")
+    asked = spark.range(3010, 3040).select(F.md5(F.col("id").cast("string")).alias("link"))
+    pruned = ingest.seen_among(asked, stored)
+    whole = ingest.seen_among(asked, stored, asked=5)
+    links = lambda df: sorted(r["link"] for r in df.collect())
+    assert links(pruned) == links(whole) == links(asked)
+    assert rows_scanned(pruned) < rows_scanned(whole) == 3000 + 30
+    none = spark.createDataFrame([(None,)], "link string")
+    assert ingest.seen_among(none, stored).collect() == []
+
+
 # --- the scheduled run -----------------------------------------------------------
 
 ITEM = "<item><title>{0}</title><link>{0}</link><pubDate>Fri, 24 Feb 2022 23:30:00 GMT</pubDate><content:encoded><![CDATA[{1}]]></content:encoded></item>"
@@ -129,6 +163,25 @@ def test_a_replayed_batch_changes_nothing(spark, run):
     assert sorted((r["link"], r["shard"][-1]) for r in stored.collect()) == [("a", "0"), ("b", "1")]
 
 
+def test_log_counts_what_a_broken_run_left(spark, run):
+    once, feed, (shard_path, vector_path, checkpoint), base = run
+    full = f"<p>{LONG}body</p>"
+    snapshot(feed, "1.xml", [("a", full), ("b", full)])
+    job.start_ingest(spark, str(feed), base, shard_path, checkpoint).awaitTermination()  # no summary
+    assert log.uncounted(spark, checkpoint) == (2, 0)
+    snapshot(feed, "2.xml", [("c", full), ("a", full)])
+    assert once() == (3, 2) and log.uncounted(spark, checkpoint) == (0, None)
+    assert [tuple(r) for r in log.runs(spark, checkpoint).collect()] == [(3, 2, 1)]
+    # a shard is lost, and the next snapshot brings its links back
+    assert log.lost_articles(spark, checkpoint, shard_path).count() == 0
+    shard = log.batches(spark, checkpoint).filter("batch = 0").first()["shard"]
+    shards._drop_shard(spark, shard_path, shard)
+    assert [tuple(r) for r in log.lost_articles(spark, checkpoint, shard_path).collect()] == [(0, shard, 2, 0)]
+    snapshot(feed, "3.xml", [("c", full), ("a", full), ("b", full)])
+    assert once() == (2, 1)
+    assert sorted(r["link"] for r in shards.read_shards(spark, shard_path).collect()) == ["a", "b", "c"]
+
+
 # --- embedding -------------------------------------------------------------------
 
 def test_backlog_only(spark, tmp_path):
@@ -147,6 +200,20 @@ def test_backlog_only(spark, tmp_path):
     assert embed.embed_backlog(spark, str(tmp_path / "absent"), vector_path) == 0
 
 
+def test_half_written_vectors_are_pending(spark, tmp_path, plan_of):
+    shard_path, vector_path = str(tmp_path / "s"), str(tmp_path / "v")
+    rows = spark.range(4).select(
+        F.concat(F.lit("l"), "id").alias("link"), *[F.lit("x").alias(c) for c in shards.SHARD_COLUMNS if c != "link"])
+    shards.write_shard(rows, shard_path, "s0")
+    stored = shards.read_shards(spark, shard_path)
+    embed.write_vectors(embed.vectors_of(stored.filter("link < 'l2'")), vector_path)
+    assert embed.embed_backlog(spark, shard_path, vector_path) == 1
+    assert read_vectors(spark, vector_path).select("link").distinct().count() == 4
+    assert embed.embed_backlog(spark, shard_path, vector_path) == 0
+    plan = plan_of(embed.unembedded_shards(stored, read_vectors(spark, vector_path)))
+    assert plan.count("ReadSchema: struct<>") == 2  # no column is read
+
+
 def test_factory_runs_once_per_task_in_batches(spark):
     seen = spark.sparkContext.accumulator(0)
     sizes = spark.sparkContext.accumulator(0)
