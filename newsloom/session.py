@@ -71,7 +71,7 @@ def scratch(spark):
     try:
         yield
     finally:
-        _owned.remove(paths)
+        _owned[:] = [p for p in _owned if p is not paths]
         for path in paths:
             hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

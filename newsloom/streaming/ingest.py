@@ -12,7 +12,7 @@ from newsloom.functions.dates import shard_stamp
 from newsloom.operators.embed import embed_backlog
 from newsloom.operators.ingest import new_articles, run_summary
 from newsloom.schemas import MIN_CONTENT_CHARS
-from newsloom.session import materialize
+from newsloom.session import materialize, scratch
 from newsloom.sources.feeds import feed_entries, stream_feed
 from newsloom.sources.shards import read_shards, write_shard
 from newsloom.streaming import log
@@ -39,16 +39,18 @@ def ingest_batch(
     markers=None, min_chars=MIN_CONTENT_CHARS, checkpoint: str | None = None,
 ) -> str | None:
     """Ingest one batch; returns the shard that holds its articles, if there are any.
-    With ``checkpoint`` the batch is recorded in the log beside it."""
+    With ``checkpoint`` the batch is recorded in the log beside it. What the batch stored
+    in between is dropped at its end."""
     spark = items.sparkSession
-    entries = materialize(feed_entries(items), "feed-entries")
-    shard = shard_name(entries, batch_id)
-    seen = seen_links(spark, base_links, shards_path, shard)
-    # kept apart from the target, which the seen links are read from
-    fresh = materialize(
-        new_articles(entries, seen, markers, min_chars, dedupe_within_batch=True), "fresh-articles"
-    )
-    new = write_shard(fresh, shards_path, shard)
+    with scratch(spark):
+        entries = materialize(feed_entries(items), "feed-entries")
+        shard = shard_name(entries, batch_id)
+        seen = seen_links(spark, base_links, shards_path, shard)
+        # kept apart from the target, which the seen links are read from
+        fresh = materialize(
+            new_articles(entries, seen, markers, min_chars, dedupe_within_batch=True), "fresh-articles"
+        )
+        new = write_shard(fresh, shards_path, shard)
     if checkpoint:
         log.record_batch(spark, checkpoint, batch_id, shard, new)
     return shard if new else None
