@@ -18,9 +18,9 @@ from newsloom.streaming import log
 CSV_RANGE = 1 << 18  # several ranges on the smallest tables
 
 
-def write_feed(items, path, broken=None):
+def write_feed(items, path, broken=None, compression="none"):
     """Entries as RSS files, as a fetch leaves them; those of the condition ``broken``
-    lack an end tag. Spark's XML writer knows no prefixed names, so the items are
+    lack an end tag. Compressed files are read as they are. Spark's XML writer knows no prefixed names, so the items are
     written as text."""
 
     def element(name, column):
@@ -43,7 +43,7 @@ def write_feed(items, path, broken=None):
         yield pa.RecordBatch.from_arrays([pa.array(["</channel></rss>"])], schema=schema)
 
     # a file per task, so that each is one document
-    items.select(item.alias("value")).mapInArrow(framed, "value string").write.text(path)
+    items.select(item.alias("value")).mapInArrow(framed, "value string").write.text(path, compression=compression)
 
 
 def _feed(spark, sf):
@@ -172,7 +172,8 @@ def ingest_state(spark, sf):
     for run in (1, 2, 3):
         lost = log.lost_articles(spark, paths[2], paths[0]).agg(
             F.coalesce(F.sum(F.col("new_articles") - F.col("stored")), F.lit(0)).alias("lost")).first()["lost"]
-        write_feed(feed.withColumn("content", unfinished) if run == 1 else feed, f"{home}/feed/{run}")
+        snapshot = feed.withColumn("content", unfinished) if run == 1 else feed
+        write_feed(snapshot, f"{home}/feed/{run}", compression="gzip")
         summary = job.run_once(spark, f"{home}/feed/*", known, *paths, **rules)
         if run == 2:
             job.ingest_batch(feeds.read_feed(spark, f"{home}/feed/1"), 0, known, paths[0], **rules, checkpoint=paths[2])
