@@ -1,6 +1,7 @@
 """The search comparison: three methods over growing nested scales."""
 
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,6 +95,25 @@ def recall_by_scale(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=S
     return union
 
 
+def method_recall(vectors, n_queries=N_QUERIES, k=TOP_K, probes=5, seed=SEED) -> DataFrame:
+    """(method, n_queries, recall) of the three methods over all vectors with sampled
+    centres; each against the exact result."""
+    vectors = vectors.select("vec_id", "embedding")
+    total = vectors.count()
+    queries = materialize(query_sample(vectors, [total], n_queries, seed=seed).select("qid", "embedding"), "queries")
+    nlist = choose_nlist(total)
+    centres = materialize(sample_centroids(vectors, nlist, seed), "centres")
+    truth = materialize(exact_topk(vectors, queries, k), "truth")
+    nodes, members = build_graph(vectors, centres, nprobe=probes)
+    found = {
+        "brute_force": truth,
+        "ivf": ivf_search(build_ivf(vectors, centres), queries, k, choose_nprobe(nlist)),
+        "graph": graph_search(nodes, entry_points(centres, nodes, queries), queries, k, members=members),
+    }
+    rows = [recall_at_k(f, truth, k).select(F.lit(m).alias("method"), "n_queries", "recall") for m, f in found.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def labelled(results: DataFrame, methods=None) -> DataFrame:
     """Rows of the methods that have a ``label``, with it."""
     methods = METHOD_LABELS if methods is None else methods

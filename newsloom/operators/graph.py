@@ -1,10 +1,13 @@
 """Proximity graph: build from cluster candidates, search by bounded beams.
 
-A hop is one job for all queries together. Nodes are stored in parts of whole
-cells and the candidates of a hop carry their part, so a hop reads only the
-parts it visits.
+A hop is the same few jobs for any number of queries. Nodes are stored in parts of
+whole cells and the candidates of a hop carry their part, so a hop reads only the
+parts it visits; a hop of more candidates than a broadcast holds meets the nodes
+bucket by bucket instead.
 """
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,9 +19,12 @@ from newsloom.operators.copies import split_copies
 from newsloom.operators.ivf import cell_parts, index_parts, nearest_cells, with_part
 from newsloom.operators.search import DIGITS, block_candidates, exact_topk, list_matrix, merge_topk, with_vector
 from newsloom.schemas import EF_SEARCH, GRAPH_M, TOP_K
-from newsloom.session import BROADCAST_BYTES, broadcast_if_small, materialize
+from newsloom.session import BROADCAST_BYTES, broadcast_if_small, fresh_path, materialize
 
 KEY = ["qid", "vec_id", "part"]
+KEY_BYTES = 48  # of one row (qid, vec_id, part) in a broadcast
+BUCKET_NODES = 40_000  # nodes of one bucket, some 64 MB
+POPULAR = 64  # a node that more than this share of a hop's rows ask for is sent to them
 
 
 def knn_edges(near: DataFrame, m=GRAPH_M) -> DataFrame:
@@ -84,19 +90,64 @@ def _row_dots(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(np.round(sims, DIGITS))
 
 
-def expand(frontier: DataFrame, nodes: DataFrame, visited: DataFrame) -> DataFrame:
-    """One hop: (qid, vec_id, part) of the unvisited neighbours of the frontier.
+class NodeTable:
+    """The node table as the hops of a walk read it.
 
-    The frontier has a bounded size (see ``graph_search``) and is broadcast: the
-    node table is read where it lies, only in the parts that the frontier names.
+    Wanted rows that fit a broadcast go to the nodes, of which only the parts that
+    they name are read. Any more of them are shuffled, by themselves, to a copy of
+    the nodes in buckets of ids, written once. Nodes are never shuffled in a hop.
     """
-    # always true: Spark prunes partitions by a join only if that side is filtered
-    step = F.broadcast(frontier.select(*KEY).filter("part >= 0"))
-    reached = (
-        nodes.select("part", "vec_id", "neighbours").join(step, ["part", "vec_id"])
-        .select("qid", F.explode("neighbours").alias("_n"))
-        .select("qid", "_n.vec_id", "_n.part", F.lit(True).alias("unseen"))
-    )
+
+    def __init__(self, nodes: DataFrame, limit=BROADCAST_BYTES):
+        self.nodes, self.limit, self._bucketed = nodes, limit, None
+        self.spark = nodes.sparkSession
+
+    def fits(self, rows) -> bool:
+        return rows * KEY_BYTES <= self.limit
+
+    def bucketed(self) -> DataFrame:
+        if self._bucketed is None:
+            # below Spark's own number of partitions it would shuffle the buckets anew
+            count = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            count = max(count, -(-self.nodes.count() // BUCKET_NODES))
+            self._bucketed = "newsloom_nodes_" + uuid.uuid4().hex
+            (
+                self.nodes.select("vec_id", "embedding", "neighbours").repartition(count, "vec_id")
+                .write.bucketBy(count, "vec_id").option("path", fresh_path(self.spark, "node-buckets"))
+                .saveAsTable(self._bucketed)
+            )
+        return self.spark.table(self._bucketed)
+
+    def drop(self):
+        if self._bucketed is not None:
+            self.spark.sql(f"DROP TABLE {self._bucketed}")  # its files go with the shared folder
+            self._bucketed = None
+
+    def of(self, wanted: DataFrame, column: str, most: int, stored=True) -> DataFrame:
+        """The rows (qid, vec_id, part) with a column of their nodes. ``most`` bounds
+        their number; only beyond a broadcast are the rows counted themselves."""
+        if not self.fits(most):
+            if not stored:
+                wanted = materialize(wanted.select(*KEY), "wanted")
+            most = wanted.count()
+        if self.fits(most):
+            # always true: Spark prunes partitions by a join only if that side is filtered
+            step = F.broadcast(wanted.select(*KEY).filter("part >= 0"))
+            return self.nodes.select("part", "vec_id", column).join(step, ["part", "vec_id"])
+        nodes = self.bucketed().select("vec_id", column)
+        # fewer than POPULAR nodes can have so many of the rows; they come to the rows
+        many = wanted.groupBy("vec_id").count().filter(F.col("count") > most // POPULAR).select("vec_id").collect()
+        popular = F.col("vec_id").isin([r["vec_id"] for r in many])
+        rest = nodes.join(wanted.filter(~popular).hint("shuffle_hash"), "vec_id")
+        if not many:
+            return rest
+        return rest.unionByName(wanted.filter(popular).join(F.broadcast(nodes.filter(popular)), "vec_id"))
+
+
+def _unvisited(reached: DataFrame, visited: DataFrame) -> DataFrame:
+    """(qid, vec_id, part) of the neighbours, once each and without the visited nodes."""
+    reached = reached.select("qid", F.explode("neighbours").alias("_n")).select(
+        "qid", "_n.vec_id", "_n.part", F.lit(True).alias("unseen"))
     # one shuffle both removes repeats and leaves out the visited nodes
     return (
         reached.union(visited.select(*KEY, F.lit(False).alias("unseen")))
@@ -105,27 +156,30 @@ def expand(frontier: DataFrame, nodes: DataFrame, visited: DataFrame) -> DataFra
     )
 
 
+def expand(frontier: DataFrame, nodes: DataFrame, visited: DataFrame) -> DataFrame:
+    """One hop: (qid, vec_id, part) of the unvisited neighbours of a frontier that
+    fits a broadcast."""
+    return _unvisited(NodeTable(nodes).of(frontier, "neighbours", 0), visited)
+
+
 def graph_search(
     nodes, entries, queries, k=TOP_K, ef=EF_SEARCH, members=None, max_hops=None, m=GRAPH_M, limit=BROADCAST_BYTES,
 ) -> DataFrame:
     """Walk from the entries, keeping the ``ef`` best nodes of each query, until
     every kept node has been expanded (or ``max_hops``).
 
-    Queries walk in blocks, so many that what a hop reaches, at most ef * 2m rows
-    per query, fits a broadcast. Each hop is one job that writes the nodes it
-    scored; no hop shuffles the node table.
+    All queries walk together: a hop expands the newest rows of all beams in one job
+    and writes the nodes it scored in another, for any number of queries. Where the
+    rows of a hop outgrow ``limit`` bytes, see ``NodeTable``.
     """
     asked = with_vector(queries).select("qid", l2_normalize(F.col("embedding")).alias("_query"))
     asked = materialize(asked, "asked")
     entries = materialize(entries.select(*KEY).distinct(), "entries")
-    first = asked.select(F.size("_query").alias("d")).first()
-    row = max(ef * 2 * m * 48, 8 * (first["d"] if first else 0))
-    blocks = max(1, -(-asked.count() * row // limit))
-    found = None
-    for b in range(blocks):
-        own = F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b
-        part = _walk(nodes, entries.filter(own), asked.filter(own), ef, max_hops)
-        found = part if found is None else found.unionByName(part)
+    table = NodeTable(nodes, limit)
+    try:
+        found = _walk(table, entries, asked, ef, max_hops, m)
+    finally:
+        table.drop()
     if members is not None:
         # a node stands for all its copies; only the k smallest ids can rank
         by = Window.partitionBy("node").orderBy("vec_id")
@@ -137,33 +191,33 @@ def graph_search(
     return merge_topk(found, k)
 
 
-def _walk(nodes, entries, asked, ef, max_hops) -> DataFrame:
-    """The beams (qid, vec_id, sim) of one block of queries at the end of their walk.
+def _walk(table: NodeTable, entries, asked, ef, max_hops, m) -> DataFrame:
+    """The beams (qid, vec_id, sim) of the queries at the end of their walk.
 
     The rows that all hops scored are the visited set, and the best of them are
     the beam. A node that enters the beam does so in the hop that scored it, so
     only the last hop's rows in the beam are still to be expanded.
     """
-    places = nodes.select("part", "vec_id", "embedding")
+    walkers = asked.count()
+    query = broadcast_if_small(asked, limit=table.limit)
     similarity = F.arrow_udf(_row_dots, "double")
     best = Window.partitionBy("qid").orderBy(F.desc("sim"), "vec_id")
 
-    def score(fresh, hop):
+    def score(fresh, hop, most):
+        placed = table.of(fresh, "embedding", most).join(query, "qid")
         return materialize(
-            places.join(F.broadcast(fresh.filter("part >= 0")), ["part", "vec_id"])
-            .join(F.broadcast(asked), "qid")
-            .select(*KEY, similarity("embedding", "_query").alias("sim"), F.lit(hop).alias("hop")),
-            "scored",
-        )
+            placed.select(*KEY, similarity("embedding", "_query").alias("sim"), F.lit(hop).alias("hop")), "scored")
 
     def beam_of(rows):
         return rows.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= ef)
 
-    hop, last = 0, score(entries, 0)
+    hop, last = 0, score(entries, 0, entries.count())
     scored = last
     while (max_hops is None or hop < max_hops) and not last.isEmpty():
         frontier = beam_of(scored).filter(F.col("hop") == hop)
         hop += 1
-        last = score(materialize(expand(frontier, nodes, scored), "reached"), hop)
+        reached = table.of(frontier, "neighbours", walkers * ef, stored=False)
+        fresh = materialize(_unvisited(reached, scored), "reached")
+        last = score(fresh, hop, walkers * ef * 2 * m)
         scored = scored.unionByName(last)  # a hop adds its own rows, and rewrites none
     return beam_of(scored).select("qid", "vec_id", "sim")

@@ -136,6 +136,23 @@ def recall_series(spark, sf):
     return benchmark.labelled(recall_by_scale(spark, sf)).select("label", "scale", "recall")
 
 
+def method_recall(spark, sf):
+    """Recall of all three methods over the whole table."""
+    found = benchmark.method_recall(vectors(spark, sf), N_QUERIES, TOP_K, GRAPH_PROBES)
+    return found.withColumn("recall", F.round("recall", 6))
+
+
+def comparison_chart(spark, sf):
+    """The comparison with what must hold of its times: a time for each build but that
+    of the exact search, a time a query, and its logarithm."""
+    rows = benchmark.chart_series(benchmark.compare_searches(vectors(spark, sf), SCALES))
+    return rows.select(
+        "label", "scale", (F.col("build_time_s") > 0).alias("built"), (F.col("avg_query_ms") > 0).alias("timed"),
+        (F.abs(F.pow(F.lit(10.0), "log10_query_ms") - F.col("avg_query_ms")) < 1e-6 * F.col("avg_query_ms")).alias("on_log_axis"),
+        ((F.col("recall_at_10") >= F.lit(0.0)) & (F.col("recall_at_10") <= 1)).alias("has_recall"),
+    )
+
+
 def search_comparison(spark, sf):
     """The whole comparison with measured times (which differ between runs)."""
     return benchmark.chart_series(benchmark.compare_searches(vectors(spark, sf), SCALES))
@@ -145,7 +162,8 @@ QUERIES = {
     f.__name__: f
     for f in [
         l2_normalize, nested_sample, query_sample, exact_topk, ivf_assign, ivf_probe, ivf_search, ivf_search_all,
-        recall_at_k, knn_graph, graph_expand, graph_search, recall_by_scale, recall_series, search_comparison,
+        recall_at_k, knn_graph, graph_expand, graph_search, recall_by_scale, recall_series, method_recall,
+        comparison_chart, search_comparison,
     ]
 }
 
@@ -267,6 +285,17 @@ ORACLES = {
     "graph_search": _GRAPH.rstrip().replace("edges AS (", "edges AS MATERIALIZED (") + ",\n" + _WALK + f"""
 SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY s DESC, c.vec_id) AS rank, c.vec_id, round(s, 6) AS sim
 FROM last JOIN copies c ON c.node = last.vec_id QUALIFY rank <= {TOP_K}""",
+    "method_recall": (
+        _INDEX.rstrip() + ",\n" + _EDGES.replace("edges AS (", "edges AS MATERIALIZED (") + ",\n" + _WALK + f""",
+walked AS (
+  SELECT qid, c.vec_id FROM last JOIN copies c ON c.node = last.vec_id
+  QUALIFY row_number() OVER (PARTITION BY qid ORDER BY s DESC, c.vec_id) <= {TOP_K}),
+found AS (
+  SELECT 'brute_force' AS method, qid, vec_id FROM exact UNION ALL SELECT 'ivf', qid, vec_id FROM probed
+  UNION ALL SELECT 'graph', qid, vec_id FROM walked)
+SELECT method, (SELECT count(DISTINCT qid) FROM exact) AS n_queries,
+  round(count(*) / ((SELECT count(DISTINCT qid) FROM exact) * {TOP_K}), 6) AS recall
+FROM found SEMI JOIN exact USING (qid, vec_id) GROUP BY method"""),
     "ivf_search_all": with_(UNIT, POSITIONED, _QUERIES, _EXACT)
     + "SELECT qid, rank, vec_id, round(sim, 6) AS sim FROM exact",
     "graph_expand": _GRAPH + "SELECT DISTINCT src AS qid, dst AS vec_id FROM edges WHERE src IN (SELECT qid FROM queries)",
@@ -274,3 +303,8 @@ FROM last JOIN copies c ON c.node = last.vec_id QUALIFY rank <= {TOP_K}""",
 
 _LABELS = " ".join(f"WHEN method = '{m}' THEN '{label}'" for m, label in METHOD_LABELS.items())
 ORACLES["recall_series"] = f"SELECT CASE {_LABELS} END AS label, scale, recall FROM ({ORACLES['recall_by_scale']}) a"
+ORACLES["comparison_chart"] = " UNION ".join(  # a scale that is the whole table counts once
+    f"""SELECT '{label}' AS label, least({s or "count(*)"}, count(*)) AS scale, {method != "brute_force"} AS built,
+  true AS timed, true AS on_log_axis, true AS has_recall FROM embeddings"""
+    for method, label in METHOD_LABELS.items() for s in SCALES
+)

@@ -240,6 +240,41 @@ def test_graph_search_without_entries(generated, queries, centres):
     assert graph.graph_search(nodes, none, queries, 10).count() == 0
 
 
+def test_any_number_of_queries_walks_in_the_same_jobs(generated, centres, monkeypatch):
+    """Beyond a broadcast the answer is the same, and so are the tables a walk writes."""
+    nodes, members = graph.build_graph(generated, centres, m=8, nprobe=4)
+    written = []
+    monkeypatch.setattr(graph, "materialize", lambda df, name, *a, **kw: written.append(name) or materialize(df, name, *a, **kw))
+
+    def walk(count, limit, popular=64):
+        monkeypatch.setattr(graph, "POPULAR", popular)
+        asked = generated.filter(f"vec_id < {count}").select(F.col("vec_id").alias("qid"), "embedding")
+        entries = graph.entry_points(centres, nodes, asked)
+        written.clear()
+        found = got(graph.graph_search(nodes, entries, asked, 10, members=members, max_hops=3, limit=limit))
+        return found, list(written)
+
+    want, _ = walk(60, 1 << 26)
+    few, few_tables = walk(6, 0)
+    many, many_tables = walk(60, 0)
+    assert many == want and few == {row for row in want if row[0] < 6} and few_tables == many_tables
+    assert walk(60, 0, popular=10**9)[0] == want  # every node that is asked for twice comes to the rows
+    assert not generated.sparkSession.catalog.listTables()
+
+
+def test_a_large_hop_shuffles_no_node(generated, centres, plan_of):
+    nodes, _ = graph.build_graph(generated, centres, m=4, nprobe=2)
+    wanted = materialize(nodes.select(F.col("vec_id").alias("qid"), "vec_id", "part"), "wanted")
+    table = graph.NodeTable(nodes, limit=0)
+    found = table.of(wanted, "embedding", 10**9)
+    plan = plan_of(found, "simple")
+    assert "Bucketed: true" in plan and "ShuffledHashJoin" in plan
+    assert plan.count("Exchange") == 1  # of the rows asked for
+    assert plan.index("Exchange") > plan.index("Bucketed: true")
+    assert found.count() == nodes.count()
+    table.drop()
+
+
 def test_nested_samples_nest(generated):
     p = sampling.shuffle_positions(generated)
     assert sorted(r["pos"] for r in p.select("pos").collect()) == list(range(1, 501))
