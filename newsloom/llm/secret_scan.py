@@ -29,6 +29,7 @@ from newsloom.session import broadcast_if_small, materialize
 
 WORD_BITS = 62  # trigrams of one mask column
 EXPANDED = 64  # strings a pattern's part may stand for before it is cut
+BLOCK = 128  # spans that are put into place, or cut out of a text, together
 
 
 @dataclass(frozen=True)
@@ -169,6 +170,30 @@ def candidates(index: DataFrame, rules) -> DataFrame:
     return hits.select("doc", mask.alias("rules")).filter("rules <> 0")
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """An array as slices of BLOCK, at least one. Arrays grow by copying, so they are
+    appended to within a slice only: the work grows with the items, not their square."""
+    last = F.greatest(F.size(items) - 1, F.lit(0))
+    return F.transform(
+        F.sequence(F.lit(0), F.floor(last / BLOCK).cast("int")), lambda b: F.slice(items, b * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _starts(blocks: Column, step) -> Column:
+    """The running value before each block; ``step`` takes it past a block."""
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(
+        blocks, state,
+        lambda acc, block: F.struct(
+            step(acc["at"], block).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        lambda acc: acc["out"],
+    )
+
+
 def rule_spans(text: Column, rule: Rule, number: int) -> Column:
     """Spans (start, kind, end) of one rule in code points, leftmost first.
 
@@ -176,9 +201,8 @@ def rule_spans(text: Column, rule: Rule, number: int) -> Column:
     give the places.
     """
     pattern = F.lit(rule.pattern)
-    whole = F.regexp_extract_all(text, pattern, F.lit(0))
     value = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    parts = F.zip_with(
+    parts = _bound(F.regexp_extract_all(text, pattern, F.lit(0)), lambda whole: F.zip_with(
         F.zip_with(
             F.slice(F.split(text, rule.pattern, -1), F.lit(1), F.size(whole)), whole,
             lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("size")),
@@ -186,7 +210,7 @@ def rule_spans(text: Column, rule: Rule, number: int) -> Column:
         value,
         lambda part, v: F.struct(part["gap"].alias("gap"), part["size"].alias("size"),
                                  (F.length(v) >= rule.least).alias("kept")),
-    )
+    ))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
     def step(acc, part):
@@ -196,8 +220,12 @@ def rule_spans(text: Column, rule: Rule, number: int) -> Column:
         return F.struct(end.alias("at"), F.when(part["kept"], F.concat(acc["out"], F.array(span)))
                         .otherwise(acc["out"]).alias("out"))
 
-    found = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.rlike(text, pattern), found).otherwise(none)
+    def placed(blocks):
+        starts = _starts(blocks, lambda at, block: F.aggregate(block, at, lambda n, part: n + part["gap"] + part["size"]))
+        return F.flatten(F.zip_with(blocks, starts, lambda block, at: F.aggregate(
+            block, F.struct(at.alias("at"), none.alias("out")), step, lambda acc: acc["out"])))
+
+    return F.when(F.rlike(text, pattern), _bound(_bound(parts, _blocks), placed)).otherwise(none)
 
 
 def scan(docs: DataFrame, rules=RULES, doc="doc_id", text="text") -> DataFrame:
@@ -225,20 +253,35 @@ def scan(docs: DataFrame, rules=RULES, doc="doc_id", text="text") -> DataFrame:
 
 
 def redact(scanned: DataFrame, text="text", mark="[secret]") -> DataFrame:
-    """Replace every span by ``mark``, overlapping spans by one."""
+    """Replace every span by ``mark``, overlapping spans by one.
+
+    A block of spans cuts its own piece out of the text once, so a text is read once
+    a block and not once a span.
+    """
     content = F.coalesce(F.col(text), F.lit(""))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc, span):
-        gap = F.substr(content, acc["at"] + 1, span["start"] - acc["at"])
-        new = F.struct(span["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out"))
-        longer = F.struct(F.greatest(acc["at"], span["end"]).alias("at"), acc["out"].alias("out"))
-        return F.when((span["start"] >= acc["at"]), new).otherwise(longer)
+    def past(at, block):
+        return F.greatest(at, F.coalesce(F.array_max(F.transform(block, lambda s: s["end"])), F.lit(0)))
 
-    cleaned = F.aggregate(
-        "spans", start, step,
-        lambda acc: F.concat(acc["out"], F.substr(content, acc["at"] + 1, F.length(content))),
-    )
+    def piece(block, at):
+        return F.struct(
+            block.alias("spans"), at.alias("at"), F.substr(content, at + 1, past(at, block) - at).alias("own"))
+
+    def marked(part):
+        def step(acc, span):
+            gap = F.substr(part["own"], acc["at"] - part["at"] + 1, span["start"] - acc["at"])
+            new = F.struct(span["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out"))
+            longer = F.struct(F.greatest(acc["at"], span["end"]).alias("at"), acc["out"].alias("out"))
+            return F.when(span["start"] >= acc["at"], new).otherwise(longer)
+
+        start = F.struct(part["at"].alias("at"), F.lit("").alias("out"))
+        return F.aggregate(part["spans"], start, step, lambda acc: acc["out"])
+
+    def pieces(blocks):
+        return F.array_join(F.transform(F.zip_with(blocks, _starts(blocks, past), piece), marked), "")
+
+    rest = F.substr(content, past(F.lit(0), F.col("spans")) + 1, F.length(content))
+    cleaned = F.concat(_bound(_blocks(F.col("spans")), pieces), rest)
     return scanned.withColumn(text, F.when(F.size("spans") > 0, cleaned).otherwise(F.col(text)))
 
 

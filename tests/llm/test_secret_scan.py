@@ -99,6 +99,21 @@ def test_redact(spark):
     assert again.filter(F.size("spans") > 0).count() == 0
 
 
+@pytest.mark.parametrize("n", [S.BLOCK - 1, S.BLOCK, S.BLOCK + 1, 3000])
+def test_texts_with_many_hits(spark, n):
+    """Spans over the borders of blocks, overlapping ones and dropped ones among them."""
+    text = "é" + " x ".join(f"token=abcdefabcdefabcdef{i:04x}" if i % 3 else f"key{i} secret=short" for i in range(n))
+    row = S.redact(S.scan(table(spark, [text])).withColumn("before", F.col("text"))).first()
+    found = brute(text)
+    assert [tuple(s) for s in row["spans"]] == found and row["before"] == text
+    upto, out = 0, ""
+    for start, _, end in found:
+        if start >= upto:
+            out += text[upto:start] + "[secret]"
+        upto = max(upto, end)
+    assert row["text"] == out + text[upto:]
+
+
 def test_empty_table(spark):
     assert S.digest(S.scan(spark.createDataFrame([], "doc_id long, text string"))).collect() == []
 
