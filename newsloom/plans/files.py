@@ -8,7 +8,7 @@ from newsloom.plans.feed import MIN_CHARS, PAGE_MARKERS, _ARTICLES, _NEW
 from newsloom.plans.articles import ORACLES as ARTICLE_SQL
 from newsloom.plans.tables import CORPUS, SEEN, blocked, corpus, entries, seen, table, with_
 from newsloom.schemas import CORPUS_COLUMNS, NA_TOKENS, SHARD_COLUMNS
-from newsloom.session import fresh_path
+from newsloom.session import fresh_path, measured_bytes
 from newsloom.sources import corpus as files
 from newsloom.sources import feeds, manifest, shards
 from newsloom.sources.vectors import read_vectors
@@ -16,6 +16,7 @@ from newsloom.streaming import ingest as job
 from newsloom.streaming import log
 
 CSV_RANGE = 1 << 18  # several ranges on the smallest tables
+CSV_FILE_BYTES = 256 << 20  # of text in a CSV file, which one task writes
 
 
 def write_feed(items, path, broken=None, compression="none"):
@@ -93,9 +94,11 @@ def csv_corpus(spark, sf):
 
 
 def csv_ranges(spark, sf):
-    """The corpus as a single CSV file, landed by many tasks."""
+    """The corpus as a single CSV file, landed by many tasks. A corpus that is more than
+    one task should write is several such files, each of many ranges."""
     path = fresh_path(spark, "csv")
-    files.write_csv(corpus(spark, sf).coalesce(1), path, CORPUS_COLUMNS)
+    n_files = max(1, -(-measured_bytes(table(spark, sf, "documents")) // CSV_FILE_BYTES))
+    files.write_csv(corpus(spark, sf).coalesce(n_files), path, CORPUS_COLUMNS)
     return _hashed(files.land(spark, path, fresh_path(spark, "landed"), range_bytes=CSV_RANGE))
 
 

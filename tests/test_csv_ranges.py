@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from newsloom.plans import files as queries
 from newsloom.sources import corpus, csv_ranges
 
 LONG = 'long\nfield, with ""quotes"" and\r\n' * 60
@@ -92,3 +93,22 @@ def test_states_chain_over_any_borders(rows, first, second):
         inside = said["inside"]
     assert not inside and not pieces
     assert sorted(records) == sorted(",".join('"' + f.replace('"', '""') + '"' for f in row) for row in rows)
+
+
+def test_no_task_writes_more_than_a_file(spark, tmp_path, monkeypatch):
+    """A corpus that outgrows a file is written by several tasks, with the same rows."""
+    rows = [(i, f"title {i}\n" + "text, " * 500, "src") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.repartition(8).write.parquet(str(tmp_path / "documents.parquet"))
+    written = []
+    write = corpus.write_csv
+    monkeypatch.setattr(queries.files, "write_csv", lambda df, path, columns: written.append(path) or write(df, path, columns))
+
+    def landed_rows():
+        return sorted(map(str, queries.csv_ranges(spark, str(tmp_path)).collect()))
+
+    one = landed_rows()
+    monkeypatch.setattr(queries, "CSV_FILE_BYTES", 80_000)
+    assert landed_rows() == one and len(one) == 80
+    n_files = [spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).count() for path in written]
+    assert n_files[0] == 1 and n_files[1] > 1
