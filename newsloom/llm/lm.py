@@ -4,13 +4,15 @@ The model mixes maximum-likelihood estimates of orders two, one and zero:
 
     P(w | h) = a(b) c(h, w) / c(h) + b(b) c(w) / N + z(b) / (V + 1)
 
-A context h is the class of the word before (a hash into ``CLASSES`` classes, so
-that the table of contexts has a fixed size). The weights belong to the bucket b
+In ``score_texts``, and so in the query, a context h is the word before (see
+``word_lm``). ``learn`` and ``log_scores`` hold the model with contexts of a bounded
+number, which no query uses: there h is the class of the word before (a hash into
+``CLASSES`` classes, so that the table of contexts has a fixed size). The weights belong to the bucket b
 of the context's frequency, its binary logarithm, and are learned by expectation
 maximisation on deleted counts: every training token is predicted from the
 counts without itself, so all of the corpus serves as held-out data.
 
-Work is split by word. The most frequent words of a small sample, and the end
+With classes, work is split by word. The most frequent words of a small sample, and the end
 token, are looked up in a table of HOT x CLASSES counts, broadcast and bounded by
 these parameters; they carry half of all tokens and never enter a shuffle. Which
 words these are changes the work and not the result. All other words are counted
@@ -49,9 +51,9 @@ def is_held_out(doc: Column, folds=FOLDS, fold=HELD_OUT) -> Column:
     return F.crc32(F.coalesce(doc.cast("string"), F.lit(""))) % folds == fold
 
 
-def _tokens(texts):
-    """(word, class of the word before, number of the text) of every token of a
-    list of bytes, end tokens included, in order."""
+def words_of(texts):
+    """(word, number of the text) of every token of a list of bytes, end tokens
+    included, in order."""
     hashes, starts, _ = byte_class_hashes(b"\n".join(texts), IS_WORD)
     hashes = np.maximum(hashes, np.uint64(2))
     borders = np.cumsum([len(t) + 1 for t in texts])
@@ -63,12 +65,20 @@ def _tokens(texts):
     place = np.arange(len(hashes)) + text_of
     word[place] = hashes
     word[ends] = END
+    return word, np.repeat(np.arange(n), counts + 1)
+
+
+def _tokens(texts):
+    """(word, class of the word before, number of the text) of every token of a
+    list of bytes, end tokens included, in order."""
+    word, text_of = words_of(texts)
     before = np.empty_like(word)
     before[1:] = word[:-1]
-    before[np.concatenate([[0], ends[:-1] + 1])] = START
+    before[0] = START
+    before[1:][word[:-1] == END] = START
     mixed = (before ^ (before >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25)
     cls = (mixed >> np.uint64(64 - CLASSES.bit_length() + 1)).astype(np.int64)
-    return word, cls, np.repeat(np.arange(n), counts + 1)
+    return word, cls, text_of
 
 
 def _groups(batches):
@@ -359,12 +369,16 @@ def numbered(docs: DataFrame, doc="doc_id", text="text") -> DataFrame:
 
 
 def score_texts(docs: DataFrame, doc="doc_id", text="text") -> DataFrame:
-    """Learn from the documents that are not held out, and score them all."""
-    rows = numbered(docs, doc, text)
-    model = learn(rows)
-    return log_scores(rows, model).select(
+    """Learn from the documents that are not held out, and score them all. A token's
+    context is the word before it."""
+    from newsloom.llm import word_lm  # which uses this module
+
+    chunks = word_lm.chunks_of(numbered(docs, doc, text))
+    replies = word_lm.replies_to(chunks)
+    model = word_lm.learn(chunks, replies)
+    return word_lm.log_scores(chunks, replies, model).select(
         F.col("doc").alias(doc), is_held_out(F.col("doc")).alias("held_out"), "n_tokens", "n_known",
-        F.lit(model.counts.total).cast("bigint").alias("train_tokens"),
+        F.lit(model.total).cast("bigint").alias("train_tokens"),
         F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"),
     )
 
