@@ -304,15 +304,16 @@ def public_vocabulary(spark, name="byte_bpe_50k.json", remembered=REMEMBERED):
     return share(spark, public_tokenizers.path(name), public_tokenizers.PATTERN, remembered)
 
 
-def digest(tokens: DataFrame) -> DataFrame:
+def digest(tokens: DataFrame, decoded_sha256: Column | None = None) -> DataFrame:
     return tokens.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.sha2("decoded", 256) if decoded_sha256 is None else decoded_sha256).alias("decoded_sha256"),
     )
 
 
 def query(spark, sf_dir) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return digest(with_tokens(docs, public_vocabulary(spark)))
+    tokens = with_digests(docs, public_vocabulary(spark)).select("doc_id", "tokens.*")
+    return digest(tokens, F.col("decoded_sha256"))

@@ -89,3 +89,13 @@ def test_digests_equal_the_decoded_texts(spark):
     whole = bpe.with_tokens(docs.drop("ids"), bpe.public_vocabulary(spark))
     want = whole.select("doc_id", bpe.F.lit(1), "ids", bpe.F.sha2("decoded", 256))
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+def test_the_query_sends_each_text_to_python_once(spark, plan_of):
+    """A decoder on top of the encoder's column ran the encoder twice, once for each column."""
+    got = bpe.query(spark, "/root/testdata/sf0.001")
+    assert "run(text" in plan_of(got) and "run(run(" not in plan_of(got)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    want = bpe.digest(bpe.with_tokens(docs, bpe.public_vocabulary(spark)))
+    assert "run(run(" in plan_of(want)
+    assert sorted(got.collect()) == sorted(want.collect())
