@@ -13,6 +13,8 @@ best score, which is its threshold in the next, larger part. There the weakest
 terms, those whose largest impacts together stay below the threshold, cannot
 make a document rank: the other terms are added up first, and a block is opened
 for the weak terms only if its maxima leave one of its documents in reach.
+A term that many documents of a shard hold has a row of impacts on all of them
+and of maxima of all blocks, which are added up as arrays.
 Without a threshold a shard first scores the blocks with the highest bounds. No
 document that could rank is skipped; ties are broken by document id, then row.
 
@@ -39,6 +41,7 @@ from newsloom.session import materialize
 K1, B = 1.2, 0.75
 TOP = 10
 BLOCK = 16  # documents
+COMMON = 8  # a term of more than one in so many documents of a shard has a row with all of them
 FIRST_BLOCKS = 16  # opened before there is a threshold
 PARTS, ROUND_ENDS = 64, (1, 8, 64)  # parts of the corpus that each round has searched by its end
 SHARD_POSTINGS = 3 << 19
@@ -148,7 +151,18 @@ class Shard:
         if held.any():
             self.peak[held] = np.maximum.reduceat(self.most, self.of_term[:-1][held])
         self.start = np.append(self.start, len(self.doc))
+        self.first = self.start[self.of_term]  # the first posting of each term
         self.blocks = blocks
+        self.block_of = np.arange(len(self.rows)) // BLOCK
+        # common terms: the impact on every document, and the largest of each block
+        held = np.diff(self.first)
+        common = np.flatnonzero(held * COMMON > len(self.rows))
+        self.common = np.full(len(held), -1, np.int32)
+        self.common[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), len(self.rows)))
+        at = _ranges(self.first[common], self.first[common + 1])
+        self.dense[np.repeat(np.arange(len(common)), held[common]), self.doc[at]] = self.impact[at]
+        self.ceiling = np.maximum.reduceat(self.dense, np.arange(0, len(self.rows), BLOCK), axis=1)
 
     def _open(self, segments, chosen, scores):
         """Add up the impacts of the segments that lie in the chosen blocks."""
@@ -156,6 +170,16 @@ class Shard:
         at = _ranges(self.start[own], self.start[own + 1])
         return scores + np.bincount(self.doc[at], weights=self.impact[at], minlength=len(scores))
 
+    def _whole(self, terms):
+        """The impacts of the terms added up on all documents."""
+        rows = self.common[terms]
+        rare = terms[rows < 0]
+        at = _ranges(self.first[rare], self.first[rare + 1])
+        scores = np.bincount(self.doc[at], weights=self.impact[at], minlength=len(self.rows)).astype(float)
+        for row in rows[rows >= 0]:
+            scores += self.dense[row]
+        return scores
+
     def _bound(self, segments):
         """The most that these segments' terms add to any document, by block."""
         return np.bincount(self.block[segments], weights=self.most[segments], minlength=self.blocks)
@@ -167,12 +191,12 @@ class Shard:
         """Places and scores of the best documents of this shard, those below
         ``least`` left out."""
         terms = terms[self.of_term[terms + 1] > self.of_term[terms]]
-        segments = self._segments(terms)
-        if not len(segments):
+        if not len(terms):
             return np.empty(0, np.int64), np.empty(0)
-        scores = np.zeros(len(self.rows))
-        rest = np.ones(self.blocks, bool)
+        scores = rest = None
         if not least and self.blocks > FIRST_BLOCKS:
+            scores = np.zeros(len(self.rows))
+            segments = self._segments(terms)
             bound = self._bound(segments)
             first = np.zeros(self.blocks, bool)
             first[np.argpartition(-bound, FIRST_BLOCKS)[:FIRST_BLOCKS]] = True
@@ -184,17 +208,26 @@ class Shard:
         # only in blocks where the others leave a document in reach
         order = np.argsort(self.peak[terms])
         weak = np.cumsum(self.peak[terms][order]) < least
-        strong, weak = self._segments(terms[order[~weak]]), self._segments(terms[order[weak]])
-        scores = self._open(strong, rest, scores)
-        block_of = np.arange(len(scores)) // BLOCK
-        reach = scores + self._bound(weak)[block_of]
-        last = np.zeros(self.blocks, bool)
-        last[block_of[(reach >= least) & (scores > 0) & rest[block_of]]] = True
-        scores = self._open(weak, last, scores)
-        # where weak terms are missing the sums are too low to rank
-        scores[rest[block_of] & ~last[block_of]] = 0.0
-        scores[scores < least] = 0.0
-        found = np.flatnonzero(scores > 0)
+        strong, weak = terms[order[~weak]], terms[order[weak]]
+        if rest is None:
+            scores = self._whole(strong)
+            near = np.flatnonzero(scores > 0)
+        else:
+            scores = self._open(self._segments(strong), rest, scores)
+            near = np.flatnonzero((scores > 0) & rest[self.block_of])
+        if len(weak):
+            rows = self.common[weak]
+            segments, rows = self._segments(weak[rows < 0]), rows[rows >= 0]
+            rare, bound = self._bound(segments), self.ceiling[rows].sum(axis=0)
+            near = near[scores[near] + (rare + bound)[self.block_of[near]] >= least]
+            scores[near] += self.dense[rows[:, None], near].sum(axis=0)
+            near = near[scores[near] + rare[self.block_of[near]] >= least]
+            last = np.zeros(self.blocks, bool)
+            last[self.block_of[near]] = True
+            scores = self._open(segments, last, scores)
+        # all others miss weak terms, or were not opened, and are too low to rank
+        found = near if rest is None else np.append(np.flatnonzero((scores > 0) & ~rest[self.block_of]), near)
+        found = found[scores[found] >= least]
         if len(found) > top:
             least = np.partition(scores[found], -top)[-top]
             found = found[scores[found] >= least - 2 * SLACK]

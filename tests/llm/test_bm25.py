@@ -117,3 +117,32 @@ def test_empty_table(spark):
     assert bm25.search(index, index).collect() == []
     blank = bm25.build_index(spark.createDataFrame([(0, None), (50, " ")], "doc_id long, text string"))
     assert bm25.search(blank, blank).collect() == []
+
+
+def test_common_terms_are_not_stepped_through(monkeypatch):
+    """With a threshold, neither postings nor blocks of common terms are listed one by one; exact all the same."""
+    rng = np.random.default_rng(6)
+    n = 3000
+    terms = [np.unique(rng.zipf(1.2, 60).clip(max=5000)) for _ in range(n)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(n)), pa.array(np.arange(n)), pa.array([len(t) for t in terms]),
+         pa.array([t.tolist() for t in terms], pa.list_(pa.int64())), pa.array([[1] * len(t) for t in terms], pa.list_(pa.int32()))],
+        names=["row", "doc", "length", "terms", "counts"],
+    )
+    every = np.unique(np.concatenate(terms))
+    df = np.bincount(np.searchsorted(every, np.concatenate(terms)))
+    queries = bm25.Queries([], [], [], every, np.log(1 + (n - df + 0.5) / (df + 0.5)), 20.0)
+    shard = bm25.Shard([batch], queries)
+    plain, listed, held = bm25._ranges, [], 0
+    for q in range(0, n, 61):
+        own = np.searchsorted(every, terms[q])
+        whole = np.zeros(n)
+        at = plain(shard.start[shard.of_term[own]], shard.start[shard.of_term[own + 1]])
+        np.add.at(whole, shard.doc[at], shard.impact[at])
+        best = np.lexsort((shard.rows, -np.round(whole, 6)))[:10]
+        with monkeypatch.context() as m:
+            m.setattr(bm25, "_ranges", lambda a, b: listed.append(int((b - a).sum())) or plain(a, b))
+            found, scores = shard.search(own, 10, whole[best[-1]])
+        assert found.tolist() == best.tolist() and np.allclose(scores, whole[best], atol=1e-6)
+        held += len(at)
+    assert sum(listed) < 0.25 * held
