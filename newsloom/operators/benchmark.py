@@ -23,6 +23,11 @@ def _timed(make):
     return result, time.perf_counter() - start
 
 
+def _subset(vectors, scale, total, seed):
+    """The vectors of a scale, stored once: every step reads them, and none the whole table for a few."""
+    return vectors if scale == total else materialize(first_rows(vectors, scale, seed=seed), "subset")
+
+
 def compare_searches(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=SEED) -> DataFrame:
     """RESULT rows (scale, method, build_time_s, avg_query_ms, recall_at_10)."""
     spark = vectors.sparkSession
@@ -40,7 +45,7 @@ def compare_searches(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=
         return recall_at_k(found, truth, k).first()["recall"]
 
     for scale in sizes:
-        subset = first_rows(vectors, None if scale == total else scale, seed=seed)
+        subset = _subset(vectors, scale, total, seed)
         truth, seconds = _timed(lambda: materialize(exact_topk(subset, queries, k), "truth"))
         record(scale, "brute_force", 0.0, seconds, 1.0)
 
@@ -77,7 +82,7 @@ def recall_by_scale(vectors, scales=SCALES, n_queries=N_QUERIES, k=TOP_K, seed=S
     )
     results = []
     for scale in sizes:
-        subset = first_rows(vectors, None if scale == total else scale, seed=seed)
+        subset = _subset(vectors, scale, total, seed)
         nlist = choose_nlist(scale)
         centres = materialize(sample_centroids(subset, nlist, seed), "centres")
         truth = materialize(exact_topk(subset, queries, k), "truth")

@@ -13,7 +13,8 @@ from newsloom.functions.vectors import dot, l2_normalize
 from newsloom.operators.copies import split_copies
 from newsloom.operators.sampling import first_by_hash
 from newsloom.operators.search import (
-    BLOCK_BYTES, DIGITS, BestK, exact_topk, floor_topk, list_matrix, probe_floors, probed_topk, unit_rows, with_vector,
+    BLOCK_BYTES, DIGITS, PRODUCT_CELLS, BestK, exact_topk, floor_topk, list_matrix, probe_floors, probed_topk, unit_matrix,
+    unit_rows, with_vector,
 )
 from newsloom.schemas import NPROBE_FRACTION, SEED, TOP_K
 from newsloom.session import BROADCAST_BYTES, broadcast_if_small, fits_broadcast, materialize
@@ -47,15 +48,26 @@ def _cell_sums(batches):
     """Sums of unit vectors by cell, one row for each cell that a task has seen."""
     sums = {}
     for batch in batches:
-        cells, x = batch.column(0).to_numpy(), unit_rows(batch.column(1))
-        for cell in np.unique(cells).tolist():
-            part = x[cells == cell].sum(axis=0)
+        if not batch.num_rows:
+            continue
+        cells, parts = _summed(batch.column(0).to_numpy(), unit_rows(batch.column(1)))
+        for cell, part in zip(cells.tolist(), parts):
             sums[cell] = sums[cell] + part if cell in sums else part
     if sums:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int64()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))],
-            names=["cell", "total"],
-        )
+        yield _sum_rows(list(sums), np.stack(list(sums.values())))
+
+
+def _summed(cells, x):
+    """The cells of some vectors, once each, and the sums of their vectors."""
+    order = np.argsort(cells, kind="stable")
+    starts = np.flatnonzero(np.diff(cells[order], prepend=cells[order[0]] - 1))
+    return cells[order][starts], np.add.reduceat(x[order], starts, axis=0)
+
+
+def _sum_rows(cells, sums):
+    offsets = pa.array(np.arange(len(sums) + 1) * sums.shape[1], pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(cells, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))], names=["cell", "total"])
 
 
 def _added(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -64,27 +76,24 @@ def _added(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table({"cell": pa.array([key[0].as_py()], pa.int64()), "total": pa.array([total.tolist()], pa.list_(pa.float64()))})
 
 
-def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10) -> DataFrame:
+def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10, limit=BROADCAST_BYTES) -> DataFrame:
     """Cosine k-means centres (cell, embedding), trained on all vectors.
 
     It starts from ``nlist`` vectors picked by hash. A round assigns every vector
     to its nearest centre where it lies, adds up unit vectors per cell in each
     task, and the sums of the tasks per cell. A cell without vectors keeps its
-    centre. Centres are a table all along and every round's are stored.
+    centre. Measured-small centres are held by the driver between the rounds, which
+    end when no centre moves any more; beyond that they are a table all along and
+    every round's are stored.
     """
     usable = with_vector(vectors).filter(dot(F.col("embedding"), F.col("embedding")) > 0).select("vec_id", "embedding")
     start = sample_centroids(usable, nlist, seed)
     centres = materialize(start.select(F.col("cell").cast("bigint"), F.col("embedding").cast("array<double>")), "centres")
+    if fits_broadcast(centres, limit):
+        return _train_held(usable, centres, iterations)
     for _ in range(iterations):
-        placed = assign_cells(usable, centres).select(F.col("cell").cast("bigint"), "embedding")
-        sums = placed.mapInArrow(_cell_sums, "cell bigint, total array<double>")
-        # a task's sums meet in levels, so that no cell gathers a row from every task at once
-        sums = sums.withColumn("level", F.spark_partition_id() % SUM_LEVEL)
-        sums = sums.groupBy("cell", "level").applyInArrow(_added, "cell bigint, total array<double>")
-        means = sums.groupBy("cell").applyInArrow(_added, "cell bigint, total array<double>")
-        # only directions matter; rounding makes them independent of the order of sums
-        moved = means.select("cell", l2_normalize(F.col("total")).alias("moved"))
-        moved = moved.withColumn("moved", F.transform("moved", lambda x: F.round(x, DIGITS)))
+        placed = assign_cells(usable, centres, limit).select(F.col("cell").cast("bigint"), "embedding")
+        moved = _moved(placed.mapInArrow(_cell_sums, "cell bigint, total array<double>"))
         centres = materialize(
             centres.join(moved, "cell", "left").select("cell", F.coalesce("moved", "embedding").alias("embedding")),
             "centres",
@@ -92,6 +101,91 @@ def train_centroids(vectors: DataFrame, nlist: int, seed=SEED, iterations=10) ->
     return centres
 
 
+def _moved(sums: DataFrame, levels: int = SUM_LEVEL) -> DataFrame:
+    """(cell, moved): the directions of the sums of all tasks."""
+    if levels > 1:
+        # a task's sums meet in levels, so that no cell gathers a row from every task at once
+        sums = sums.withColumn("level", F.spark_partition_id() % levels)
+        sums = sums.groupBy("cell", "level").applyInArrow(_added, "cell bigint, total array<double>")
+    means = sums.groupBy("cell").applyInArrow(_added, "cell bigint, total array<double>")
+    # only directions matter; rounding makes them independent of the order of sums
+    moved = means.select("cell", l2_normalize(F.col("total")).alias("moved"))
+    return moved.withColumn("moved", F.transform("moved", lambda x: F.round(x, DIGITS)))
+
+
+def _train_held(usable, centres, iterations) -> DataFrame:
+    """Rounds of one job each, whose new centres come to the driver."""
+    cells, held = _held(centres)
+    if not len(cells):
+        return centres
+    # few tasks send so few rows for a cell that one level adds them up
+    levels = SUM_LEVEL if usable.rdd.getNumPartitions() > SUM_LEVEL else 1
+    points = usable.select("embedding")
+    for _ in range(iterations):
+        matrix = unit_matrix(held)
+
+        def sums(batches, matrix=matrix):
+            total, seen = np.zeros(matrix.shape), np.zeros(len(matrix), bool)
+            for batch in batches:
+                if batch.num_rows:
+                    x = unit_rows(batch.column(0))
+                    places, parts = _summed(_nearest(x, matrix, 1)[:, 0], x)
+                    total[places] += parts
+                    seen[places] = True
+            if seen.any():
+                yield _sum_rows(cells[seen], total[seen])
+
+        table = _moved(points.mapInArrow(sums, "cell bigint, total array<double>"), levels).toArrow()
+        own, means = table["cell"].to_numpy(), list_matrix(table["moved"])
+        order = np.argsort(own)
+        place = np.searchsorted(own[order], cells)  # centres that share an id share their mean
+        hit = np.isin(cells, own)
+        moved = held.copy()
+        moved[hit] = means[order[place[hit]]]
+        if np.array_equal(moved, held):
+            break  # every further round would give the same
+        held = moved
+    table = pa.Table.from_batches([_sum_rows(cells, held).rename_columns(["cell", "embedding"])])
+    return materialize(usable.sparkSession.createDataFrame(table, centres.schema), "centres")
+
+
+def _held(centroids: DataFrame):
+    """Measured-small centres: their cells in order, and their vectors."""
+    table = centroids.select(F.col("cell").cast("bigint"), "embedding").toArrow().sort_by("cell")
+    return np.asarray(table["cell"].to_numpy(), dtype=np.int64), list_matrix(table["embedding"])
+
+
+def _nearest(x, matrix, count) -> np.ndarray:
+    """The places of the ``count`` nearest centres of each unit row, nearest first.
+    Similarities are compared after rounding, equal ones by place."""
+    count = min(count, len(matrix))
+    narrow = matrix.astype(np.float32).T
+    # two similarities further apart in single precision are in the same order in double
+    apart = 4 * (matrix.shape[1] + 4) * 2.0**-24 + 2 * 10.0**-DIGITS
+    picked = np.zeros((len(x), count), np.int64)
+    step = max(1, PRODUCT_CELLS // len(matrix))
+    for at in range(0, len(x), step):
+        own, out = x[at : at + step], picked[at : at + step]
+        if count == 1:
+            sims = own.astype(np.float32) @ narrow
+            out[:, 0] = sims.argmax(axis=1)
+            close = np.count_nonzero(sims >= sims.max(axis=1, keepdims=True) - np.float32(apart), axis=1)
+            unsure = np.flatnonzero(close > 1)
+            if len(unsure):
+                out[unsure, 0] = np.round(own[unsure] @ matrix.T, DIGITS).argmax(axis=1)
+            continue
+        sims = np.round(own @ matrix.T, DIGITS)
+        sims[np.isnan(sims)] = -np.inf
+        # stable sorts: equal similarities keep the order of the places
+        near = sims >= np.partition(sims, len(matrix) - count, axis=1)[:, len(matrix) - count, None]
+        tied = np.count_nonzero(near, axis=1) > count
+        places = np.nonzero(near[~tied])[1].reshape(-1, count)
+        order = np.argsort(-np.take_along_axis(sims[~tied], places, axis=1), axis=1, kind="stable")
+        out[~tied] = np.take_along_axis(places, order, axis=1)
+        out[tied] = np.argsort(-sims[tied], axis=1, kind="stable")[:, :count]
+    return picked
+
+
 def nearest_cells(vectors: DataFrame, centroids: DataFrame, count: int = 1, limit=BROADCAST_BYTES) -> DataFrame:
     """Add ``cells``: the ids of the ``count`` nearest centres, nearest first.
 
@@ -99,21 +193,12 @@ def nearest_cells(vectors: DataFrame, centroids: DataFrame, count: int = 1, limi
     moves once, see ``_nearest_by_tree``; equal similarities go by the cell's id.
     """
     if fits_broadcast(centroids, limit):
-        table = centroids.select(F.col("cell").cast("bigint"), "embedding").toArrow().sort_by("cell")
-        cells, matrix = np.asarray(table["cell"].to_numpy(), dtype=np.int64), unit_rows(table["embedding"])
-        count = min(count, len(cells))
+        cells, held = _held(centroids)
+        count, matrix = min(count, len(cells)), unit_matrix(held)
 
         def nearest(column: pa.Array) -> pa.Array:
-            picked = []
-            x = unit_rows(column)
-            step = max(1, 4_000_000 // len(cells))
-            for at in range(0, len(x), step):
-                sims = np.round(x[at : at + step] @ matrix.T, DIGITS)
-                # stable sort: equal similarities keep the order of the cell ids
-                order = np.argsort(-sims, axis=1, kind="stable")[:, :count] if count > 1 else sims.argmax(axis=1)
-                picked.append(cells[order].reshape(-1))
-            flat = np.concatenate(picked) if picked else np.zeros(0, dtype=np.int64)
-            offsets = np.arange(0, len(flat) + 1, count, dtype=np.int32)
+            flat = cells[_nearest(unit_rows(column), matrix, count)].ravel() if len(column) else np.zeros(0, np.int64)
+            offsets = np.arange(len(column) + 1, dtype=np.int32) * count
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
         return with_vector(vectors).withColumn("cells", F.arrow_udf(nearest, "array<bigint>")("embedding"))

@@ -43,7 +43,10 @@ def list_matrix(column) -> np.ndarray:
 
 def unit_rows(column) -> np.ndarray:
     """The matrix with rows of unit length; zero rows stay zero."""
-    x = list_matrix(column)
+    return unit_matrix(list_matrix(column))
+
+
+def unit_matrix(x) -> np.ndarray:
     norms = np.sqrt(np.einsum("ij,ij->i", x, x))
     norms[norms == 0] = 1.0
     return x / norms[:, None]

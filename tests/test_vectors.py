@@ -218,6 +218,48 @@ def test_trained_index(generated, queries):
     assert few.count() == 1 and np.allclose(few.first()["embedding"], mean / np.linalg.norm(mean), atol=1e-6)
 
 
+def test_held_centres_are_those_of_the_table(spark, generated):
+    """Centres that the driver holds equal those that stay a table, with copies, a shared id and zero vectors."""
+    rows = [(i, [1.0, float(i % 3), 0.1 * i]) for i in range(60)] + [(9, [0.0, 1.0, -1.0]), (70, [0.0, 0.0, 0.0]), (71, None)]
+    odd = spark.createDataFrame(rows + [(100 + i, [1.0, 2.0, 0.2]) for i in range(30)], VECTORS)
+    for vectors, nlist in ((generated, 12), (odd, 91), (odd.limit(0), 3)):
+        held, table = (ivf.train_centroids(vectors, nlist, iterations=2, limit=limit).collect() for limit in (1 << 26, -1))
+        assert {(r["cell"], tuple(r["embedding"])) for r in held} == {(r["cell"], tuple(r["embedding"])) for r in table}
+
+
+def test_rounds_write_no_table_and_end_when_nothing_moves(spark, monkeypatch):
+    written, rounds = [], []
+    plain = ivf._moved
+    monkeypatch.setattr(ivf, "materialize", lambda df, name, *a, **kw: written.append(name) or materialize(df, name, *a, **kw))
+    monkeypatch.setattr(ivf, "_moved", lambda *a: rounds.append(1) or plain(*a))
+    few = spark.createDataFrame([(i, [1.0, 0.0 + i % 2, 0.01 * i]) for i in range(20)], VECTORS)
+    ivf.train_centroids(few, 2)
+    assert written.count("centres") == 2 and 1 < len(rounds) < 10
+
+
+@pytest.mark.parametrize("count", [1, 3, 40])
+def test_nearest_centres_are_those_of_a_full_sort(count):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    m = x[:40].copy()
+    m[7], m[9] = m[3], m[2] + 1e-11  # a copy, and one that is equal after rounding
+    m[11] = m[4] + 1e-7  # apart in double precision only
+    x[5], x[6] = 0.0, np.nan
+    want = np.argsort(-np.round(x @ m.T, 9), axis=1, kind="stable")[:, :count]
+    assert np.array_equal(ivf._nearest(x, m, count), want)
+
+
+def test_a_scale_is_stored_before_it_is_read(generated, monkeypatch, plan_of):
+    seen = []
+    plain = benchmark.exact_topk
+    monkeypatch.setattr(benchmark, "exact_topk", lambda vectors, *a: seen.append(vectors) or plain(vectors, *a))
+    benchmark.recall_by_scale(generated, [50, None], n_queries=20)
+    small, whole = seen
+    assert "Join" not in plan_of(small) and not set(small.inputFiles()) & set(generated.inputFiles())
+    assert small.count() == 50 and whole.inputFiles() == generated.inputFiles()
+
+
 def test_graph_recall(generated, queries, centres):
     nodes, members = graph.build_graph(generated, centres, m=16, nprobe=4)
     longest = nodes.agg(F.max(F.size("neighbours"))).first()[0]
