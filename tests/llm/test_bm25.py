@@ -146,3 +146,77 @@ def test_common_terms_are_not_stepped_through(monkeypatch):
         assert found.tolist() == best.tolist() and np.allclose(scores, whole[best], atol=1e-6)
         held += len(at)
     assert sum(listed) < 0.25 * held
+
+
+def two_languages(seed, n):
+    """Documents of two languages, with copies, null ids, wordless and very long texts, as a batch; their terms."""
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(1, 120, n)
+    sizes[:3] = 4000
+    terms = [np.unique((rng.zipf(1.15, k) % 40_000) * 2 + i % 2 + rng.integers(0, 2, k) * (rng.random(k) < 0.05)) for i, k in enumerate(sizes)]
+    terms[10:40] = [terms[10]] * 30
+    terms[50:53] = [np.empty(0, np.int64)] * 3
+    hashes = np.sort(rng.integers(-(2**63), 2**63, 80_002))
+    terms = [hashes[t] for t in terms]
+    counts = [rng.integers(1, 4, len(t)) for t in terms]
+    counts[10:40] = [counts[10]] * 30
+    ids = [None if i % 17 == 0 else i * 7 % n for i in range(n)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(n)), pa.array(ids, pa.int64()), pa.array([int(c.sum()) for c in counts], pa.int64()),
+         pa.array([t.tolist() for t in terms], pa.list_(pa.int64())), pa.array([c.tolist() for c in counts], pa.list_(pa.int32()))],
+        names=["row", "doc", "length", "terms", "counts"],
+    )
+    return batch, terms, counts, ids
+
+
+class Shared:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_groups_of_queries_are_exact_and_step_through_few_postings(monkeypatch):
+    """Many queries at once: the scores of each, with and without thresholds, but not each query's postings one by one."""
+    n, top = 3000, 10
+    batch, terms, counts, ids = two_languages(7, n)
+    asked = [i for i in range(0, n, 6) if len(terms[i])] + list(range(10, 40)) + [1, 2]
+    every = np.unique(np.concatenate([terms[i] for i in asked]))
+    place = [np.searchsorted(every, t).clip(max=len(every) - 1) for t in terms]
+    matrix = np.zeros((n, len(every)))
+    lengths = np.array([c.sum() for c in counts])
+    mean = lengths.mean()
+    for i, (p, t, c) in enumerate(zip(place, terms, counts)):
+        held = every[p] == t
+        matrix[i, p[held]] = c[held]
+    df = (matrix > 0).sum(axis=0)
+    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+    impact = idf * matrix * 2.2 / (matrix + 1.2 * (0.25 + 0.75 * lengths / mean)[:, None])
+    want = {}
+    for k, i in enumerate(asked):
+        scores = np.round(impact[:, place[i]].sum(axis=1), 6)
+        found = np.flatnonzero(impact[:, place[i]].any(axis=1)).tolist()
+        want[k] = [(j, scores[j]) for j in sorted(found, key=lambda j: (-scores[j], ids[j] is None, ids[j] or 0, j))[:top]]
+    queries = bm25.Queries(list(range(len(asked))), [ids[i] for i in asked], [terms[i] for i in asked], every, idf, mean)
+    listed, plain = [], bm25._ranges
+    monkeypatch.setattr(bm25, "_ranges", lambda a, b: listed.append(int((b - a).sum())) or plain(a, b))
+    held = sum(int(df[place[i]].sum()) for i in asked)
+    for parts in ([batch], [batch.slice(0, 1100), batch.slice(1100)]):
+        listed.clear()
+        got = {}
+        for part in bm25._task_search(Shared(queries), top)(iter(parts)):
+            for r in part.to_pylist():
+                assert r["query_id"] == ids[asked[r["query_row"]]] and r["doc"] == ids[r["row"]]
+                got.setdefault(r["query_row"], []).append((r["row"], r["score"]))
+        for k in want:
+            best = sorted(got[k], key=lambda x: (-x[1], ids[x[0]] is None, ids[x[0]] or 0, x[0]))
+            assert [j for j, _ in best[:top]] == [j for j, _ in want[k]]
+            assert np.allclose([s for _, s in best[:top]], [s for _, s in want[k]], atol=2e-6)
+        assert sum(listed) < 0.3 * held
+        queries.least = {k: v[-1][1] for k, v in want.items() if len(v) == top}
+
+
+def test_places_of_terms():
+    terms = np.sort(np.array([-(2**63), -5, -1, 0, 1, 7, 2**63 - 1] + list(range(1000, 1400))))
+    asked = np.array([-(2**63), -(2**63) + 1, -6, -5, 0, 2, 7, 999, 1000, 1399, 1400, 2**63 - 1])
+    place, there = bm25.Places(terms).of(asked)
+    assert there.tolist() == np.isin(asked, terms).tolist() and (terms[place[there]] == asked[there]).all()
+    assert bm25.Places(np.array([3])).of(np.array([-4, 3, 9]))[1].tolist() == [False, True, False]
