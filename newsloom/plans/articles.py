@@ -77,10 +77,10 @@ def link_lookup(spark, sf):
 
 def metadata_by_category(spark, sf):
     """Articles per category and month of the cleaned corpus, as plain SQL."""
-    cleaned(spark, sf).select("category", "shard", "text_len").createOrReplaceTempView("article_meta")
     return spark.sql(
         "SELECT category, shard AS month, count(*) AS articles, sum(text_len) AS chars "
-        "FROM article_meta GROUP BY category, shard"
+        "FROM {article_meta} GROUP BY category, shard",
+        article_meta=cleaned(spark, sf).select("category", "shard", "text_len"),
     )
 
 
